@@ -261,6 +261,173 @@ def q_page_main_text(spark, sf_dir):
     return t.pages.select("page_id", main_text("html").alias("main_text"))
 
 
+# --------------------------------------------------------------------------- generation replies
+# Reply shapes injected alike on both sides: missing field, malformed JSON, null,
+# false, blank text, and a reasoning block with no answer after it.
+_SQL_REPLY = """CASE event_id % 8 WHEN 0 THEN '{"other": 1}' WHEN 1 THEN 'not json'
+    WHEN 2 THEN '{"k": null}' WHEN 3 THEN '{"k": false}' WHEN 4 THEN '{"k": "  "}'
+    WHEN 5 THEN '{"k": "<think>\\nplan\\n</think>\\n"}' ELSE props END"""
+
+
+def _reply():
+    e = F.col("event_id") % 8
+    return (F.when(e == 0, F.lit('{"other": 1}')).when(e == 1, F.lit("not json"))
+            .when(e == 2, F.lit('{"k": null}')).when(e == 3, F.lit('{"k": false}'))
+            .when(e == 4, F.lit('{"k": "  "}')).when(e == 5, F.lit('{"k": "<think>\\nplan\\n</think>\\n"}'))
+            .otherwise(F.col("props")))
+
+
+@register("response_parsed", f"""
+WITH r AS (SELECT event_id, {_SQL_REPLY} AS reply FROM events),
+j AS (SELECT event_id, CASE WHEN json_valid(reply) AND json_type(reply) = 'OBJECT' THEN reply END AS js FROM r),
+v AS (SELECT event_id, json_type(js, '$.k') AS typ, json_extract_string(js, '$.k') AS txt FROM j),
+o AS (SELECT event_id,
+        typ IS NOT NULL AND typ <> 'NULL' AND NOT (typ = 'BOOLEAN' AND txt = 'false') AS ok,
+        CASE WHEN strpos(txt, '<think>') > 0 THEN ''
+             ELSE array_to_string(list_filter(list_transform(string_split(txt, chr(10)),
+                    lambda x: regexp_replace(regexp_replace(x, '^\\s+|\\s+$', '', 'g'), ' {{2,}}', ' ', 'g')),
+                    lambda x: x <> ''), chr(10)) END AS cleaned
+      FROM v)
+SELECT event_id,
+  CASE WHEN NOT ok THEN NULL WHEN cleaned = '' THEN '[Error: No summary generated]' ELSE cleaned END AS response,
+  CASE WHEN NOT ok THEN 'invalid_response' WHEN cleaned = '' THEN 'empty' ELSE 'ok' END AS status
+FROM o""")
+def q_response_parsed(spark, sf_dir):
+    from curata.operators.generate import finish_text, parse_response
+    t = Tables(spark, sf_dir)
+    r = t.events.select("event_id", parse_response(_reply(), "k").alias("r"))
+    fin = finish_text(strip_trace("r.text"))
+    ok = F.col("r.status") == "ok"
+    return r.select("event_id",
+                    F.when(ok, fin["text"]).alias("response"),
+                    F.when(ok, fin["status"]).otherwise(F.col("r.status")).alias("status"))
+
+
+# --------------------------------------------------------------------------- publishing
+@register("publish_status", """
+WITH m AS (SELECT source AS folder,
+    CASE WHEN doc_id % 13 = 0 THEN '' WHEN doc_id % 11 = 0 THEN 'Error: ' || text
+         WHEN doc_id % 7 = 0 THEN 'Reject: ' || text ELSE text END AS promotion FROM documents)
+SELECT folder, CASE WHEN promotion IS NULL OR promotion = '' OR strpos(promotion, 'Error') > 0 THEN 'error'
+                    WHEN starts_with(promotion, 'Reject:') THEN 'rejected' ELSE 'published' END AS status,
+       count(*) AS n
+FROM m GROUP BY ALL""")
+def q_publish_status(spark, sf_dir):
+    from curata.operators.publish import classify, run_summary
+    t = Tables(spark, sf_dir)
+    return run_summary(classify(S.outcome_mix(t)))
+
+
+@register("model_filter", "SELECT DISTINCT p_name AS model FROM part WHERE NOT regexp_matches(p_name, 'small|old')")
+def q_model_filter(spark, sf_dir):
+    from curata.operators.generate import filter_models
+    return filter_models(S.models(Tables(spark, sf_dir)), S.MODEL_SKIP)
+
+
+# --------------------------------------------------------------------------- reconcile
+_SQL_SIDES = """
+, l AS (SELECT '  ' || promotion || ' ' AS promotion, url || ' ' AS url FROM promotions WHERE doc_id % 10 <> 1
+        UNION ALL
+        SELECT '  ' || promotion || ' ', url || ' ' FROM promotions WHERE doc_id % 10 <> 1 AND doc_id % 3 = 0),
+r AS (SELECT promotion, url FROM promotions WHERE doc_id % 10 <> 2),
+ls AS (SELECT DISTINCT regexp_replace(promotion, '^\\s+|\\s+$', '', 'g') AS promotion,
+                       regexp_replace(url, '^\\s+|\\s+$', '', 'g') AS url FROM l),
+rs AS (SELECT DISTINCT regexp_replace(promotion, '^\\s+|\\s+$', '', 'g') AS promotion,
+                       regexp_replace(url, '^\\s+|\\s+$', '', 'g') AS url FROM r),
+sides AS (SELECT CASE WHEN ls.url IS NOT NULL AND rs.url IS NOT NULL THEN 'both'
+                      WHEN ls.url IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS side,
+                 coalesce(ls.promotion, rs.promotion) AS promotion, coalesce(ls.url, rs.url) AS url
+          FROM ls FULL JOIN rs ON ls.promotion IS NOT DISTINCT FROM rs.promotion AND ls.url IS NOT DISTINCT FROM rs.url)
+"""
+
+
+def _sides(t: Tables):
+    return S.reconcile_sides(t)
+
+
+@register("reconcile_sides", S.sql_with("promotions") + _SQL_SIDES + "SELECT * FROM sides")
+def q_reconcile_sides(spark, sf_dir):
+    from curata.operators.reconcile import reconcile
+    return reconcile(*_sides(Tables(spark, sf_dir)))
+
+
+@register("reconcile_summary", S.sql_with("promotions") + _SQL_SIDES + """
+SELECT (SELECT count(*) FROM l) AS left_rows, (SELECT count(*) FROM r) AS right_rows,
+  count(*) FILTER (WHERE side = 'left_only') AS left_only,
+  count(*) FILTER (WHERE side = 'right_only') AS right_only,
+  count(*) FILTER (WHERE side = 'both') AS matching,
+  count(*) FILTER (WHERE side <> 'both') = 0 AND (SELECT count(*) FROM l) > 0 AS identical
+FROM sides""")
+def q_reconcile_summary(spark, sf_dir):
+    from curata.operators.reconcile import verdict
+    return verdict(*_sides(Tables(spark, sf_dir)))
+
+
+@register("reconcile_sample", S.sql_with("promotions") + _SQL_SIDES + """
+, ranked AS (SELECT side, promotion, url,
+               row_number() OVER (PARTITION BY side ORDER BY promotion, url) AS ordinal,
+               count(*) OVER (PARTITION BY side) AS total
+             FROM sides WHERE side <> 'both')
+SELECT side, ordinal, substr(promotion, 1, 50) AS promotion, substr(url, 1, 50) AS url,
+       greatest(total - 5, 0) AS n_more
+FROM ranked WHERE ordinal <= 5""")
+def q_reconcile_sample(spark, sf_dir):
+    from curata.operators.reconcile import reconcile, sample
+    return sample(reconcile(*_sides(Tables(spark, sf_dir))))
+
+
+@register("duplicate_keys", """
+SELECT 'https://example.org/' || CAST(doc_id // 2 AS VARCHAR) AS url, lang AS folder_name, count(*) AS n
+FROM documents GROUP BY ALL HAVING count(*) > 1""")
+def q_duplicate_keys(spark, sf_dir):
+    from curata.operators.reconcile import duplicate_keys
+    t = Tables(spark, sf_dir)
+    load = t.documents.select(
+        F.concat(F.lit(S.EXAMPLE_URL), F.expr("doc_id div 2").cast("string")).alias("url"),
+        F.col("lang").alias("folder_name"))
+    return duplicate_keys(load)
+
+
+# --------------------------------------------------------------------------- cache and repeats
+@register("cache_state", f"""
+WITH c AS (SELECT md5(p.url) AS url_key, f.fetched_at
+           FROM (SELECT user_id, min(ts) AS fetched_at FROM events GROUP BY user_id) f
+           JOIN pages p ON p.page_id = f.user_id),
+j AS (SELECT a.page_id, a.url, md5(a.url) AS url_key,
+        (epoch_us(TIMESTAMP '{S.NOW}') // 1000000 - epoch_us(c.fetched_at) // 1000000) // 3600 AS age_h
+      FROM pages a LEFT JOIN c ON c.url_key = md5(a.url))
+SELECT page_id, url, url_key, age_h,
+  CASE WHEN age_h IS NULL THEN 'miss' WHEN age_h < 24 THEN 'fresh' ELSE 'stale' END AS cache,
+  CASE WHEN age_h IS NULL THEN 'fetch' WHEN age_h < 24 THEN 'repeated' ELSE 'refresh' END AS action
+FROM j""")
+def q_cache_state(spark, sf_dir):
+    from curata.operators.repeats import cache_state
+    t = Tables(spark, sf_dir)
+    st = cache_state(t.pages.select("page_id", "url"), S.cache(t), S.NOW)
+    return st.select("page_id", "url", "url_key", "age_h", "cache", "action")
+
+
+@register("repeat_suppressed", """
+WITH RECURSIVE e AS (
+  SELECT event_id, user_id, event_type, ts,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn
+  FROM events),
+walk AS (
+  SELECT user_id, event_type, rn, event_id, ts, ts AS anchor, true AS kept FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.event_type, e.rn, e.event_id, e.ts,
+         CASE WHEN epoch_us(e.ts) - epoch_us(w.anchor) >= 86400000000 THEN e.ts ELSE w.anchor END,
+         epoch_us(e.ts) - epoch_us(w.anchor) >= 86400000000
+  FROM walk w JOIN e ON e.user_id = w.user_id AND e.event_type = w.event_type AND e.rn = w.rn + 1)
+SELECT event_id, user_id, event_type, epoch_us(ts) AS ts_us FROM walk WHERE kept""")
+def q_repeat_suppressed(spark, sf_dir):
+    from curata.operators.repeats import suppress_repeats
+    t = Tables(spark, sf_dir)
+    ev = t.events.select("event_id", "user_id", "event_type", "ts")
+    kept = suppress_repeats(ev, ["user_id", "event_type"], "ts", "event_id")
+    return kept.select("event_id", "user_id", "event_type", us("ts").alias("ts_us"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
