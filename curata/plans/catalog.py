@@ -428,6 +428,41 @@ def q_repeat_suppressed(spark, sf_dir):
     return kept.select("event_id", "user_id", "event_type", us("ts").alias("ts_us"))
 
 
+# --------------------------------------------------------------------------- E1 end to end
+_SQL_BODY = """list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>'),
+            lambda p: trim(replace(replace(p, '&quot;', '"'), '&amp;', '&'), ' ' || chr(10) || chr(9) || chr(13)))"""
+
+
+@register("curated_batch", S.sql_with("node", "sfi", "items", "ledger") + f"""
+, normed AS (
+  SELECT s.node_id, n.title, i.item_id, i.page_id, i.source AS url, i.updated,
+         {sql_normalize_url('i.source')} AS url_norm
+  FROM sfi s JOIN node n ON n.node_id = s.node_id JOIN items i ON i.item_id = s.item_id
+  WHERE n.type = 'vfolder' AND n.title ILIKE '%search%' AND i.source IS NOT NULL AND i.source <> ''),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY node_id, url_norm ORDER BY updated DESC NULLS LAST, item_id) AS rn
+           FROM normed WHERE url_norm <> ''),
+todo AS (SELECT * FROM ranked k WHERE rn = 1
+         AND NOT EXISTS (SELECT 1 FROM ledger l WHERE {sql_normalize_url('l.url')} = k.url_norm)),
+art AS (SELECT t.*, substr(array_to_string({_SQL_BODY}, ''), 1, 2000) AS body
+        FROM todo t JOIN pages p ON p.page_id = t.page_id),
+gen AS (SELECT *, CASE WHEN length(body) % 11 = 0 THEN 'Error: generation failed'
+                       WHEN length(body) % 7 = 0 THEN 'Reject: not news'
+                       ELSE 'Summary ' || substr(md5(body), 1, 12) || ' of ' || CAST(length(body) AS VARCHAR)
+                            || ' characters.' END AS promotion
+        FROM art)
+SELECT node_id, title, item_id, url, url_norm, promotion,
+  CASE WHEN strpos(promotion, 'Error') > 0 THEN 'error' WHEN starts_with(promotion, 'Reject:') THEN 'rejected'
+       ELSE 'published' END AS status,
+  length(promotion) AS n_chars
+FROM gen""")
+def q_curated_batch(spark, sf_dir):
+    from curata.plans.curate import curate, digest_generator
+    t = Tables(spark, sf_dir)
+    out = curate(S.node(t), S.membership(t), S.items(t), S.ledger(t), t.pages, digest_generator)
+    return out.select("node_id", "title", "item_id", "url", "url_norm", "promotion", "status",
+                      F.col("n_chars").cast("long").alias("n_chars"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

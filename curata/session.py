@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     # pages are large rows; keep Arrow batches moderate for the HTML UDF
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
