@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,22 +25,22 @@ def ordinal(df: DataFrame, order: Sequence, name: str = "ordinal", partitions: i
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    laid = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-            .withColumn("_part", F.spark_partition_id()))
-    # Stable partition ids for both uses below, and a lineage cut for recovery.
-    laid = cut_lineage(laid)
-
-    schema = T.StructType(laid.schema.fields + [T.StructField("_local", T.LongType(), False)])
+    laid = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    schema = T.StructType(laid.schema.fields + [T.StructField("_part", T.IntegerType(), False),
+                                                T.StructField("_local", T.LongType(), False)])
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = 0
+        part, seen = TaskContext.get().partitionId(), 0
         for pdf in batches:
-            pdf = pdf.assign(_local=range(seen, seen + len(pdf)))
+            pdf = pdf.assign(_part=part, _local=range(seen, seen + len(pdf)))
             seen += len(pdf)
             yield pdf
 
-    local = laid.mapInPandas(number, schema)
-    sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # Number inside each sorted range partition, then materialise once: the
+    # written table holds one committed attempt per partition, so both uses
+    # below agree even if a task was retried.
+    local = cut_lineage(laid.mapInPandas(number, schema))
+    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_part",
         (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))

@@ -198,30 +198,40 @@ def successor(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, delta_us
         F.col("_id").alias("id"), F.col("_nid").alias("nxt_id"), F.col("_nt").alias("nxt_t"))
 
 
+def _materialize(df: DataFrame, held: list) -> DataFrame:
+    """Materialise one doubling level as a written table (keeps every plan small;
+    the doubling would otherwise nest each level's plan twice)."""
+    out = cut_lineage(df)
+    held.append(out)
+    return out
+
+
 def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
             hours: int = CACHE_HOURS, partitions: int | None = None) -> DataFrame:
     """Ids of the anchors (the arrivals that pass), one column ``id``."""
+    held: list[DataFrame] = []
     succ = successor(df, keys, ts, id_col, hours * MICROS_PER_HOUR, partitions)
     roots = (df.groupBy(*keys)
              .agg(F.min_by(F.col(id_col).cast("long"), F.struct(_micros(F.col(ts)), F.col(id_col))).alias("id"))
              .select("id"))
+    roots = _materialize(roots, held)
+    linked = succ.where(F.col("nxt_id").isNotNull())
     # Only roots and someone's successor can lie on a chain.
-    cands = roots.unionByName(succ.where(F.col("nxt_id").isNotNull()).select(F.col("nxt_id").alias("id"))).distinct()
-    level = cut_lineage(succ.where(F.col("nxt_id").isNotNull())
-                        .join(cands, "id", "left_semi").select("id", F.col("nxt_id").alias("p")))
+    cands = roots.unionByName(linked.select(F.col("nxt_id").alias("id"))).distinct()
+    level = _materialize(linked.join(cands, "id", "left_semi").select("id", F.col("nxt_id").alias("p")), held)
     levels = []
     while True:
         levels.append(level)
         nxt = (level.alias("a").join(level.alias("b"), F.col("a.p") == F.col("b.id"))
                .select(F.col("a.id").alias("id"), F.col("b.p").alias("p")))
-        nxt = cut_lineage(nxt)
+        nxt = _materialize(nxt, held)
         if nxt.isEmpty():
             break
         level = nxt
-    reached = cut_lineage(roots)
+    reached = roots
     for lv in reversed(levels):
         step = reached.join(lv, "id").select(F.col("p").alias("id"))
-        reached = cut_lineage(reached.unionByName(step))
+        reached = _materialize(reached.unionByName(step), held)
     return reached
 
 

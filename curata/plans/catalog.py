@@ -204,6 +204,29 @@ def q_post_ready(spark, sf_dir):
     return posts(raw).select("doc_id", "post", "link_free_len", "status")
 
 
+# Posts numbered in file order (the order key is the row's position, here doc_id),
+# counting rows that fail the length gate too.
+@register("post_order", """
+SELECT row_number() OVER (ORDER BY doc_id) AS row_num, doc_id,
+  CASE WHEN length(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), 'https?://\\S+', '', 'g')) <= 257
+       THEN 'ready' ELSE 'too_long' END AS status
+FROM documents""")
+def q_post_order(spark, sf_dir):
+    from curata.operators.ordering import ordinal
+    from curata.operators.publish import posts
+    t = Tables(spark, sf_dir)
+    p = posts(t.documents.select("doc_id", F.col("text").alias("promotion"), F.lit("").alias("url")))
+    return ordinal(p.select("doc_id", "status"), ["doc_id"], name="row_num")
+
+
+@register("text_previews", """
+SELECT doc_id, substr(text, 1, 50) AS p50, substr(text, 1, 60) AS p60, substr(text, 1, 80) AS p80,
+       substr(text, 1, 200) AS p200 FROM documents""")
+def q_text_previews(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return t.documents.select("doc_id", *[X.limit_chars("text", n).alias(f"p{n}") for n in (50, 60, 80, 200)])
+
+
 # --------------------------------------------------------------------------- durations
 @register("duration_text", """
 WITH d AS (SELECT event_id, value * 1000 AS s FROM events

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,12 +43,36 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``curata`` importable on the Python workers (``addPyFile`` of a zip of
+    the package), once per application.  Functions run by ``mapInPandas`` and
+    pandas UDFs are pickled by reference to their module."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    target = os.path.join(tempfile.mkdtemp(prefix="curata-pkg-"), "curata.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` must point at shared storage; we only
     set our own (a fresh folder under /tmp) when it is unset, as in local tests.
     """
+    ship_package(spark)
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
@@ -60,6 +86,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage through a table written under the shared ``spark.checkpoint.dir``.
+
+    One computation (a reliable ``checkpoint()`` computes its input twice unless
+    it is cached), a small plan afterwards, and the files survive executor loss.
+    Rows keep their values, not their partitioning: compute anything that depends
+    on the partition layout before the cut."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/curata-cut-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -14,6 +14,8 @@ class Tables:
     """``Tables(spark, sf_dir).pages`` etc.; every access is a lazy Parquet scan."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from curata.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)  # also ships the package to the workers
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
