@@ -10,11 +10,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Unit sizes in seconds.
 WEEK, DAY, HOUR, MINUTE = 7 * 24 * 60 * 60, 24 * 60 * 60, 60 * 60, 60
 
 
+def epoch_us(c, dtype=None) -> Column:
+    """Microseconds since 1970-01-01 without depending on the session time zone:
+    wall-clock micros for ``timestamp_ntz``, instant micros for ``timestamp``,
+    longs as they are."""
+    x = _col(c)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), x)
+    if isinstance(dtype, (T.LongType, T.IntegerType)):
+        return x.cast("long")
+    return F.unix_micros(x.cast("timestamp"))
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -107,9 +107,10 @@ def slug(c) -> Column:
 
     Python's Unicode ``\\w`` is letters, numbers and '_', i.e. ``[\\p{L}\\p{N}_]``
     (Java's ``(?U)\\w`` would also take combining marks)."""
-    x = F.regexp_replace(_col(c), r"[^\p{L}\p{N}_]", "_")
-    x = F.regexp_replace(x, "_+", "_")
-    return F.regexp_replace(x, "^_+|_+$", "")
+    # "each non-word character -> '_', then runs of '_' -> one '_'" is the same as
+    # "each run of characters that are not letters or numbers -> '_'" (two passes).
+    x = F.regexp_replace(_col(c), r"[^\p{L}\p{N}]+", "_")
+    return F.regexp_replace(x, "^_|_$", "")
 
 
 def folder_from_file_name(c, prefix: str, suffix: str = ".csv") -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.functions.durations import age_hours
+from curata.functions.durations import age_hours, epoch_us
 from curata.functions.text import url_key
 from curata.session import cut_lineage
 
@@ -76,8 +76,8 @@ def merge_cache(cache: DataFrame, fetched: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- T1 batch
-def _micros(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
+def _micros(df: DataFrame, ts: str) -> Column:
+    return epoch_us(F.col(ts), df.schema[ts].dataType)
 
 
 _SUCC_SCHEMA = T.StructType([
@@ -172,7 +172,7 @@ def successor(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, delta_us
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.to_json(F.struct(*[F.col(k) for k in keys]))
-    base = df.select(key.alias("_k"), _micros(F.col(ts)).alias("_t"), F.col(id_col).cast("long").alias("_id"))
+    base = df.select(key.alias("_k"), _micros(df, ts).alias("_t"), F.col(id_col).cast("long").alias("_id"))
     rows = (base.select("_k", "_t", F.lit(1).alias("_kind"), "_id")
             .unionByName(base.select("_k", (F.col("_t") + F.lit(delta_us)).alias("_t"), F.lit(0).alias("_kind"), "_id")))
     order = ["_k", "_t", "_kind", "_id"]
@@ -212,7 +212,7 @@ def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
     held: list[DataFrame] = []
     succ = successor(df, keys, ts, id_col, hours * MICROS_PER_HOUR, partitions)
     roots = (df.groupBy(*keys)
-             .agg(F.min_by(F.col(id_col).cast("long"), F.struct(_micros(F.col(ts)), F.col(id_col))).alias("id"))
+             .agg(F.min_by(F.col(id_col).cast("long"), F.struct(_micros(df, ts), F.col(id_col))).alias("id"))
              .select("id"))
     roots = _materialize(roots, held)
     linked = succ.where(F.col("nxt_id").isNotNull())

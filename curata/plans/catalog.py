@@ -48,8 +48,8 @@ def sql_us(x: str) -> str:
     return f"epoch_us({x})"
 
 
-def us(c) -> "F.Column":
-    return F.unix_micros(F.col(c).cast("timestamp"))
+def us(df: DataFrame, c: str) -> "F.Column":
+    return D.epoch_us(F.col(c), df.schema[c].dataType)
 
 
 # --------------------------------------------------------------------------- folders
@@ -81,7 +81,7 @@ WHERE n.type = 'vfolder' AND n.title ILIKE '%search%'""")
 def q_folder_items(spark, sf_dir):
     t = Tables(spark, sf_dir)
     fi = folders.folder_items(folders.saved_searches(S.node(t)), S.membership(t), S.items(t))
-    return fi.select("node_id", "title", "item_id", "url", us("updated").alias("updated_us"))
+    return fi.select("node_id", "title", "item_id", "url", us(fi, "updated").alias("updated_us"))
 
 
 # --------------------------------------------------------------------------- URL keys and dedup
@@ -448,7 +448,7 @@ def q_repeat_suppressed(spark, sf_dir):
     t = Tables(spark, sf_dir)
     ev = t.events.select("event_id", "user_id", "event_type", "ts")
     kept = suppress_repeats(ev, ["user_id", "event_type"], "ts", "event_id")
-    return kept.select("event_id", "user_id", "event_type", us("ts").alias("ts_us"))
+    return kept.select("event_id", "user_id", "event_type", us(kept, "ts").alias("ts_us"))
 
 
 # --------------------------------------------------------------------------- E1 end to end

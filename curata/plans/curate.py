@@ -32,7 +32,8 @@ from curata.sources.readers import ledger_keys
 def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: DataFrame,
            pages: DataFrame, generator: Callable[[str], str], template: str = SUMMARY_TEMPLATE,
            length: int = POST_MAX, workers: Sequence[str] | None = None,
-           error_substring: bool = True, body_limit: int = BODY_LIMIT) -> DataFrame:
+           error_substring: bool = True, body_limit: int = BODY_LIMIT,
+           parallelism: int | None = None) -> DataFrame:
     """Rows ``node_id, title, item_id, url, url_norm, body, raw, promotion, status,
     n_chars, duration_s, worker, slow`` for every URL of every saved search not yet
     in ``ledger`` (one row per folder and normal form; newest item wins).
@@ -43,7 +44,12 @@ def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: Dat
     fi = folder_items(saved_searches(node), membership, items)
     kept = keep_first(with_url_norm(fi), ["node_id"])
     todo = pending(kept, ledger_keys(ledger))
+    # Python does the heavy part from here on (HTML, then generation, which costs
+    # far more per row than moving it): spread the surviving articles evenly over
+    # the tasks by a key that is unique per row (deterministic on retry).
+    spread = parallelism or todo.sparkSession.sparkContext.defaultParallelism
     art = (todo.join(pages.select("page_id", "html"), "page_id")
+           .repartition(spread, "node_id", "url_norm")
            .withColumn("body", main_text("html", limit=body_limit)).drop("html"))
     art = art.withColumn("prompt", build_prompt(template, length=length, body=F.col("body")))
     gen = batch_generate(art, generator, "prompt", workers=workers)

@@ -10,6 +10,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 class Tables:
     """``Tables(spark, sf_dir).pages`` etc.; every access is a lazy Parquet scan."""
 
@@ -20,7 +23,11 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # A scan is an immutable plan: reuse it (file listing and footers are read once).
+        key = (self.spark.sparkContext.applicationId, id(self.spark), f"{self.sf_dir}/{name}.parquet")
+        if key not in _SCANS:
+            _SCANS[key] = self.spark.read.parquet(key[2])
+        return _SCANS[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
