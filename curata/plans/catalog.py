@@ -456,7 +456,7 @@ _SQL_BODY = """list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<a
             lambda p: trim(replace(replace(p, '&quot;', '"'), '&amp;', '&'), ' ' || chr(10) || chr(9) || chr(13)))"""
 
 
-@register("curated_batch", S.sql_with("node", "sfi", "items", "ledger") + f"""
+_SQL_CURATED = S.sql_with("node", "sfi", "items", "ledger") + f"""
 , normed AS (
   SELECT s.node_id, n.title, i.item_id, i.page_id, i.source AS url, i.updated,
          {sql_normalize_url('i.source')} AS url_norm
@@ -477,7 +477,10 @@ SELECT node_id, title, item_id, url, url_norm, promotion,
   CASE WHEN strpos(promotion, 'Error') > 0 THEN 'error' WHEN starts_with(promotion, 'Reject:') THEN 'rejected'
        ELSE 'published' END AS status,
   length(promotion) AS n_chars
-FROM gen""")
+FROM gen"""
+
+
+@register("curated_batch", _SQL_CURATED)
 def q_curated_batch(spark, sf_dir):
     from curata.plans.curate import curate, digest_generator
     t = Tables(spark, sf_dir)
@@ -486,6 +489,57 @@ def q_curated_batch(spark, sf_dir):
                       F.col("n_chars").cast("long").alias("n_chars"))
 
 
+# --------------------------------------------------------------------------- stream forms in the gate
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+    from curata.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/curata-{name}-{uuid.uuid4().hex}"
+
+
+@register("repeat_suppressed_stream", ORACLE["repeat_suppressed"])
+def q_repeat_suppressed_stream(spark, sf_dir):
+    """T1 as a Structured Streaming query (file source, availableNow, Parquet sink
+    under the checkpoint folder); read back as a batch DataFrame."""
+    from curata.streaming.repeats import suppress_repeats_stream
+    t = Tables(spark, sf_dir)
+    # A glob, so the file source lists the one file (a plain file path is taken as its base folder).
+    src = (spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events.parque[t]")
+           .select("event_id", "user_id", "event_type", "ts"))
+    out = suppress_repeats_stream(src, ["user_id", "event_type"], "ts", "event_id", watermark="1 hour")
+    base = _scratch(spark, "t1-stream")
+    q = (out.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    kept = spark.read.schema(out.schema).parquet(f"{base}/out")
+    return kept.select("event_id", "user_id", "event_type", us(kept, "ts").alias("ts_us"))
+
+
+@register("published_ledger", "SELECT promotion, url, title AS folder_name FROM (" + _SQL_CURATED +
+          ") WHERE status = 'published'")
+def q_published_ledger(spark, sf_dir):
+    """T2 + S7: the incremental publishing step run twice over the saved-search
+    articles against a seeded ledger; the second run must add nothing."""
+    from curata.operators.folders import folder_items, saved_searches
+    from curata.plans.curate import digest_generator
+    from curata.sources.sinks import append_ledger
+    from curata.streaming.publish import process_batch
+    t = Tables(spark, sf_dir)
+    base = _scratch(spark, "t2")
+    ledger_path, results_path = f"{base}/ledger", f"{base}/results"
+    seed = S.ledger(t).select(F.lit(None).cast("string").alias("promotion"), "url",
+                              F.lit(None).cast("string").alias("folder_name"),
+                              F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("string").alias("worker"))
+    append_ledger(seed, ledger_path)
+    fi = folder_items(saved_searches(S.node(t)), S.membership(t), S.items(t))
+    arts = (fi.join(t.pages.select("page_id", "html"), "page_id")
+            .withColumn("body", main_text("html")).drop("html"))
+    process_batch(arts, 0, ledger_path, results_path, digest_generator)
+    process_batch(arts, 1, ledger_path, results_path, digest_generator)
+    led = spark.read.parquet(ledger_path)
+    return led.where(F.col("promotion").isNotNull()).select("promotion", "url", "folder_name")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
