@@ -20,9 +20,17 @@ from pyspark.sql import types as T
 from curata.session import cut_lineage
 
 
-def ordinal(df: DataFrame, order: Sequence, name: str = "ordinal", partitions: int | None = None) -> DataFrame:
-    """Add a 1-based ``name`` column following ``order`` (column names or Columns)."""
+def ordinal(df: DataFrame, order: Sequence, name: str = "ordinal", partitions: int | None = None,
+            materialize_input: bool = True) -> DataFrame:
+    """Add a 1-based ``name`` column following ``order`` (column names or Columns).
+
+    Range partitioning reads its input twice (a sampling pass for the bounds, then
+    the shuffle); with ``materialize_input`` the input is written once first, so
+    costly upstream work (regexes over whole texts, UDFs) is not done twice.
+    Pass only the columns you need."""
     spark = df.sparkSession
+    if materialize_input:
+        df = cut_lineage(df)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     laid = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)

@@ -532,10 +532,15 @@ def q_published_ledger(spark, sf_dir):
                               F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("string").alias("worker"))
     append_ledger(seed, ledger_path)
     fi = folder_items(saved_searches(S.node(t)), S.membership(t), S.items(t))
-    arts = (fi.join(t.pages.select("page_id", "html"), "page_id")
-            .withColumn("body", main_text("html")).drop("html"))
-    process_batch(arts, 0, ledger_path, results_path, digest_generator)
-    process_batch(arts, 1, ledger_path, results_path, digest_generator)
+    pages = t.pages.select("page_id", "html")
+
+    def body(todo: DataFrame) -> DataFrame:  # fetch stand-in: page table, spread, then main text
+        spread = spark.sparkContext.defaultParallelism
+        return (todo.join(pages, "page_id").repartition(spread, "title", "url_norm")
+                .withColumn("body", main_text("html")).drop("html"))
+
+    process_batch(fi, 0, ledger_path, results_path, digest_generator, prepare=body)
+    process_batch(fi, 1, ledger_path, results_path, digest_generator, prepare=body)
     led = spark.read.parquet(ledger_path)
     return led.where(F.col("promotion").isNotNull()).select("promotion", "url", "folder_name")
 

@@ -37,11 +37,20 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame:
 def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path: str,
                   generator: Callable[[str], str], template: str = SUMMARY_TEMPLATE,
                   length: int = POST_MAX, folder_col: str = "title",
-                  workers: Sequence[str] | None = None) -> None:
-    """One micro-batch (also usable as a plain batch run with any ``batch_id``)."""
+                  workers: Sequence[str] | None = None,
+                  prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """One micro-batch (also usable as a plain batch run with any ``batch_id``).
+
+    ``prepare`` adds the ``body`` column after dedup and the ledger anti join
+    (e.g. main text from ``html``), so costly extraction only runs on what is new."""
     spark = df.sparkSession
     kept = keep_first(with_url_norm(df), [folder_col])
     todo = pending(kept, ledger_keys(_ledger(spark, ledger_path)))
+    # Python-heavy from here on: spread the rows by a key unique per row.  A
+    # ``prepare`` that joins a large table should spread again after its join.
+    todo = todo.repartition(spark.sparkContext.defaultParallelism, folder_col, "url_norm")
+    if prepare is not None:
+        todo = prepare(todo)
     art = todo.withColumn("prompt", build_prompt(template, length=length, body=F.col("body")))
     gen = batch_generate(art, generator, "prompt", workers=workers)
     fin = finish_text(strip_trace("raw"))

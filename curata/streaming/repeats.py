@@ -60,8 +60,10 @@ def suppress_repeats_stream(stream: DataFrame, keys: Sequence[str], ts: str, id_
         parts = [p for p in pdfs if len(p)]
         if not parts:
             return
-        pdf = pd.concat(parts, ignore_index=True).sort_values(["_t", id_col], kind="stable")
-        t = pdf["_t"].to_numpy(dtype=np.int64)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        raw_t = pdf["_t"].to_numpy(dtype=np.int64)
+        order = np.lexsort((pdf[id_col].to_numpy(), raw_t))
+        t = raw_t[order]
         keep = anchor_positions(t, anchor, window_us)
         if keep:
             anchor = int(t[keep[-1]])
@@ -69,7 +71,7 @@ def suppress_repeats_stream(stream: DataFrame, keys: Sequence[str], ts: str, id_
         if watermark:
             state.setTimeoutTimestamp((anchor + window_us) // 1000)
         if keep:
-            yield pdf.iloc[keep][cols]
+            yield pdf.iloc[order[keep]][cols]
 
     timeout = GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout
     return src.groupBy(*keys).applyInPandasWithState(
