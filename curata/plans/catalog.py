@@ -536,7 +536,7 @@ def q_published_ledger(spark, sf_dir):
 
     def body(todo: DataFrame) -> DataFrame:  # fetch stand-in: page table, spread, then main text
         spread = spark.sparkContext.defaultParallelism
-        return (todo.join(pages, "page_id").repartition(spread, "title", "url_norm")
+        return (todo.join(pages, "page_id").repartition(spread, F.xxhash64("title", "url_norm"))
                 .withColumn("body", main_text("html")).drop("html"))
 
     process_batch(fi, 0, ledger_path, results_path, digest_generator, prepare=body)

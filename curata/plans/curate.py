@@ -46,10 +46,13 @@ def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: Dat
     todo = pending(kept, ledger_keys(ledger))
     # Python does the heavy part from here on (HTML, then generation, which costs
     # far more per row than moving it): spread the surviving articles evenly over
-    # the tasks by a key that is unique per row (deterministic on retry).
+    # the tasks by a key that is unique per row (deterministic on retry).  The
+    # hash *expression* matters: a plain repartition on (node_id, url_norm) would
+    # be dropped as already satisfied by keep-first's exchange, which AQE then
+    # coalesces to a few partitions when the pending set is small.
     spread = parallelism or todo.sparkSession.sparkContext.defaultParallelism
     art = (todo.join(pages.select("page_id", "html"), "page_id")
-           .repartition(spread, "node_id", "url_norm")
+           .repartition(spread, F.xxhash64("node_id", "url_norm"))
            .withColumn("body", main_text("html", limit=body_limit)).drop("html"))
     art = art.withColumn("prompt", build_prompt(template, length=length, body=F.col("body")))
     gen = batch_generate(art, generator, "prompt", workers=workers)

@@ -48,7 +48,7 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
     todo = pending(kept, ledger_keys(_ledger(spark, ledger_path)))
     # Python-heavy from here on: spread the rows by a key unique per row.  A
     # ``prepare`` that joins a large table should spread again after its join.
-    todo = todo.repartition(spark.sparkContext.defaultParallelism, folder_col, "url_norm")
+    todo = todo.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(folder_col, "url_norm"))
     if prepare is not None:
         todo = prepare(todo)
     art = todo.withColumn("prompt", build_prompt(template, length=length, body=F.col("body")))
