@@ -56,36 +56,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_opml(spark: SparkSession, path: str) -> DataFrame:
-    """S1. One row per feed: the outermost ``outline`` elements are folders, their
-    child outlines the feeds (one level, as in the data).  Entities are decoded
-    by the XML reader.  A top-level outline without children is a feed itself."""
+    """S1. One row per feed: ``folder, title, text, description, type, xmlUrl, htmlUrl``.
+
+    The outermost ``outline`` elements are rows (the built-in XML source decodes
+    entities); their child outlines are the feeds, one level deep as in the data.
+    A top-level outline without children is a feed without a folder."""
     raw = (spark.read.format("xml").option("rowTag", "outline")
            .option("attributePrefix", "_").option("valueTag", "_value").load(path))
-    attrs = [a for a in OPML_ATTRS]
-
-    def attr(df_cols, prefix, a):
-        name = f"{prefix}_{a}" if prefix else f"_{a}"
-        return name
-
-    top_cols = set(raw.columns)
-    folder_title = F.col("_title") if "_title" in top_cols else F.col("_text")
-    if "outline" in top_cols:
-        feeds = raw.select(folder_title.alias("folder"), F.explode_outer("outline").alias("o"))
-        child_fields = set(feeds.schema["o"].dataType.fieldNames()) if feeds.schema["o"].dataType else set()
-        sel = [F.col("folder")]
-        for a in attrs:
-            sel.append(F.col(f"o._{a}").cast("string").alias(a) if f"_{a}" in child_fields
-                       else F.lit(None).cast("string").alias(a))
-        nested = feeds.where(F.col("o").isNotNull()).select(*sel)
-        leaf_sel = [F.lit(None).cast("string").alias("folder")] + [
-            F.col(f"_{a}").cast("string").alias(a) if f"_{a}" in top_cols else F.lit(None).cast("string").alias(a)
-            for a in attrs]
-        leaves = raw.where(F.col("outline").isNull()).select(*leaf_sel)
-        return nested.unionByName(leaves)
-    sel = [F.lit(None).cast("string").alias("folder")] + [
-        F.col(f"_{a}").cast("string").alias(a) if f"_{a}" in top_cols else F.lit(None).cast("string").alias(a)
-        for a in attrs]
-    return raw.select(*sel)
+    top = set(raw.columns)
+
+    def attrs(fields: set[str], prefix: str) -> list:
+        return [F.col(f"{prefix}_{a}").cast("string").alias(a) if f"_{a}" in fields
+                else F.lit(None).cast("string").alias(a) for a in OPML_ATTRS]
+
+    no_folder = F.lit(None).cast("string").alias("folder")
+    if "outline" not in top:
+        return raw.select(no_folder, *attrs(top, ""))
+    folder = F.col("_title") if "_title" in top else F.col("_text")
+    child = raw.schema["outline"].dataType
+    child = child.elementType if isinstance(child, T.ArrayType) else child
+    nested = (raw.select(folder.alias("folder"), F.explode("outline").alias("o"))
+              .select("folder", *attrs(set(child.fieldNames()), "o.")))
+    leaves = raw.where(F.col("outline").isNull()).select(no_folder, *attrs(top, ""))
+    return nested.unionByName(leaves)
 
 
 def read_feed_list(spark: SparkSession, path: str) -> DataFrame:
