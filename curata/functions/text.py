@@ -49,8 +49,9 @@ BODY_LIMIT, PROMPT_BODY_LIMIT = 2000, 1500
 EMPTY_FALLBACK = "[Error: No summary generated]"
 # ---------------------------------------------------------------------------
 
-# Python's str.strip()/isspace() whitespace: Unicode White_Space plus \x1c-\x1f.
-_PY_WS = r"[\s\x1c-\x1f]"
+# Python's str.strip()/isspace() whitespace (Unicode White_Space plus \x1c-\x1f),
+# as characters, from Python's own rule, for btrim (which touches only the ends).
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def _col(c) -> Column:
@@ -67,13 +68,14 @@ def normalize_url(c) -> Column:
     x = _col(c)
     for pattern, repl in URL_REWRITES:
         x = F.regexp_replace(x, "(?d)" + pattern, repl)
-    x = F.lower(x)
-    return F.regexp_replace(x, f"(?U)^{_PY_WS}+|{_PY_WS}+$", "")
+    return strip_ws(F.lower(x))
 
 
 def strip_ws(c) -> Column:
-    """P19. Python ``str.strip()``: Unicode whitespace at both ends (Spark ``trim`` strips spaces only)."""
-    return F.regexp_replace(_col(c), f"(?U)^{_PY_WS}+|{_PY_WS}+$", "")
+    """P19. Python ``str.strip()``: Unicode whitespace at both ends (Spark ``trim``
+    strips spaces only).  ``btrim`` with the character set looks at the two ends
+    only, where a regex would scan the whole text."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 @F.pandas_udf(T.StringType())
