@@ -155,12 +155,20 @@ def extract_page_text(html: str | None) -> str | None:
     return "\n".join(line for line in lines if line)
 
 
+def _guarded(fn, html):
+    """One unparsable page gives null, not a failed job."""
+    try:
+        return fn(html)
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def main_text(c, limit: int | None = 2000, separator: str = "") -> Column:
     """P22 as a Column: ``pandas_udf`` over Arrow batches of pages."""
 
     @F.pandas_udf(T.StringType())
     def _main_text(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: extract_main_text(h, limit, separator))
+        return s.map(lambda h: _guarded(lambda x: extract_main_text(x, limit, separator), h))
 
     return _main_text(F.col(c) if isinstance(c, str) else c)
 
@@ -170,6 +178,6 @@ def page_text(c) -> Column:
 
     @F.pandas_udf(T.StringType())
     def _page_text(s: pd.Series) -> pd.Series:
-        return s.map(extract_page_text)
+        return s.map(lambda h: _guarded(extract_page_text, h))
 
     return _page_text(F.col(c) if isinstance(c, str) else c)
