@@ -9,20 +9,22 @@ first arrival at or after anchor + 24 h passes and becomes the anchor.
 
 Why not a fold per key.  Gathering one key's arrivals into one row (or one
 ``applyInPandas`` group) puts a hot key -- possibly a third of all rows -- into a
-single task.  Instead the batch form is data-parallel end to end:
-
-1. *successor*: for every arrival ``i`` find ``next(i)``, the first arrival of the
-   same key at or after ``t_i + 24 h`` (order ``(t, id)``).  Arrivals and probes
-   (``t_i + 24 h``) are range-partitioned and sorted together -- range
-   partitioning splits a hot key over many tasks -- and each partition resolves
-   its probes locally in one vectorised pass.  Probes left open at a partition's
-   end are resolved from a per-partition summary (one row per partition, so its
-   size is bounded by the partition count and it is broadcast).
-2. *chain*: the anchors of a key are ``root, next(root), next(next(root)), ...``.
-   The path is enumerated by pointer doubling: ``J_{r+1} = J_r . J_r`` (an
-   equi-join on the arrival id, skew handled by AQE), then from the roots the
-   levels are applied from the highest down.  That is ``2 log2(L)`` joins for a
-   chain of ``L`` anchors (``L`` is at most the number of days a key spans).
+single task.  Instead (``anchors``):
+
+1. *local walk*: arrivals are range-partitioned and sorted on ``(key, t, id)`` --
+   range partitioning splits a hot key over many tasks -- and every key run in a
+   partition is walked with a binary search to the next anchor.  Exact for every
+   key that does not cross a partition boundary; one pass, no join.
+2. *crossing keys* (at most one per boundary, read off a per-partition summary)
+   are redone whole: by a per-key walk when their rows are under a checked bound,
+   else by the data-parallel path below.
+3. *successor + doubling* (any key size): for every arrival ``i`` find
+   ``next(i)``, the first arrival of the same key at or after ``t_i + 24 h``
+   (arrivals and probes range-partitioned and sorted together, probes resolved in
+   one vectorised pass, open ones from a per-partition summary that is broadcast).
+   The anchors ``root, next(root), ...`` are then enumerated by pointer doubling:
+   ``J_{r+1} = J_r . J_r`` (an equi-join on the arrival id), then from the roots
+   the levels from the highest down: ``2 log2(L)`` joins for ``L`` anchors.
 """
 
 from __future__ import annotations
@@ -164,15 +166,17 @@ def _resolve_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
     yield summary
 
 
-def successor(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, delta_us: int,
-              partitions: int | None = None) -> DataFrame:
-    """For every row: ``(id, nxt_id, nxt_t)``, the first row of the same key with
-    ``t >= t_row + delta_us`` in ``(t, id)`` order (null when there is none).
-    ``id_col`` must be unique.  Skew-safe: see the module docstring."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _base(df: DataFrame, keys: Sequence[str], ts: str, id_col: str) -> DataFrame:
+    """``(_k, _t, _id)``: the key as one comparable string, time in micros, unique id."""
     key = F.to_json(F.struct(*[F.col(k) for k in keys]))
-    base = df.select(key.alias("_k"), _micros(df, ts).alias("_t"), F.col(id_col).cast("long").alias("_id"))
+    return df.select(key.alias("_k"), _micros(df, ts).alias("_t"), F.col(id_col).cast("long").alias("_id"))
+
+
+def _n_parts(df: DataFrame, partitions: int | None) -> int:
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _successor(base: DataFrame, delta_us: int, n: int) -> DataFrame:
     rows = (base.select("_k", "_t", F.lit(1).alias("_kind"), "_id")
             .unionByName(base.select("_k", (F.col("_t") + F.lit(delta_us)).alias("_t"), F.lit(0).alias("_kind"), "_id")))
     order = ["_k", "_t", "_kind", "_id"]
@@ -198,6 +202,14 @@ def successor(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, delta_us
         F.col("_id").alias("id"), F.col("_nid").alias("nxt_id"), F.col("_nt").alias("nxt_t"))
 
 
+def successor(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, delta_us: int,
+              partitions: int | None = None) -> DataFrame:
+    """For every row: ``(id, nxt_id, nxt_t)``, the first row of the same key with
+    ``t >= t_row + delta_us`` in ``(t, id)`` order (null when there is none).
+    ``id_col`` must be unique.  Skew-safe: see the module docstring."""
+    return _successor(_base(df, keys, ts, id_col), delta_us, _n_parts(df, partitions))
+
+
 def _materialize(df: DataFrame, held: list) -> DataFrame:
     """Materialise one doubling level as a written table (keeps every plan small;
     the doubling would otherwise nest each level's plan twice)."""
@@ -206,14 +218,11 @@ def _materialize(df: DataFrame, held: list) -> DataFrame:
     return out
 
 
-def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
-            hours: int = CACHE_HOURS, partitions: int | None = None) -> DataFrame:
-    """Ids of the anchors (the arrivals that pass), one column ``id``."""
+def _doubling_anchors(base: DataFrame, delta_us: int, n: int) -> DataFrame:
+    """Anchor ids by successor pointers and pointer doubling (any key size)."""
     held: list[DataFrame] = []
-    succ = successor(df, keys, ts, id_col, hours * MICROS_PER_HOUR, partitions)
-    roots = (df.groupBy(*keys)
-             .agg(F.min_by(F.col(id_col).cast("long"), F.struct(_micros(df, ts), F.col(id_col))).alias("id"))
-             .select("id"))
+    succ = _successor(base, delta_us, n)
+    roots = (base.groupBy("_k").agg(F.min_by("_id", F.struct("_t", "_id")).alias("id")).select("id"))
     roots = _materialize(roots, held)
     linked = succ.where(F.col("nxt_id").isNotNull())
     # Only roots and someone's successor can lie on a chain.
@@ -235,16 +244,102 @@ def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
     return reached
 
 
+def _walk(t: np.ndarray, window_us: int) -> list[int]:
+    """Anchor positions of one key's arrivals sorted by ``(t, id)``."""
+    out, i, n = [], 0, len(t)
+    while i < n:
+        out.append(i)
+        i = int(np.searchsorted(t, t[i] + window_us, side="left"))
+    return out
+
+
+_LOCAL_SCHEMA = T.StructType([
+    T.StructField("_row", T.IntegerType()),    # 3 local anchor, 2 partition summary
+    T.StructField("_part", T.IntegerType()),
+    T.StructField("_id", T.LongType()),
+    T.StructField("_k", T.StringType()),       # anchor: its key; summary: first key
+    T.StructField("_last_k", T.StringType()),  # summary: last key
+])
+
+
+def _local_pass(window_us: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = TaskContext.get().partitionId()
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        k = pdf["_k"].to_numpy(dtype=object)
+        t = pdf["_t"].to_numpy(dtype=np.int64)
+        ids = pdf["_id"].to_numpy(dtype=np.int64)
+        cuts = np.flatnonzero(k[1:] != k[:-1]) + 1
+        starts = np.concatenate([[0], cuts])
+        ends = np.concatenate([cuts, [len(k)]])
+        pos = [s + j for s, e in zip(starts, ends) for j in _walk(t[s:e], window_us)]
+        pos = np.asarray(pos, dtype=np.int64)
+        yield pd.DataFrame({"_row": np.full(len(pos), 3, dtype=np.int32),
+                            "_part": np.full(len(pos), part, dtype=np.int32),
+                            "_id": ids[pos], "_k": k[pos], "_last_k": None})
+        yield pd.DataFrame({"_row": [2], "_part": [part], "_id": [None], "_k": [k[0]], "_last_k": [k[-1]]})
+    return run
+
+
+def _key_walk(window_us: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort((pdf["_id"].to_numpy(), pdf["_t"].to_numpy()))
+        t = pdf["_t"].to_numpy(dtype=np.int64)[order]
+        ids = pdf["_id"].to_numpy(dtype=np.int64)[order]
+        return pd.DataFrame({"id": ids[_walk(t, window_us)]})
+    return run
+
+
+def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
+            hours: int = CACHE_HOURS, partitions: int | None = None,
+            group_rows_max: int = 2_000_000) -> DataFrame:
+    """Ids of the anchors (the arrivals that pass), one column ``id``.
+
+    1. Arrivals are range-partitioned and sorted on ``(key, t, id)`` and every key
+       run inside a partition is walked locally (binary search to the next anchor).
+       That is exact for every key that does not cross a partition boundary.
+    2. Keys that do cross one (at most one per boundary, read off a per-partition
+       summary, so at most ``partitions`` keys) are redone as a whole: with a
+       per-key walk when their rows are at most ``group_rows_max`` (a checked
+       bound), otherwise with successor pointers and pointer doubling, which never
+       puts one key in one task."""
+    window = hours * MICROS_PER_HOUR
+    n = _n_parts(df, partitions)
+    base = _base(df, keys, ts, id_col)
+    order = ["_k", "_t", "_id"]
+    laid = base.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    m = cut_lineage(laid.mapInPandas(_local_pass(window), _LOCAL_SCHEMA))
+    summ = m.where(F.col("_row") == 2).select("_part", "_k", "_last_k")
+    by_part = Window.orderBy("_part")  # one row per partition: bounded
+    crossing = (summ.select(F.when(F.lead("_k").over(by_part) == F.col("_last_k"), F.col("_last_k")).alias("_k"))
+                .where(F.col("_k").isNotNull()).distinct())
+    crossing = cut_lineage(crossing)  # at most one key per partition boundary
+    local = (m.where(F.col("_row") == 3).join(F.broadcast(crossing), "_k", "left_anti")
+             .select(F.col("_id").alias("id")))
+    rest = base.join(F.broadcast(crossing), "_k", "left_semi")
+    rest_rows = rest.count()
+    if rest_rows == 0:
+        return local
+    if rest_rows <= group_rows_max:
+        redone = rest.groupBy("_k").applyInPandas(_key_walk(window), "id long")
+    else:
+        redone = _doubling_anchors(rest, window, n)
+    return local.unionByName(redone)
+
+
 def mark_repeats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
-                 hours: int = CACHE_HOURS, partitions: int | None = None) -> DataFrame:
+                 hours: int = CACHE_HOURS, partitions: int | None = None, **kw) -> DataFrame:
     """T1. Every row with ``repeat`` = not an anchor."""
-    a = anchors(df, keys, ts, id_col, hours, partitions).withColumn("_anchor", F.lit(True))
+    a = anchors(df, keys, ts, id_col, hours, partitions, **kw).withColumn("_anchor", F.lit(True))
     return (df.join(a, df[id_col] == a["id"], "left")
             .withColumn("repeat", F.col("_anchor").isNull()).drop("id", "_anchor"))
 
 
 def suppress_repeats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
-                     hours: int = CACHE_HOURS, partitions: int | None = None) -> DataFrame:
+                     hours: int = CACHE_HOURS, partitions: int | None = None, **kw) -> DataFrame:
     """T1 batch. The rows that pass (anchors); repeats are left out."""
-    a = anchors(df, keys, ts, id_col, hours, partitions)
+    a = anchors(df, keys, ts, id_col, hours, partitions, **kw)
     return df.join(a.withColumnRenamed("id", id_col), id_col, "left_semi")
