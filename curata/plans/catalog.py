@@ -515,6 +515,22 @@ def q_repeat_suppressed_stream(spark, sf_dir):
     return kept.select("event_id", "user_id", "event_type", us(kept, "ts").alias("ts_us"))
 
 
+@register("repeat_suppressed_state_stream", ORACLE["repeat_suppressed"])
+def q_repeat_suppressed_state_stream(spark, sf_dir):
+    """T1 as a stream without keyed state: foreachBatch runs the batch algorithm per
+    micro-batch and keeps the anchors in a versioned table (skew-safe per batch)."""
+    from curata.streaming.repeats import start_repeats_stream
+    t = Tables(spark, sf_dir)
+    src = (spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events.parque[t]")
+           .select("event_id", "user_id", "event_type", "ts"))
+    base = _scratch(spark, "t1-state")
+    q = start_repeats_stream(src, ["user_id", "event_type"], "ts", "event_id", f"{base}/out",
+                             f"{base}/state", f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    kept = spark.read.parquet(f"{base}/out").drop("batch_id")
+    return kept.select("event_id", "user_id", "event_type", us(kept, "ts").alias("ts_us"))
+
+
 @register("published_ledger", "SELECT promotion, url, title AS folder_name FROM (" + _SQL_CURATED +
           ") WHERE status = 'published'")
 def q_published_ledger(spark, sf_dir):

@@ -12,7 +12,10 @@ is exactly what a key without state does.  This bounds the state store by the
 keys active in the last 24 hours.
 
 Keyed state lives in one task per key and micro-batch; bound the batch with the
-source's ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
+source's ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.  ``start_repeats_stream``
+is the alternative without keyed state: ``foreachBatch`` runs the batch algorithm
+on each micro-batch (a hot key spreads over many tasks) and keeps the anchors in a
+versioned table.
 """
 
 from __future__ import annotations
@@ -77,3 +80,72 @@ def suppress_repeats_stream(stream: DataFrame, keys: Sequence[str], ts: str, id_
     return src.groupBy(*keys).applyInPandasWithState(
         step, outputStructType=out_schema, stateStructType="anchor long",
         outputMode="append", timeoutConf=timeout)
+
+
+# --------------------------------------------------------------------------- state-table form
+def _state_version(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/v={batch_id}"
+
+
+def repeats_micro_batch(df: DataFrame, batch_id: int, keys: Sequence[str], ts: str, id_col: str,
+                        out_path: str, state_path: str, hours: int = CACHE_HOURS,
+                        keep_state_us: int | None = None) -> None:
+    """T1 over one micro-batch with the anchors kept in a table, no keyed state.
+
+    Each batch is handled by the batch algorithm (``operators.repeats.anchors``),
+    so a hot key is spread over many tasks instead of one.  State is one row per
+    key ``(_k, anchor)`` written as version ``v=<batch_id>`` under ``state_path``:
+    a retried batch reads version ``batch_id - 1`` again and rewrites its own
+    version and output partition, so it is idempotent.  Arrivals less than 24 h
+    after the stored anchor (late ones included) are repeats; the rest are walked
+    as a batch.  Keys whose anchor is older than ``keep_state_us`` (default 24 h)
+    before the batch's latest arrival are dropped from state: their next arrival
+    passes anyway."""
+    from curata.operators.repeats import anchors
+
+    spark = df.sparkSession
+    window = hours * MICROS_PER_HOUR
+    keep = window if keep_state_us is None else keep_state_us
+    cols = df.columns
+    framed = df.select("*", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("_k"),
+                       _epoch(df, ts).alias("_t"))
+    if batch_id > 0:
+        prev = spark.read.parquet(_state_version(state_path, batch_id - 1))
+    else:
+        prev = spark.createDataFrame([], "_k string, anchor long")
+    # One state row per key, so the join cannot multiply arrivals.
+    cand = (framed.join(prev, "_k", "left")
+            .where(F.col("anchor").isNull() | (F.col("_t") >= F.col("anchor") + F.lit(window)))
+            .drop("anchor"))
+    passed = anchors(cand, ["_k"], "_t", id_col, hours).withColumnRenamed("id", "_pid")
+    kept = cand.join(passed, cand[id_col].cast("long") == passed["_pid"], "left_semi")
+    out = kept.select(*cols).withColumn("batch_id", F.lit(batch_id))
+    prev_mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        out.write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev_mode)
+    # New state: the latest anchor per key; keys too old to matter are dropped.
+    horizon = framed.select(F.max("_t")).scalar()  # scalar subquery
+    newest = kept.groupBy("_k").agg(F.max("_t").alias("anchor"))
+    state = (prev.unionByName(newest).groupBy("_k").agg(F.max("anchor").alias("anchor"))
+             .where(horizon.isNull() | (F.col("anchor") + F.lit(keep) > horizon)))
+    state.write.mode("overwrite").parquet(_state_version(state_path, batch_id))
+
+
+def _epoch(df: DataFrame, ts: str):
+    from curata.functions.durations import epoch_us
+    return epoch_us(F.col(ts), df.schema[ts].dataType)
+
+
+def start_repeats_stream(stream: DataFrame, keys: Sequence[str], ts: str, id_col: str,
+                         out_path: str, state_path: str, checkpoint: str, hours: int = CACHE_HOURS,
+                         trigger: dict | None = None):
+    """Start the state-table form of streaming T1 (``foreachBatch``)."""
+    w = (stream.writeStream
+         .foreachBatch(lambda df, bid: repeats_micro_batch(df, bid, keys, ts, id_col, out_path, state_path, hours))
+         .option("checkpointLocation", checkpoint))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
