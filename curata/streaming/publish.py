@@ -24,6 +24,7 @@ from curata.operators.dedup import keep_first, pending, with_url_norm
 from curata.operators.generate import SUMMARY_TEMPLATE, batch_generate, build_prompt, finish_text
 from curata.operators.publish import ERROR, PUBLISHED, classify
 from curata.sources.readers import ledger_keys
+from curata.session import cut_lineage
 from curata.sources.sinks import LEDGER_COLUMNS, append_ledger, ledger_rows
 
 
@@ -45,7 +46,11 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
     (e.g. main text from ``html``), so costly extraction only runs on what is new."""
     spark = df.sparkSession
     kept = keep_first(with_url_norm(df), [folder_col])
-    todo = pending(kept, ledger_keys(_ledger(spark, ledger_path)))
+    # The pending set is computed once (a written table under the checkpoint
+    # folder): it is tested for emptiness and then fed to generation.
+    todo = cut_lineage(pending(kept, ledger_keys(_ledger(spark, ledger_path))))
+    if todo.isEmpty():
+        return
     # Python-heavy from here on: spread the rows by a key unique per row.  A
     # ``prepare`` that joins a large table should spread again after its join.
     todo = todo.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(folder_col, "url_norm"))
