@@ -333,9 +333,10 @@ def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
 def mark_repeats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
                  hours: int = CACHE_HOURS, partitions: int | None = None, **kw) -> DataFrame:
     """T1. Every row with ``repeat`` = not an anchor."""
-    a = anchors(df, keys, ts, id_col, hours, partitions, **kw).withColumn("_anchor", F.lit(True))
-    return (df.join(a, df[id_col] == a["id"], "left")
-            .withColumn("repeat", F.col("_anchor").isNull()).drop("id", "_anchor"))
+    a = anchors(df, keys, ts, id_col, hours, partitions, **kw).select(
+        F.col("id").alias("_aid"), F.lit(True).alias("_anchor"))
+    return (df.join(a, df[id_col].cast("long") == a["_aid"], "left")
+            .withColumn("repeat", F.col("_anchor").isNull()).drop("_aid", "_anchor"))
 
 
 def suppress_repeats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,

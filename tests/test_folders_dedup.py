@@ -61,3 +61,9 @@ def test_pending_uses_normal_form(spark):
                                "url string, url_norm string")
     ledger = spark.createDataFrame([("http://www.a.org/x/",)], "url string")
     assert [r.url for r in pending(df, ledger_keys(ledger)).collect()] == ["https://b.org"]
+
+
+def test_ordered_items_nulls_last(spark):
+    from curata.operators.folders import ordered_items
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 9), (4, 5)], "item_id long, updated long")
+    assert [r.item_id for r in ordered_items(df).collect()] == [3, 2, 4, 1]

@@ -86,3 +86,13 @@ def test_publish_stream(spark, tmp):
     q.awaitTermination(300)
     res = spark.read.parquet(f"{tmp}/res").collect()
     assert len(res) == 1 and res[0].status in ("published", "error", "rejected")
+
+
+def test_sweep_log_round_trip(spark, tmp):
+    from curata.sources.sinks import append_sweep_log
+    arts = spark.createDataFrame([("https://a", "p1")], "url string, prompt string")
+    out = sweep(arts, ["m1"], lambda p, m: f"{m}:{p}")
+    append_sweep_log(out, f"{tmp}/sweep")
+    append_sweep_log(out, f"{tmp}/sweep")
+    back = spark.read.parquet(f"{tmp}/sweep").collect()
+    assert len(back) == 2 and {r.model for r in back} == {"m1"} and all(r.status == "ok" for r in back)

@@ -131,3 +131,11 @@ def test_cache_state_and_merge(spark):
         F.md5("url").alias("url_key"), "url", F.to_timestamp("t").alias("fetched_at"), "body")
     snap = {r.url: r.body for r in merge_cache(cache, fetched).collect()}
     assert snap == {"https://a": "A", "https://b": "B2", "https://c": "C"}
+
+
+def test_mark_repeats_flags_every_row(spark):
+    from curata.operators.repeats import mark_repeats
+    rows = skewed_rows(500, seed=21)
+    got = {r.id: r.repeat for r in mark_repeats(to_df(spark, rows), ["k"], "ts", "id").collect()}
+    want = brute(rows)
+    assert len(got) == len(rows) and {i for i, rep in got.items() if not rep} == want
