@@ -26,10 +26,11 @@ def test_counts_include_empty_folders(spark):
 
 def test_ordinal_many_partitions(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v"), (F.col("id") % 3).alias("g"))
-    got = ordinal(df, ["g", "v"], partitions=13).orderBy("ordinal").collect()
     want = sorted((r.g, r.v) for r in df.collect())
-    assert [(r.g, r.v) for r in got] == want
-    assert [r.ordinal for r in got] == list(range(1, 5001))
+    for small in (0, 100_000):  # distributed path, then the checked single-task path
+        got = ordinal(df, ["g", "v"], partitions=13, single_task_rows=small).orderBy("ordinal").collect()
+        assert [(r.g, r.v) for r in got] == want
+        assert [r.ordinal for r in got] == list(range(1, 5001))
 
 
 def test_resolve_url_column(spark):
