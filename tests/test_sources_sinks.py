@@ -90,3 +90,23 @@ def test_export_folders(spark, tmp):
     assert dirs == ["folder_slug=gaza_Saved_Search", "folder_slug=x_y_Search"]
     back = spark.read.option("header", True).option("escape", '"').csv(f"{tmp}/exp/folder_slug=gaza_Saved_Search")
     assert back.first().URL == 'https://a.org/"q"'
+
+
+def test_promotions_csv_duplicate_fails_load(spark, tmp):
+    from curata.operators.reconcile import DuplicateKeyError, replace_folders
+    d = os.path.join(tmp, "load")
+    os.makedirs(d)
+    table = os.path.join(tmp, "integration")
+    write(os.path.join(d, "folder_urls_News.csv"), '"Promotion","URL"\n"a","u1"\n"b","u2"\n')
+    assert replace_folders(read_promotions(spark, d, prefix="folder_urls_"), table) == 2
+    dup = os.path.join(tmp, "dup")
+    os.makedirs(dup)
+    write(os.path.join(dup, "folder_urls_News.csv"), '"Promotion","URL"\n"x","u9"\n"y","u9"\n')
+    with pytest.raises(DuplicateKeyError):
+        replace_folders(read_promotions(spark, dup, prefix="folder_urls_"), table)
+    assert sorted(r.url for r in spark.read.parquet(table).collect()) == ["u1", "u2"]  # unchanged
+    empty = os.path.join(tmp, "empty")
+    os.makedirs(empty)
+    write(os.path.join(empty, "folder_urls_News.csv"), '"Promotion","URL"\n')
+    assert replace_folders(read_promotions(spark, empty, prefix="folder_urls_"), table) == 0
+    assert spark.read.parquet(table).count() == 2  # header-only file leaves the table as it is
