@@ -42,7 +42,7 @@ def posts(df: DataFrame, max_length: int = POST_MAX, promotion: str = "promotion
     """P19 + P17 + F6 + P18. Strip both fields, measure the promotion without links,
     mark ``ready`` or ``too_long`` (failing rows are kept, not dropped), build the post."""
     s = df.withColumn(promotion, strip_ws(promotion)).withColumn(url, strip_ws(url))
-    n = link_free_length(promotion)
+    n = link_free_length(promotion).cast("long")
     return (s.withColumn("link_free_len", n)
             .withColumn("status", F.when(F.col("link_free_len") <= max_length, F.lit("ready"))
                         .otherwise(F.lit("too_long")))
