@@ -319,11 +319,13 @@ def q_response_parsed(spark, sf_dir):
     from curata.operators.generate import finish_text, parse_response
     t = Tables(spark, sf_dir)
     r = t.events.select("event_id", parse_response(_reply(), "k").alias("r"))
-    fin = finish_text(strip_trace("r.text"))
-    ok = F.col("r.status") == "ok"
+    # One column per stage, so each costly expression is computed once per row.
+    r = r.select("event_id", F.col("r.status").alias("parsed"), strip_trace("r.text").alias("clean"))
+    r = r.select("event_id", "parsed", finish_text("clean").alias("fin"))
+    ok = F.col("parsed") == "ok"
     return r.select("event_id",
-                    F.when(ok, fin["text"]).alias("response"),
-                    F.when(ok, fin["status"]).otherwise(F.col("r.status")).alias("status"))
+                    F.when(ok, F.col("fin.text")).alias("response"),
+                    F.when(ok, F.col("fin.status")).otherwise(F.col("parsed")).alias("status"))
 
 
 # --------------------------------------------------------------------------- publishing

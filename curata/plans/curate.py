@@ -56,12 +56,13 @@ def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: Dat
            .withColumn("body", main_text("html", limit=body_limit)).drop("html"))
     art = art.withColumn("prompt", build_prompt(template, length=length, body=F.col("body")))
     gen = batch_generate(art, generator, "prompt", workers=workers)
-    fin = finish_text(strip_trace("raw"))
+    gen = gen.withColumn("_clean", strip_trace("raw"))  # its own column: computed once per row
+    fin = finish_text("_clean")
     out = (gen.withColumn("_fin", fin)
            .withColumn("promotion", F.when(F.col("status") == "ok", clean_text(F.col("_fin.text")))
                        .otherwise(F.lit("")))
            .withColumn("status", F.when(F.col("status") == "ok", F.lit("ok")).otherwise(F.lit(ERROR)))
-           .drop("_fin", "prompt"))
+           .drop("_fin", "_clean", "prompt"))
     out = classify(out, "promotion", error_substring=error_substring)
     return out.withColumn("n_chars", char_count("promotion"))
 

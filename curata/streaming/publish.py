@@ -58,11 +58,12 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
         todo = prepare(todo)
     art = todo.withColumn("prompt", build_prompt(template, length=length, body=F.col("body")))
     gen = batch_generate(art, generator, "prompt", workers=workers)
-    fin = finish_text(strip_trace("raw"))
+    gen = gen.withColumn("_clean", strip_trace("raw"))  # its own column: computed once per row
+    fin = finish_text("_clean")
     res = (gen.withColumn("_fin", fin)
            .withColumn("promotion", F.when(F.col("status") == "ok", clean_text("_fin.text")).otherwise(F.lit("")))
            .withColumn("status", F.when(F.col("status") == "ok", F.lit("ok")).otherwise(F.lit(ERROR)))
-           .drop("_fin", "prompt"))
+           .drop("_fin", "_clean", "prompt"))
     res = classify(res).withColumn("n_chars", char_count("promotion")).withColumn("batch_id", F.lit(batch_id))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
