@@ -366,14 +366,10 @@ sides AS (SELECT CASE WHEN ls.url IS NOT NULL AND rs.url IS NOT NULL THEN 'both'
 """
 
 
-def _sides(t: Tables):
-    return S.reconcile_sides(t)
-
-
 @register("reconcile_sides", S.sql_with("promotions") + _SQL_SIDES + "SELECT * FROM sides")
 def q_reconcile_sides(spark, sf_dir):
     from curata.operators.reconcile import reconcile
-    return reconcile(*_sides(Tables(spark, sf_dir)))
+    return reconcile(*S.reconcile_sides(Tables(spark, sf_dir)))
 
 
 @register("reconcile_summary", S.sql_with("promotions") + _SQL_SIDES + """
@@ -385,7 +381,7 @@ SELECT (SELECT count(*) FROM l) AS left_rows, (SELECT count(*) FROM r) AS right_
 FROM sides""")
 def q_reconcile_summary(spark, sf_dir):
     from curata.operators.reconcile import verdict
-    return verdict(*_sides(Tables(spark, sf_dir)))
+    return verdict(*S.reconcile_sides(Tables(spark, sf_dir)))
 
 
 @register("reconcile_sample", S.sql_with("promotions") + _SQL_SIDES + """
@@ -398,7 +394,7 @@ SELECT side, ordinal, substr(promotion, 1, 50) AS promotion, substr(url, 1, 50)
 FROM ranked WHERE ordinal <= 5""")
 def q_reconcile_sample(spark, sf_dir):
     from curata.operators.reconcile import reconcile, sample
-    return sample(reconcile(*_sides(Tables(spark, sf_dir))))
+    return sample(reconcile(*S.reconcile_sides(Tables(spark, sf_dir))))
 
 
 @register("duplicate_keys", """
