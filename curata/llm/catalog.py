@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import packing, tokens
+from curata.llm import language, packing, tokens
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,3 +37,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(read(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    machines = language.fit(docs)
+    return (language.predict(docs, machines)
+            .select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
