@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import language, packing, tokens
+from curata.llm import language, packing, personal, tokens
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,3 +45,12 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     machines = language.fit(docs)
     return (language.predict(docs, machines)
             .select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
+
+
+@query
+def op5_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = personal.scan(docs, personal.fit(docs))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == personal.KINDS.index(kind))).cast("long")
+    return found.select(F.col("k").alias("doc_id"), *[count(kind).alias(f"n_{kind}") for kind in personal.BASE],
+                        F.sha2(personal.listed(F.col("base")), 256).alias("base_sha256"), personal.listed(F.col("spans")).alias("spans"))
