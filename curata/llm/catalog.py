@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import language, packing, personal, tokens
+from curata.llm import language, licences, packing, personal, tokens
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,3 +54,15 @@ def op5_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == personal.KINDS.index(kind))).cast("long")
     return found.select(F.col("k").alias("doc_id"), *[count(kind).alias(f"n_{kind}") for kind in personal.BASE],
                         F.sha2(personal.listed(F.col("base")), 256).alias("base_sha256"), personal.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = licences.scan(docs, licences.inverse_frequencies(docs))
+    return found.select(F.col("k").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+                        F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
+                        "base_labels", "labels", "score")
+
+
+ORACLES["op6_licences"] = licences.oracle()
