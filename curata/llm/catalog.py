@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import language, licences, neardup, packing, personal, tokens
+from curata.llm import language, licences, neardup, packing, personal, pivots, tokens
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,3 +71,8 @@ ORACLES["op6_licences"] = licences.oracle()
 @query
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(read(spark, sf_dir, "embeddings"))
