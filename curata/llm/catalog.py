@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import hashing, language, licences, neardup, packing, personal, pivots, tokens
+from curata.llm import hashing, language, licences, neardup, packing, personal, pivots, sharding, tokens
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,3 +81,11 @@ def op7_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashing.nearest(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_sharding"] = sharding.oracle()
