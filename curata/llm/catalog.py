@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import hashing, language, licences, neardup, packing, personal, pivots, sharding, tokens
+from curata.llm import hashing, language, licences, neardup, packing, personal, pivots, quality, sharding, tokens
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,3 +89,13 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_sharding"] = sharding.oracle()
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of texts labelled good and not toxic."""
+    return read(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
