@@ -1,26 +1,63 @@
-"""The corpus pipeline: language ID, quality, near-duplicates, personal data, packing."""
+"""The corpus pipeline: language ID, quality, near-duplicates, personal data, packing.
+
+Each stage works on all documents that its predecessor kept.  ``run`` writes every stage's
+result to the shared folder before the next one reads it.  The models are learnt here from the
+stage's own documents, so the rows cannot be expressed in SQL: the tests hold every stage
+against its operator and a brute-force version (``tests/llm/test_pipeline.py``).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import catalog
+from curata.llm import catalog, language, neardup, personal, quality
 from curata.llm.common import read, stage
 
+#: A document whose language is told with a lower score goes; one without any letter scores 0.
+LEAST_LANGUAGE_SCORE = 0.3
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that can be told stay."""
+    return language.keep_identified(docs, language.fit(docs), LEAST_LANGUAGE_SCORE)
+
+
+def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as predictable as trusted text of their language stay."""
+    return quality.keep_good(docs, catalog.trusted_ids(spark, sf_dir))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the least id stays."""
+    return neardup.keep_one(docs)
+
+
+def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; personal data in its text is replaced."""
+    done = personal.redact(docs, personal.fit(docs))
+    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the packed sequences."""
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences with their ids."""
     return catalog.pieces(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("language", identify_language),
+    ("quality", judge_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal", redact_personal),
+    ("packing", pack),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
-    for k, (_, stage_of) in enumerate(STAGES):
-        docs = stage_of(spark, docs, sf_dir)
+    for k, (_, apply) in enumerate(STAGES):
+        docs = apply(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stage(docs)
     return docs
