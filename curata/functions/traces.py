@@ -14,13 +14,10 @@ by range 1 is not seen by ranges 2 and 3.  Then lines that are only
 ``thinking`` and blank lines go, every line is trimmed, and runs of spaces are
 squeezed.  Lines are joined with newline.
 
-Plan: ``split`` into lines and fold with a three-flag struct (``aggregate``).
-Short texts fold over every line, collecting the kept ones.  Long texts fold
-over the *marker* lines only (lines that can open or close a range); every
-other line is deleted exactly when a range is open after the last marker
-before it, so cost grows with lines x markers instead of lines squared.  Rows without
-``think`` anywhere (the common case) skip all of it and only trim/drop blank
-lines; ``CASE WHEN`` evaluates one branch per row.
+Plan: one regex pass for each range, in that order.  A range is a line with its
+opening marker up to the first later line with its closing marker (or the end); a
+line deleted by one pass is gone for the next.  The passes and the line filter are
+linear in the text, whatever its number of lines or markers.
 """
 
 from __future__ import annotations
@@ -36,8 +33,13 @@ ONLY_THINKING = r"^\s*thinking\s*$"
 BLANK = r"^\s*$"
 
 
-def _has(x: Column, pattern: str) -> Column:
-    return x.rlike("(?i)" + pattern)
+def _range(opening: str, closing: str) -> str:
+    """Whole lines from one with ``opening`` to the next later one with ``closing``."""
+    return (rf"(?dims)^[^\n]*(?:{opening})[^\n]*"
+            rf"(?:\n.*?(?:{closing})[^\n]*(?:\n|\z)|\n.*\z|\z)")
+
+
+RANGES = [_range(OPEN_1, CLOSE_1), _range(OPEN_2, CLOSE_2), _range(OPEN_3, CLOSE_3)]
 
 
 def _tidy(x: Column) -> Column:
@@ -45,86 +47,10 @@ def _tidy(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(x, r"^\s+|\s+$", ""), " {2,}", " ")
 
 
-# Any line that can open or close a range (only these can change the state).
-MARKER = "|".join([OPEN_1, CLOSE_1, OPEN_2, CLOSE_2, OPEN_3, CLOSE_3])
-
-
-def _fold_all_lines(lines: Column) -> Column:
-    """The fold over every line, collecting kept lines (cheap for short texts;
-    array appends make it quadratic in the number of lines)."""
-    def step(s, x):
-        a, b, cc, out = s["a"], s["b"], s["c"], s["out"]
-
-        def st(na, nb, nc, nout):
-            return F.struct(na.alias("a"), nb.alias("b"), nc.alias("c"), nout.alias("out"))
-
-        keep = F.concat(out, F.array(_tidy(x)))
-        return (
-            F.when(a, st(~_has(x, CLOSE_1), b, cc, out))
-            .when(_has(x, OPEN_1), st(F.lit(True), b, cc, out))
-            .when(b, st(a, ~_has(x, CLOSE_2), cc, out))
-            .when(_has(x, OPEN_2), st(a, F.lit(True), cc, out))
-            .when(cc, st(a, b, ~_has(x, CLOSE_3), out))
-            .when(_has(x, OPEN_3), st(a, b, F.lit(True), out))
-            .when(_has(x, ONLY_THINKING) | x.rlike(BLANK), st(a, b, cc, out))
-            .otherwise(st(a, b, cc, keep))
-        )
-
-    init = F.struct(F.lit(False).alias("a"), F.lit(False).alias("b"), F.lit(False).alias("c"),
-                    F.array().cast("array<string>").alias("out"))
-    return F.array_join(F.aggregate(lines, init, step)["out"], "\n")
-
-
-def strip_trace(c, small_lines: int = 256) -> Column:
-    """P3 as a Column.  Texts of up to ``small_lines`` lines take the plain fold;
-    longer ones the marker fold (see the module docstring)."""
-    text = F.col(c) if isinstance(c, str) else c
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    # Only marker lines can change a range's state, so the fold runs over them
-    # alone (cost grows with markers, not lines); every other line is deleted
-    # exactly when a range is open after the last marker before it.
-    marks = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
-                     lambda m: _has(m["x"], MARKER))
-
-    def step(s, m):
-        a, b, cc, out, x = s["a"], s["b"], s["c"], s["out"], m["x"]
-
-        def st(na, nb, nc, deleted):
-            rec = F.struct(m["i"].alias("i"), na.alias("a"), nb.alias("b"), nc.alias("c"), deleted.alias("d"))
-            return F.struct(na.alias("a"), nb.alias("b"), nc.alias("c"), F.concat(out, F.array(rec)).alias("out"))
-
-        yes, no = F.lit(True), F.lit(False)
-        return (
-            F.when(a, st(~_has(x, CLOSE_1), b, cc, yes))
-            .when(_has(x, OPEN_1), st(yes, b, cc, yes))
-            .when(b, st(a, ~_has(x, CLOSE_2), cc, yes))
-            .when(_has(x, OPEN_2), st(a, yes, cc, yes))
-            .when(cc, st(a, b, ~_has(x, CLOSE_3), yes))
-            .when(_has(x, OPEN_3), st(a, b, yes, yes))
-            .otherwise(st(a, b, cc, no))
-        )
-
-    rec_type = "array<struct<i:int,a:boolean,b:boolean,c:boolean,d:boolean>>"
-    init = F.struct(F.lit(False).alias("a"), F.lit(False).alias("b"), F.lit(False).alias("c"),
-                    F.array().cast(rec_type).alias("out"))
-    states = F.aggregate(marks, init, step)["out"]
-
-    def per_line(st):
-        # ``st`` is a lambda variable: the fold result is computed once per row,
-        # not once per line (an outer expression in a lambda is re-evaluated).
-        def deleted(i):
-            last = F.try_element_at(F.filter(st, lambda e: e["i"] <= i), F.lit(-1))
-            return (F.when(last.isNull(), F.lit(False))
-                    .when(last["i"] == i, last["d"])
-                    .otherwise(last["a"] | last["b"] | last["c"]))
-
-        kept = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), deleted(i).alias("gone"))),
-                        lambda r: ~r["gone"] & ~_has(r["x"], ONLY_THINKING) & ~r["x"].rlike(BLANK))
-        return F.array_join(F.transform(kept, lambda r: _tidy(r["x"])), "\n")
-
-    folded = F.element_at(F.transform(F.array(states), per_line), 1)
-    simple = F.array_join(
-        F.transform(F.filter(lines, lambda x: ~x.rlike(BLANK)), _tidy), "\n")
-    return (F.when(~_has(F.coalesce(text, F.lit("")), "think"), simple)
-            .when(F.size(lines) <= small_lines, _fold_all_lines(lines))
-            .otherwise(folded))
+def strip_trace(c) -> Column:
+    """P3 as a Column."""
+    text = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+    for pattern in RANGES:
+        text = F.regexp_replace(text, pattern, "")
+    lines = F.filter(F.split(text, "\n", -1), lambda x: ~x.rlike("(?i)" + ONLY_THINKING) & ~x.rlike(BLANK))
+    return F.array_join(F.transform(lines, _tidy), "\n")

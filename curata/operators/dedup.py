@@ -40,3 +40,10 @@ def pending(df: DataFrame, published_keys: DataFrame, key: str = "url_norm") ->
     A plain left-anti join: AQE picks broadcast-hash when the ledger keys turn
     out small at run time and sort-merge otherwise, and splits skewed keys."""
     return df.join(published_keys.select(key), key, "left_anti")
+
+
+def one_folder(df: DataFrame, key: str = "url_norm", order: Sequence[str] = ("title", "node_id")) -> DataFrame:
+    """One row a URL: its first folder by ``order``.  An aggregate, as W1."""
+    rest = [c for c in df.columns if c != key]
+    first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order])).alias("_first")
+    return df.groupBy(key).agg(first).select(*[F.col(key) if c == key else F.col("_first")[c].alias(c) for c in df.columns])

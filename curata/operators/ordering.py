@@ -4,9 +4,8 @@
 Instead: range-partition and sort on the order columns (Spark samples the keys,
 so hot values are spread), number rows inside each partition, and add the
 running count of the partitions before it.  The offsets table has one row per
-partition, a size bounded by the partition count, so it is broadcast.  Inputs
-whose counted size is under a stated bound (a folder listing) use one sorted
-window instead: a single task over a checked number of rows.
+partition, a size bounded by the partition count, so it is broadcast.  Inputs of
+every size take this path.
 """
 
 from __future__ import annotations
@@ -23,21 +22,17 @@ from curata.session import cut_lineage
 
 
 def ordinal(df: DataFrame, order: Sequence, name: str = "ordinal", partitions: int | None = None,
-            materialize_input: bool = True, single_task_rows: int = 100_000) -> DataFrame:
+            materialize_input: bool = True) -> DataFrame:
     """Add a 1-based ``name`` column following ``order`` (column names or Columns).
 
     Range partitioning reads its input twice (a sampling pass for the bounds, then
     the shuffle); with ``materialize_input`` the input is written once first, so
     costly upstream work (regexes over whole texts, UDFs) is not done twice.
-    Pass only the columns you need.  Inputs of at most ``single_task_rows`` rows
-    (counted first, so the bound is checked) are numbered by one sorted window
-    in a single task; larger ones take the distributed path."""
+    Pass only the columns you need."""
     spark = df.sparkSession
     if materialize_input:
         df = cut_lineage(df)
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    if single_task_rows and df.count() <= single_task_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("long"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     schema = T.StructType(laid.schema.fields + [T.StructField("_part", T.IntegerType(), False),

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curata.functions.text import strip_ws
+from curata.session import cut_lineage, drop_staged
 
 LEFT_ONLY, RIGHT_ONLY, BOTH = "left_only", "right_only", "both"
 KEYS = ("promotion", "url")
@@ -45,8 +46,14 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS, str
 
 def verdict(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS, strip: bool = True) -> DataFrame:
     """X2 + A2 + A3. One row: data rows per side, the two differences, the matches,
-    and ``identical`` (no difference either way and at least one left row)."""
-    c = pair_counts(left, right, keys, strip)
+    and ``identical`` (no difference either way and at least one left row).
+
+    Only counts come out, so the groups are keyed on a digest of the pair (nulls tagged,
+    lengths before values): 32 bytes a row are shuffled, not whole texts."""
+    tagged = _tagged(left, right, keys, strip)
+    part = [F.coalesce(F.concat(F.length(k).cast("string"), F.lit(":"), F.col(k)), F.lit("-")) for k in keys]
+    c = (tagged.select(F.unhex(F.sha2(F.concat_ws("|", *part), 256)).alias("_d"), "_l", "_r").groupBy("_d")
+         .agg(F.sum("_l").alias("n_left"), F.sum("_r").alias("n_right")))
     lo = F.count_if((F.col("n_left") > 0) & (F.col("n_right") == 0))
     ro = F.count_if((F.col("n_right") > 0) & (F.col("n_left") == 0))
     return c.agg(
@@ -59,18 +66,19 @@ def verdict(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS, strip
 
 def sample(sides: DataFrame, n: int = 5, keys: Sequence[str] = KEYS, preview: int = 50) -> DataFrame:
     """O3. The first ``n`` pairs of each difference in key order, cut to ``preview``
-    characters, with how many more there are.  Each side is a TakeOrderedAndProject
-    (per-partition top-n, then a merge of n rows per partition)."""
+    characters, with how many more there are.
+
+    The differences are written once; each side is then a TakeOrderedAndProject
+    (per-partition top-n, then a merge of n rows per partition) over that table."""
+    d = cut_lineage(sides.where(F.col("side") != BOTH))
+    totals = d.groupBy("side").agg(F.count("*").alias("_total"))  # two rows
     parts = []
     for side in (LEFT_ONLY, RIGHT_ONLY):
-        d = sides.where(F.col("side") == side)
-        total = d.select(F.count(F.lit(1))).scalar()  # scalar subquery, no join
-        top = (d.orderBy(*keys).limit(n)
-               .withColumn("ordinal", F.row_number().over(Window.orderBy(*keys)).cast("long"))  # n rows
-               .withColumn("n_more", F.greatest(total - n, F.lit(0)).cast("long")))
-        parts.append(top)
-    return parts[0].unionByName(parts[1]).select(
-        "side", "ordinal", *[F.substring(k, 1, preview).alias(k) for k in keys], "n_more")
+        top = d.where(F.col("side") == side).orderBy(*keys).limit(n)
+        parts.append(top.withColumn("ordinal", F.row_number().over(Window.orderBy(*keys)).cast("long")))  # n rows
+    return (parts[0].unionByName(parts[1]).join(F.broadcast(totals), "side")
+            .select("side", "ordinal", *[F.substring(k, 1, preview).alias(k) for k in keys],
+                    F.greatest(F.col("_total") - n, F.lit(0)).cast("long").alias("n_more")))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = ("url", "folder_name")) -> DataFrame:
@@ -82,26 +90,28 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+class NoUsableRowError(ValueError):
+    pass
+
+
 def replace_folders(df: DataFrame, path: str, keys: Sequence[str] = ("url", "folder_name"),
-                    partition: str = "folder_name") -> int:
+                    partition: str = "folder_name", header_only: bool = False) -> int:
     """S9. Keyed replace load: the folders present in ``df`` are replaced in the
     table at ``path`` (Parquet, partitioned by folder); other folders stay.
 
-    A duplicate ``(url, folder_name)`` fails the whole load before anything is
-    written.  An input without rows leaves the table untouched.  Returns the
-    number of rows loaded.  Dynamic partition overwrite commits per partition."""
-    spark: SparkSession = df.sparkSession
-    staged = df.select("promotion", "url", partition)
+    The input is written once; what is checked is what is loaded.  A duplicate
+    ``(url, folder_name)`` fails the whole load before anything is written, and so does
+    an input without a usable row unless the caller knows that it is ``header_only``.
+    Returns the number of rows loaded.  Dynamic partition overwrite commits per partition."""
+    staged = cut_lineage(df.select("promotion", "url", partition).where(F.col("url").isNotNull()))
     stats = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("dups")).first()
     if stats["dups"]:
         raise DuplicateKeyError(f"{stats['dups']} duplicate {tuple(keys)} keys; nothing loaded")
     if not stats["rows"]:
+        if not header_only:
+            raise NoUsableRowError("no usable row; nothing loaded")
         return 0
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(partition).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    drop_staged(staged)
     return int(stats["rows"])

@@ -16,8 +16,7 @@ single task.  Instead (``anchors``):
    partition is walked with a binary search to the next anchor.  Exact for every
    key that does not cross a partition boundary; one pass, no join.
 2. *crossing keys* (at most one per boundary, read off a per-partition summary)
-   are redone whole: by a per-key walk when their rows are under a checked bound,
-   else by the data-parallel path below.
+   are redone whole by the data-parallel path below.
 3. *successor + doubling* (any key size): for every arrival ``i`` find
    ``next(i)``, the first arrival of the same key at or after ``t_i + 24 h``
    (arrivals and probes range-partitioned and sorted together, probes resolved in
@@ -210,49 +209,31 @@ def successor(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, delta_us
     return _successor(_base(df, keys, ts, id_col), delta_us, _n_parts(df, partitions))
 
 
-def _materialize(df: DataFrame, held: list) -> DataFrame:
-    """Materialise one doubling level as a written table (keeps every plan small;
-    the doubling would otherwise nest each level's plan twice)."""
-    out = cut_lineage(df)
-    held.append(out)
-    return out
-
-
 def _doubling_anchors(base: DataFrame, delta_us: int, n: int) -> DataFrame:
     """Anchor ids by successor pointers and pointer doubling (any key size)."""
-    held: list[DataFrame] = []
     succ = _successor(base, delta_us, n)
     roots = (base.groupBy("_k").agg(F.min_by("_id", F.struct("_t", "_id")).alias("id")).select("id"))
-    roots = _materialize(roots, held)
+    roots = cut_lineage(roots)
     linked = succ.where(F.col("nxt_id").isNotNull())
     # Only roots and someone's successor can lie on a chain.
     cands = roots.unionByName(linked.select(F.col("nxt_id").alias("id"))).distinct()
-    level = _materialize(linked.join(cands, "id", "left_semi").select("id", F.col("nxt_id").alias("p")), held)
+    level = cut_lineage(linked.join(cands, "id", "left_semi").select("id", F.col("nxt_id").alias("p")))
     levels = []
     while True:
         levels.append(level)
         nxt = (level.alias("a").join(level.alias("b"), F.col("a.p") == F.col("b.id"))
                .select(F.col("a.id").alias("id"), F.col("b.p").alias("p")))
-        nxt = _materialize(nxt, held)
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         level = nxt
     reached = roots
     for lv in reversed(levels):
         step = reached.join(lv, "id").select(F.col("p").alias("id"))
-        reached = _materialize(reached.unionByName(step), held)
+        reached = cut_lineage(reached.unionByName(step))
     return reached
 
 
-def _walk(t: np.ndarray, window_us: int) -> list[int]:
-    """Anchor positions of one key's arrivals sorted by ``(t, id)``."""
-    out, i, n = [], 0, len(t)
-    while i < n:
-        out.append(i)
-        i = int(np.searchsorted(t, t[i] + window_us, side="left"))
-    return out
-
-
 _LOCAL_SCHEMA = T.StructType([
     T.StructField("_row", T.IntegerType()),    # 3 local anchor, 2 partition summary
     T.StructField("_part", T.IntegerType()),
@@ -264,51 +245,49 @@ _LOCAL_SCHEMA = T.StructType([
 
 def _local_pass(window_us: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Walk the sorted rows batch by batch; only the open key's anchor is carried."""
         part = TaskContext.get().partitionId()
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        k = pdf["_k"].to_numpy(dtype=object)
-        t = pdf["_t"].to_numpy(dtype=np.int64)
-        ids = pdf["_id"].to_numpy(dtype=np.int64)
-        cuts = np.flatnonzero(k[1:] != k[:-1]) + 1
-        starts = np.concatenate([[0], cuts])
-        ends = np.concatenate([cuts, [len(k)]])
-        pos = [s + j for s, e in zip(starts, ends) for j in _walk(t[s:e], window_us)]
-        pos = np.asarray(pos, dtype=np.int64)
-        yield pd.DataFrame({"_row": np.full(len(pos), 3, dtype=np.int32),
-                            "_part": np.full(len(pos), part, dtype=np.int32),
-                            "_id": ids[pos], "_k": k[pos], "_last_k": None})
-        yield pd.DataFrame({"_row": [2], "_part": [part], "_id": [None], "_k": [k[0]], "_last_k": [k[-1]]})
-    return run
-
-
-def _key_walk(window_us: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((pdf["_id"].to_numpy(), pdf["_t"].to_numpy()))
-        t = pdf["_t"].to_numpy(dtype=np.int64)[order]
-        ids = pdf["_id"].to_numpy(dtype=np.int64)[order]
-        return pd.DataFrame({"id": ids[_walk(t, window_us)]})
+        first = last = anchor = None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            k = pdf["_k"].to_numpy(dtype=object)
+            t = pdf["_t"].to_numpy(dtype=np.int64)
+            ids = pdf["_id"].to_numpy(dtype=np.int64)
+            if first is None:
+                first = k[0]
+            cuts = np.flatnonzero(k[1:] != k[:-1]) + 1
+            pos: list[int] = []
+            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k)]):
+                if k[s] != last:
+                    last, anchor = k[s], None
+                i = s if anchor is None else s + int(np.searchsorted(t[s:e], anchor + window_us, side="left"))
+                while i < e:
+                    pos.append(i)
+                    anchor = int(t[i])
+                    i = s + int(np.searchsorted(t[s:e], anchor + window_us, side="left"))
+            at = np.asarray(pos, dtype=np.int64)
+            yield pd.DataFrame({"_row": np.full(len(at), 3, dtype=np.int32),
+                                "_part": np.full(len(at), part, dtype=np.int32),
+                                "_id": ids[at], "_k": k[at], "_last_k": None})
+        if first is not None:
+            yield pd.DataFrame({"_row": [2], "_part": [part], "_id": [None], "_k": [first], "_last_k": [last]})
     return run
 
 
 def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
-            hours: int = CACHE_HOURS, partitions: int | None = None,
-            group_rows_max: int = 2_000_000) -> DataFrame:
+            hours: int = CACHE_HOURS, partitions: int | None = None) -> DataFrame:
     """Ids of the anchors (the arrivals that pass), one column ``id``.
 
     1. Arrivals are range-partitioned and sorted on ``(key, t, id)`` and every key
-       run inside a partition is walked locally (binary search to the next anchor).
-       That is exact for every key that does not cross a partition boundary.
+       run inside a partition is walked locally, batch by batch (binary search to
+       the next anchor).  Exact for every key that does not cross a boundary.
     2. Keys that do cross one (at most one per boundary, read off a per-partition
-       summary, so at most ``partitions`` keys) are redone as a whole: with a
-       per-key walk when their rows are at most ``group_rows_max`` (a checked
-       bound), otherwise with successor pointers and pointer doubling, which never
-       puts one key in one task."""
+       summary) are redone as a whole with successor pointers and pointer doubling,
+       which never puts one key in one task."""
     window = hours * MICROS_PER_HOUR
     n = _n_parts(df, partitions)
-    base = _base(df, keys, ts, id_col)
+    base = cut_lineage(_base(df, keys, ts, id_col))  # read for sampling, shuffle and redo
     order = ["_k", "_t", "_id"]
     laid = base.repartitionByRange(n, *order).sortWithinPartitions(*order)
     m = cut_lineage(laid.mapInPandas(_local_pass(window), _LOCAL_SCHEMA))
@@ -319,28 +298,23 @@ def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
     crossing = cut_lineage(crossing)  # at most one key per partition boundary
     local = (m.where(F.col("_row") == 3).join(F.broadcast(crossing), "_k", "left_anti")
              .select(F.col("_id").alias("id")))
-    rest = base.join(F.broadcast(crossing), "_k", "left_semi")
-    rest_rows = rest.count()
-    if rest_rows == 0:
+    if crossing.isEmpty():
         return local
-    if rest_rows <= group_rows_max:
-        redone = rest.groupBy("_k").applyInPandas(_key_walk(window), "id long")
-    else:
-        redone = _doubling_anchors(rest, window, n)
-    return local.unionByName(redone)
+    rest = base.join(F.broadcast(crossing), "_k", "left_semi")
+    return local.unionByName(_doubling_anchors(rest, window, n))
 
 
 def mark_repeats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
-                 hours: int = CACHE_HOURS, partitions: int | None = None, **kw) -> DataFrame:
+                 hours: int = CACHE_HOURS, partitions: int | None = None) -> DataFrame:
     """T1. Every row with ``repeat`` = not an anchor."""
-    a = anchors(df, keys, ts, id_col, hours, partitions, **kw).select(
+    a = anchors(df, keys, ts, id_col, hours, partitions).select(
         F.col("id").alias("_aid"), F.lit(True).alias("_anchor"))
     return (df.join(a, df[id_col].cast("long") == a["_aid"], "left")
             .withColumn("repeat", F.col("_anchor").isNull()).drop("_aid", "_anchor"))
 
 
 def suppress_repeats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
-                     hours: int = CACHE_HOURS, partitions: int | None = None, **kw) -> DataFrame:
+                     hours: int = CACHE_HOURS, partitions: int | None = None) -> DataFrame:
     """T1 batch. The rows that pass (anchors); repeats are left out."""
-    a = anchors(df, keys, ts, id_col, hours, partitions, **kw)
+    a = anchors(df, keys, ts, id_col, hours, partitions)
     return df.join(a.withColumnRenamed("id", id_col), id_col, "left_semi")

@@ -38,12 +38,29 @@ def register(name: str, sql: str | None = None):
 
 # --------------------------------------------------------------------------- SQL helpers
 def sql_normalize_url(x: str) -> str:
-    """The P1 rewrite chain as nested DuckDB ``regexp_replace(..., 'g')``."""
-    for pattern, repl in X.URL_REWRITES:
+    """The P1 rewrite chain as nested DuckDB ``regexp_replace``, its patterns written out here."""
+    for pattern, repl in [("[?&](utm_[^&]+|fbclid|gclid|mc_[^&]+)=[^&]*", ""), ("[?&]sid=[^&]*", ""), ("/#.*$", ""),
+                          ("^http://", "https://"), (r"^https://www\.", "https://"), (r"/\?$", ""), ("/$", ""), (r"\?$", "")]:
         x = f"regexp_replace({x}, '{pattern}', '{repl}', 'g')"
     return f"regexp_replace(lower({x}), '^\\s+|\\s+$', '', 'g')"
 
 
+def sql_clean(x: str) -> str:
+    """P2 in DuckDB."""
+    return f"""regexp_replace(trim(replace(
+    regexp_replace(regexp_replace(strip_accents(
+      regexp_replace({x}, '\\x1B(?:[@-Z\\\\-_]|\\[[0-?]*[ -/]*[@-~])', '', 'g')),
+      '[^\\x00-\\x7F]', '', 'g'), '[\\x00-\\x1F\\x7F]', '', 'g'),
+    '"', '\'\'')), '\\s+', ' ', 'g')"""
+
+
+def sql_lines(x: str) -> str:
+    """The lines of a text without blank ones, trimmed, runs of spaces squeezed."""
+    return f"""array_to_string(list_filter(list_transform(string_split({x}, chr(10)),
+      lambda x: regexp_replace(regexp_replace(x, '^\\s+|\\s+$', '', 'g'), ' {{2,}}', ' ', 'g')),
+    lambda x: x <> ''), chr(10))"""
+
+
 def sql_us(x: str) -> str:
     return f"epoch_us({x})"
 
@@ -130,29 +147,43 @@ def _inject():
 _SQL_INJECT = "text || chr(27) || '[31m red' || chr(27) || '[0m' || chr(9) || '\"quoted\"  '"
 
 
-@register("text_cleaned", f"""
-SELECT doc_id,
-  regexp_replace(trim(replace(
-    regexp_replace(regexp_replace(strip_accents(
-      regexp_replace({_SQL_INJECT}, '\\x1B(?:[@-Z\\\\-_]|\\[[0-?]*[ -/]*[@-~])', '', 'g')),
-      '[^\\x00-\\x7F]', '', 'g'), '[\\x00-\\x1F\\x7F]', '', 'g'),
-    '"', '\'\'')), '\\s+', ' ', 'g') AS cleaned
-FROM documents""")
+@register("text_cleaned", f"SELECT doc_id, {sql_clean(_SQL_INJECT)} AS cleaned FROM documents")
 def q_text_cleaned(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return t.documents.select("doc_id", X.clean_text(_inject()).alias("cleaned"))
 
 
-@register("trace_removed", """
-SELECT conv_id, turn,
-  array_to_string(list_filter(
-    list_transform(string_split(text, chr(10)),
-      lambda x: regexp_replace(regexp_replace(x, '^\\s+|\\s+$', '', 'g'), ' {2,}', ' ', 'g')),
-    lambda x: x <> ''), chr(10)) AS cleaned
-FROM conversations""")
+# (text before, text after, what is left before): around every whole turn, as rows of its own.
+_SHAPES = [
+    ("<think>\nplan\n</think>\n", "", ""),                         # closed
+    ("", "\n<THINK>\nplan\nmore", ""),                            # never closed
+    ("<think>x</think>\ngone\na </think> b\n", "", ""),           # the end is looked for from the next line on
+    ("Think...\nplan\nDone thinking.\n", "", ""),
+    ("thinking...\nplan\ndone thinking.\n", "", ""),
+    ("<think>\nthink...\n</think>\ndone thinking.\n", "", "done thinking."),  # a deleted line opens nothing
+    ("thinking...\nthink...\ndone thinking.\nstill\ndone thinking.\n", "", ""),  # one range inside another
+    ("  Thinking  \n\n a  b \n", "", "a b"),
+    ("", "", ""),
+]
+
+
+def _sql_str(x: str) -> str:
+    return "'" + x.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+_SQL_TRACE_LEFT = "CASE shape " + " ".join(f"WHEN {i} THEN {_sql_str(left)}" for i, (_, _, left) in enumerate(_SHAPES)) + " END"
+
+
+@register("trace_removed", f"""
+SELECT conv_id, turn, shape,
+  concat_ws(chr(10), nullif({_SQL_TRACE_LEFT}, ''), nullif({sql_lines('text')}, '')) AS cleaned
+FROM conversations, range(0, {len(_SHAPES)}) s(shape)""")
 def q_trace_removed(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return S.raw_outputs(t).select("conv_id", "turn", strip_trace("raw").alias("cleaned"))
+    shapes = F.array(*[F.struct(F.lit(i).cast("long").alias("shape"), F.lit(b).alias("b"), F.lit(a).alias("a"))
+                       for i, (b, a, _) in enumerate(_SHAPES)])
+    rows = t.conversations.select("conv_id", "turn", "text", F.explode(shapes).alias("s"))
+    return rows.select("conv_id", "turn", "s.shape", strip_trace(F.concat("s.b", "text", "s.a")).alias("cleaned"))
 
 
 @register("folder_slug", """
@@ -285,54 +316,48 @@ def q_page_main_text(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- generation replies
-# Reply shapes injected alike on both sides: missing field, malformed JSON, null,
-# false, blank text, and a reasoning block with no answer after it.
-_SQL_REPLY = """CASE event_id % 8 WHEN 0 THEN '{"other": 1}' WHEN 1 THEN 'not json'
-    WHEN 2 THEN '{"k": null}' WHEN 3 THEN '{"k": false}' WHEN 4 THEN '{"k": "  "}'
-    WHEN 5 THEN '{"k": "<think>\\nplan\\n</think>\\n"}' ELSE props END"""
-
-
-def _reply():
-    e = F.col("event_id") % 8
-    return (F.when(e == 0, F.lit('{"other": 1}')).when(e == 1, F.lit("not json"))
-            .when(e == 2, F.lit('{"k": null}')).when(e == 3, F.lit('{"k": false}'))
-            .when(e == 4, F.lit('{"k": "  "}')).when(e == 5, F.lit('{"k": "<think>\\nplan\\n</think>\\n"}'))
-            .otherwise(F.col("props")))
+# Every event's own reply, and reply shapes as further rows: missing field, malformed
+# JSON, null, false, blank text, and a reasoning block with no answer after it.
+_REPLIES = ['{"other": 1}', "not json", '{"k": null}', '{"k": false}', '{"k": "  "}', '{"k": "<think>\\nplan\\n</think>\\n"}']
 
 
 @register("response_parsed", f"""
-WITH r AS (SELECT event_id, {_SQL_REPLY} AS reply FROM events),
-j AS (SELECT event_id, CASE WHEN json_valid(reply) AND json_type(reply) = 'OBJECT' THEN reply END AS js FROM r),
-v AS (SELECT event_id, json_type(js, '$.k') AS typ, json_extract_string(js, '$.k') AS txt FROM j),
-o AS (SELECT event_id,
+WITH r AS (SELECT event_id, -1 AS shape, props AS reply FROM events
+           UNION ALL SELECT event_id, i, (['{"', '".join(x.replace("'", "''") for x in _REPLIES)}'])[i + 1] FROM events, range(0, {len(_REPLIES)}) s(i)),
+j AS (SELECT event_id, shape, CASE WHEN json_valid(reply) AND json_type(reply) = 'OBJECT' THEN reply END AS js FROM r),
+v AS (SELECT event_id, shape, json_type(js, '$.k') AS typ, json_extract_string(js, '$.k') AS txt FROM j),
+o AS (SELECT event_id, shape,
         typ IS NOT NULL AND typ <> 'NULL' AND NOT (typ = 'BOOLEAN' AND txt = 'false') AS ok,
         CASE WHEN strpos(txt, '<think>') > 0 THEN ''
              ELSE array_to_string(list_filter(list_transform(string_split(txt, chr(10)),
                     lambda x: regexp_replace(regexp_replace(x, '^\\s+|\\s+$', '', 'g'), ' {{2,}}', ' ', 'g')),
                     lambda x: x <> ''), chr(10)) END AS cleaned
       FROM v)
-SELECT event_id,
+SELECT event_id, shape,
   CASE WHEN NOT ok THEN NULL WHEN cleaned = '' THEN '[Error: No summary generated]' ELSE cleaned END AS response,
   CASE WHEN NOT ok THEN 'invalid_response' WHEN cleaned = '' THEN 'empty' ELSE 'ok' END AS status
 FROM o""")
 def q_response_parsed(spark, sf_dir):
     from curata.operators.generate import finish_text, parse_response
     t = Tables(spark, sf_dir)
-    r = t.events.select("event_id", parse_response(_reply(), "k").alias("r"))
+    shapes = F.array(*[F.struct(F.lit(i).cast("long").alias("shape"), F.lit(x).alias("reply"))
+                       for i, x in [(-1, None), *enumerate(_REPLIES)]])
+    rows = t.events.select("event_id", "props", F.explode(shapes).alias("s"))
+    r = rows.select("event_id", "s.shape", parse_response(F.coalesce("s.reply", "props"), "k").alias("r"))
     # One column per stage, so each costly expression is computed once per row.
-    r = r.select("event_id", F.col("r.status").alias("parsed"), strip_trace("r.text").alias("clean"))
-    r = r.select("event_id", "parsed", finish_text("clean").alias("fin"))
+    r = r.select("event_id", "shape", F.col("r.status").alias("parsed"), strip_trace("r.text").alias("clean"))
+    r = r.select("event_id", "shape", "parsed", finish_text("clean").alias("fin"))
     ok = F.col("parsed") == "ok"
-    return r.select("event_id",
+    return r.select("event_id", "shape",
                     F.when(ok, F.col("fin.text")).alias("response"),
                     F.when(ok, F.col("fin.status")).otherwise(F.col("parsed")).alias("status"))
 
 
 # --------------------------------------------------------------------------- publishing
 @register("publish_status", """
-WITH m AS (SELECT source AS folder,
-    CASE WHEN doc_id % 13 = 0 THEN '' WHEN doc_id % 11 = 0 THEN 'Error: ' || text
-         WHEN doc_id % 7 = 0 THEN 'Reject: ' || text ELSE text END AS promotion FROM documents)
+WITH m AS (SELECT source AS folder, text AS promotion FROM documents
+    UNION ALL SELECT source, CASE WHEN doc_id % 13 = 0 THEN '' WHEN doc_id % 11 = 0 THEN 'Error: ' || text ELSE 'Reject: ' || text END
+      FROM documents WHERE doc_id % 13 = 0 OR doc_id % 11 = 0 OR doc_id % 7 = 0)
 SELECT folder, CASE WHEN promotion IS NULL OR promotion = '' OR strpos(promotion, 'Error') > 0 THEN 'error'
                     WHEN starts_with(promotion, 'Reject:') THEN 'rejected' ELSE 'published' END AS status,
        count(*) AS n
@@ -464,27 +489,33 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY node_id, url_norm ORDER BY
            FROM normed WHERE url_norm <> ''),
 todo AS (SELECT * FROM ranked k WHERE rn = 1
          AND NOT EXISTS (SELECT 1 FROM ledger l WHERE {sql_normalize_url('l.url')} = k.url_norm)),
-art AS (SELECT t.*, substr(array_to_string({_SQL_BODY}, ''), 1, 2000) AS body
-        FROM todo t JOIN pages p ON p.page_id = t.page_id),
+first AS (SELECT *, row_number() OVER (PARTITION BY url_norm ORDER BY title, node_id) AS nth FROM todo),
+art AS (SELECT t.*, array_to_string({_SQL_BODY}, '') AS body
+        FROM first t JOIN pages p ON p.page_id = t.page_id WHERE nth = 1),
 gen AS (SELECT *, CASE WHEN length(body) % 11 = 0 THEN 'Error: generation failed'
                        WHEN length(body) % 7 = 0 THEN 'Reject: not news'
                        ELSE 'Summary ' || substr(md5(body), 1, 12) || ' of ' || CAST(length(body) AS VARCHAR)
                             || ' characters.' END AS promotion
-        FROM art)
-SELECT node_id, title, item_id, url, url_norm, promotion,
-  CASE WHEN strpos(promotion, 'Error') > 0 THEN 'error' WHEN starts_with(promotion, 'Reject:') THEN 'rejected'
-       ELSE 'published' END AS status,
-  length(promotion) AS n_chars
-FROM gen"""
+        FROM art),
+done AS (SELECT *, CASE WHEN strpos(promotion, 'Error') > 0 THEN 'error' WHEN starts_with(promotion, 'Reject:') THEN 'rejected'
+       ELSE 'published' END AS status FROM gen)"""
+
+_SQL_CURATED_ROWS = _SQL_CURATED + """
+SELECT node_id, title, item_id, url, url_norm, promotion, status, length(promotion) AS n_chars, length(promotion) > 257 AS over_length
+FROM done
+UNION ALL
+SELECT f.node_id, f.title, f.item_id, f.url, f.url_norm, NULL,
+  CASE WHEN d.status = 'published' THEN 'already_published' ELSE 'deferred' END, NULL, NULL
+FROM first f JOIN done d ON d.url_norm = f.url_norm WHERE f.nth > 1"""
 
 
-@register("curated_batch", _SQL_CURATED)
+@register("curated_batch", _SQL_CURATED_ROWS)
 def q_curated_batch(spark, sf_dir):
     from curata.plans.curate import curate, digest_generator
     t = Tables(spark, sf_dir)
     out = curate(S.node(t), S.membership(t), S.items(t), S.ledger(t), t.pages, digest_generator)
     return out.select("node_id", "title", "item_id", "url", "url_norm", "promotion", "status",
-                      F.col("n_chars").cast("long").alias("n_chars"))
+                      F.col("n_chars").cast("long").alias("n_chars"), "over_length")
 
 
 # --------------------------------------------------------------------------- stream forms in the gate
@@ -494,43 +525,56 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/curata-{name}-{uuid.uuid4().hex}"
 
 
+def _batches(spark, events: DataFrame, batch, n: int, base: str) -> DataFrame:
+    """Events as a file stream of ``n`` micro-batches, one file each, in the order of ``batch``."""
+    staged = events.select("event_id", "user_id", "event_type", "ts")
+    for b in range(n):  # written one after another: the source takes files by age
+        staged.where(batch == b).coalesce(1).write.parquet(f"{base}/in/b={b}")
+    return spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+
+
+def _t1(spark, src: DataFrame, base: str) -> DataFrame:
+    from curata.streaming.repeats import start_repeats_stream
+    q = start_repeats_stream(src, ["user_id", "event_type"], "ts", "event_id", f"{base}/out",
+                             f"{base}/state", f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    kept = spark.read.parquet(f"{base}/out").where("status = 'passed'")
+    return kept.select("event_id", "user_id", "event_type", us(kept, "ts").alias("ts_us"))
+
+
 @register("repeat_suppressed_stream", ORACLE["repeat_suppressed"])
 def q_repeat_suppressed_stream(spark, sf_dir):
-    """T1 as a Structured Streaming query (file source, availableNow, Parquet sink
-    under the checkpoint folder); read back as a batch DataFrame."""
-    from curata.streaming.repeats import suppress_repeats_stream
+    """T1 as a stream of three micro-batches in event time: the same rows as in one batch."""
     t = Tables(spark, sf_dir)
-    # A glob, so the file source lists the one file (a plain file path is taken as its base folder).
-    src = (spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events.parque[t]")
-           .select("event_id", "user_id", "event_type", "ts"))
-    out = suppress_repeats_stream(src, ["user_id", "event_type"], "ts", "event_id", watermark="1 hour")
     base = _scratch(spark, "t1-stream")
-    q = (out.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    kept = spark.read.schema(out.schema).parquet(f"{base}/out")
-    return kept.select("event_id", "user_id", "event_type", us(kept, "ts").alias("ts_us"))
+    t_us = us(t.events, "ts")
+    a, b = t.events.select(t_us.alias("t")).agg(F.percentile_approx("t", [0.33, 0.66])).first()[0]
+    batch = F.when(t_us <= a, 0).when(t_us <= b, 1).otherwise(2)
+    return _t1(spark, _batches(spark, t.events, batch, 3, base), base)
+
+
+# Arrival order: the batches one after another, (time, id) inside each; a row before the
+# anchor or less than 24 h after it is a repeat.
+@register("repeat_suppressed_arrivals", ORACLE["repeat_suppressed"].replace("ORDER BY ts, event_id", "ORDER BY event_id % 3, ts, event_id"))
+def q_repeat_suppressed_arrivals(spark, sf_dir):
+    """T1 as a stream of three micro-batches that each span all of the time: most rows come late."""
+    t = Tables(spark, sf_dir)
+    base = _scratch(spark, "t1-arrivals")
+    return _t1(spark, _batches(spark, t.events, F.pmod(F.col("event_id"), F.lit(3)), 3, base), base)
 
 
 @register("repeat_suppressed_state_stream", ORACLE["repeat_suppressed"])
 def q_repeat_suppressed_state_stream(spark, sf_dir):
     """T1 as a stream without keyed state: foreachBatch runs the batch algorithm per
     micro-batch and keeps the anchors in a versioned table (skew-safe per batch)."""
-    from curata.streaming.repeats import start_repeats_stream
     t = Tables(spark, sf_dir)
+    # A glob, so the file source lists the one file (a plain file path is taken as its base folder).
     src = (spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events.parque[t]")
            .select("event_id", "user_id", "event_type", "ts"))
-    base = _scratch(spark, "t1-state")
-    q = start_repeats_stream(src, ["user_id", "event_type"], "ts", "event_id", f"{base}/out",
-                             f"{base}/state", f"{base}/checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
-    kept = spark.read.parquet(f"{base}/out").drop("batch_id")
-    return kept.select("event_id", "user_id", "event_type", us(kept, "ts").alias("ts_us"))
+    return _t1(spark, src, _scratch(spark, "t1-state"))
 
 
-@register("published_ledger", "SELECT promotion, url, title AS folder_name FROM (" + _SQL_CURATED +
-          ") WHERE status = 'published'")
+@register("published_ledger", _SQL_CURATED + "SELECT promotion, url, title AS folder_name FROM done WHERE status = 'published'")
 def q_published_ledger(spark, sf_dir):
     """T2 + S7: the incremental publishing step run twice over the saved-search
     articles against a seeded ledger; the second run must add nothing."""
@@ -543,7 +587,8 @@ def q_published_ledger(spark, sf_dir):
     ledger_path, results_path = f"{base}/ledger", f"{base}/results"
     seed = S.ledger(t).select(F.lit(None).cast("string").alias("promotion"), "url",
                               F.lit(None).cast("string").alias("folder_name"),
-                              F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("string").alias("worker"))
+                              F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("string").alias("worker"),
+                              X.normalize_url("url").alias("url_norm"))
     append_ledger(seed, ledger_path)
     fi = folder_items(saved_searches(S.node(t)), S.membership(t), S.items(t))
     pages = t.pages.select("page_id", "html")
@@ -551,7 +596,7 @@ def q_published_ledger(spark, sf_dir):
     def body(todo: DataFrame) -> DataFrame:  # fetch stand-in: page table, spread, then main text
         spread = spark.sparkContext.defaultParallelism
         return (todo.join(pages, "page_id").repartition(spread, F.xxhash64("title", "url_norm"))
-                .withColumn("body", main_text("html")).drop("html"))
+                .withColumn("body", main_text("html", limit=None)).drop("html"))
 
     process_batch(fi, 0, ledger_path, results_path, digest_generator, prepare=body)
     process_batch(fi, 1, ledger_path, results_path, digest_generator, prepare=body)

@@ -1,14 +1,13 @@
 """Curate every saved search in one job.
 
-``folders -> membership -> items -> url_norm -> keep-first -> not in ledger ->
-page body -> prompt -> generate -> trace removal -> fallback -> clean -> gate``
-
-One lazy plan.  Shuffles: the membership/items join, the keep-first aggregate
-and the ledger anti join (AQE picks the strategies at run time); the page join
-brings the HTML only for the URLs that survive; JVM <-> Python only at the HTML
-UDF and at generation.  The anti join sits below generation on purpose:
-Catalyst does not move joins across ``mapInPandas``, so the order written is the
-order run and the generator never sees a published URL.
+``folders -> membership -> items -> url_norm -> keep-first -> not in ledger -> one folder
+a URL -> (cache) -> page text -> prompt -> generate -> trace removal -> fallback -> clean -> gate``
+
+Shuffles: the membership/items join, the keep-first aggregate, the ledger anti join and the
+choice of a folder (AQE picks the strategies at run time); the page join brings the HTML
+only for the URLs that survive, once a URL.  The anti join sits below generation on
+purpose: Catalyst does not move joins across ``mapInPandas``, so the generator never sees a
+published URL.  A URL is generated once, whatever the number of its folders.
 """
 
 from __future__ import annotations
@@ -16,55 +15,104 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curata.functions.html import main_text
-from curata.functions.text import BODY_LIMIT, POST_MAX, char_count, clean_text
+from curata.functions.html import main_text, page_text
+from curata.functions.text import POST_MAX, char_count, clean_text
 from curata.functions.traces import strip_trace
-from curata.operators.dedup import keep_first, pending, with_url_norm
+from curata.operators.dedup import keep_first, one_folder, pending, with_url_norm
 from curata.operators.folders import folder_items, saved_searches
-from curata.operators.generate import SUMMARY_TEMPLATE, batch_generate, build_prompt, finish_text
-from curata.operators.publish import ERROR, classify
+from curata.operators.generate import OK, SUMMARY_TEMPLATE, batch_generate, build_prompt, finish_text
+from curata.operators.publish import PUBLISHED, classify
+from curata.operators.repeats import cache_state, merge_cache
+from curata.session import cut_lineage
 from curata.sources.readers import ledger_keys
 
+#: Statuses of rows that are not generated in this run.
+ALREADY_PUBLISHED, DEFERRED, REPEATED = "already_published", "deferred", "repeated"
+
+
+def generated(art: DataFrame, generator: Callable[[str], str], template: str = SUMMARY_TEMPLATE,
+              length: int = POST_MAX, workers: Sequence[str] | None = None,
+              error_substring: bool = True) -> DataFrame:
+    """P12 -> G1 -> P3 -> P15 -> P2 -> F5 over rows with ``body`` (and ``url`` for templates
+    that name it).  ``empty``, ``failed`` and ``invalid_response`` stay statuses of their own."""
+    art = art.withColumn("prompt", build_prompt(template, length=length, body=F.col("body"), url=F.col("url")))
+    gen = batch_generate(art, generator, "prompt", workers=workers)
+    gen = gen.withColumn("_clean", strip_trace("raw"))  # its own column: computed once per row
+    out = (gen.withColumn("_fin", finish_text("_clean"))
+           .withColumn("promotion", F.when(F.col("status") == OK, clean_text(F.col("_fin.text"))).otherwise(F.lit("")))
+           .withColumn("status", F.when(F.col("status") == OK, F.col("_fin.status")).otherwise(F.col("status")))
+           .drop("_fin", "_clean", "prompt"))
+    out = classify(out, "promotion", error_substring=error_substring)
+    return (out.withColumn("n_chars", char_count("promotion"))
+            .withColumn("over_length", F.col("n_chars") > length))
+
 
 def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: DataFrame,
            pages: DataFrame, generator: Callable[[str], str], template: str = SUMMARY_TEMPLATE,
            length: int = POST_MAX, workers: Sequence[str] | None = None,
-           error_substring: bool = True, body_limit: int = BODY_LIMIT,
+           error_substring: bool = True, body: Column | None = None, body_limit: int | None = None,
+           cache: DataFrame | None = None, now=None, on_fresh: str = "flag",
            parallelism: int | None = None) -> DataFrame:
     """Rows ``node_id, title, item_id, url, url_norm, body, raw, promotion, status,
-    n_chars, duration_s, worker, slow`` for every URL of every saved search not yet
-    in ``ledger`` (one row per folder and normal form; newest item wins).
+    n_chars, over_length, duration_s, worker, slow`` for every URL of every saved search
+    not yet in ``ledger`` (one row per folder and normal form; newest item wins).
+
+    Each URL is generated for one folder, the first by ``(title, node_id)``; its rows in other
+    folders come out as ``already_published`` when it was, else as ``deferred``: an error
+    or a reject comes up again in the next run.
 
-    ``items`` must carry ``page_id`` to find the page body in ``pages(page_id, html)``.
-    Persist or write the result before splitting it: each action would otherwise
-    call the generator again."""
+    ``items`` must carry ``page_id`` to find the page in ``pages(page_id, html)``; the body is the
+    whole main text unless ``body`` or ``body_limit`` says otherwise.  With ``cache`` (one row a
+    key, optionally with ``body``) a fresh hit is ``repeated`` and not generated, or, with
+    ``on_fresh="reuse"``, uses the cached body.  The result is written once."""
     fi = folder_items(saved_searches(node), membership, items)
     kept = keep_first(with_url_norm(fi), ["node_id"])
-    todo = pending(kept, ledger_keys(ledger))
+    todo = cut_lineage(pending(kept, ledger_keys(ledger)))
+    chosen = one_folder(todo)
+    if cache is not None:
+        chosen = cache_state(chosen, cache, now, on_fresh)
+        again = chosen.where(F.col("action") == REPEATED)
+        fresh = chosen.where(F.col("action") == "reuse") if "body" in cache.columns else None
+        chosen = chosen.where(F.col("action").isin("fetch", "refresh") | (F.lit(fresh is None) & (F.col("action") == "reuse")))
+        plain = [c for c in todo.columns]
     # Python does the heavy part from here on (HTML, then generation, which costs
     # far more per row than moving it): spread the surviving articles evenly over
     # the tasks by a key that is unique per row (deterministic on retry).  The
-    # hash *expression* matters: a plain repartition on (node_id, url_norm) would
-    # be dropped as already satisfied by keep-first's exchange, which AQE then
-    # coalesces to a few partitions when the pending set is small.
+    # hash *expression* matters: a plain repartition on url_norm would be dropped
+    # as already satisfied, and AQE would coalesce it to a few partitions.
     spread = parallelism or todo.sparkSession.sparkContext.defaultParallelism
-    art = (todo.join(pages.select("page_id", "html"), "page_id")
+    text = main_text("html", limit=body_limit) if body is None else body
+    art = (chosen.select(*todo.columns).join(pages.select("page_id", "html"), "page_id")
            .repartition(spread, F.xxhash64("node_id", "url_norm"))
-           .withColumn("body", main_text("html", limit=body_limit)).drop("html"))
-    art = art.withColumn("prompt", build_prompt(template, length=length, body=F.col("body")))
-    gen = batch_generate(art, generator, "prompt", workers=workers)
-    gen = gen.withColumn("_clean", strip_trace("raw"))  # its own column: computed once per row
-    fin = finish_text("_clean")
-    out = (gen.withColumn("_fin", fin)
-           .withColumn("promotion", F.when(F.col("status") == "ok", clean_text(F.col("_fin.text")))
-                       .otherwise(F.lit("")))
-           .withColumn("status", F.when(F.col("status") == "ok", F.lit("ok")).otherwise(F.lit(ERROR)))
-           .drop("_fin", "_clean", "prompt"))
-    out = classify(out, "promotion", error_substring=error_substring)
-    return out.withColumn("n_chars", char_count("promotion"))
+           .withColumn("body", text).drop("html"))
+    if cache is not None and fresh is not None:
+        art = art.unionByName(fresh.select(*plain, "body"))
+    done = cut_lineage(generated(art, generator, template, length, workers, error_substring))
+    if cache is not None:
+        done = done.unionByName(again.select(*plain, F.lit(REPEATED).alias("status")), allowMissingColumns=True)
+    other = (todo.join(done.select("url_norm", F.col("node_id").alias("_n"), F.col("status").alias("_s")), "url_norm")
+             .where(F.col("node_id") != F.col("_n"))
+             .withColumn("status", F.when(F.col("_s") == PUBLISHED, F.lit(ALREADY_PUBLISHED)).otherwise(F.lit(DEFERRED)))
+             .drop("_n", "_s"))
+    return done.unionByName(other, allowMissingColumns=True)
+
+
+def refreshed_cache(pages: DataFrame, cache: DataFrame, now, limit: int | None = None) -> DataFrame:
+    """J5 + S11 + X3. The next cache snapshot ``(url_key, url, fetched_at, body)``: fresh rows
+    as they are, stale and new ones fetched from ``pages(url, html)`` at ``now``."""
+    state = cache_state(pages.select("url", "html").dropDuplicates(["url"]), cache.select("url_key", "fetched_at"), now)
+    fetched = (state.where(F.col("action") != REPEATED)
+               .select("url_key", "url", F.lit(now).cast(cache.schema["fetched_at"].dataType).alias("fetched_at"),
+                       main_text("html", limit=limit).alias("body")))
+    return merge_cache(cache, cut_lineage(fetched))
+
+
+def whole_page(html: str = "html") -> Column:
+    """P23 as the body of ``curate``: all visible text of the page."""
+    return page_text(html)
 
 
 # --------------------------------------------------------------------------- test generator

@@ -33,12 +33,16 @@ def node(t: Tables) -> DataFrame:
                      .when(k % 5 == 0, F.lit(" saved search"))
                      .otherwise(F.lit(" Inbox")))
     kind = F.when(k % 7 == 3, F.lit("folder")).otherwise(F.lit("vfolder"))
-    return t.nation.select(k.alias("node_id"), title.alias("title"), kind.alias("type"))
+    own = t.nation.select(k.alias("node_id"), title.alias("title"), kind.alias("type"))
+    # folders without any item
+    empty = t.nation.select((k + 1000).alias("node_id"), F.concat("n_name", F.lit(" Empty Saved Search")).alias("title"),
+                            F.lit("vfolder").alias("type"))
+    return own.unionByName(empty)
 
 
 def membership(t: Tables) -> DataFrame:
     n = page_count(t)
-    c = t.customer.where(F.col("c_nationkey") < 20)
+    c = t.customer
     a = c.select(F.col("c_nationkey").alias("node_id"), (F.col("c_custkey") % n).alias("item_id"))
     b = c.select(F.col("c_nationkey").alias("node_id"), (F.col("c_custkey") % n + n).alias("item_id"))
     return a.unionByName(b).distinct()
@@ -81,13 +85,13 @@ def promotions(t: Tables) -> DataFrame:
 
 
 def outcome_mix(t: Tables) -> DataFrame:
-    """Generated text with rejects, errors and empty results mixed in."""
-    d = F.col("doc_id")
-    text = (F.when(d % 13 == 0, F.lit(""))
-            .when(d % 11 == 0, F.concat(F.lit("Error: "), F.col("text")))
-            .when(d % 7 == 0, F.concat(F.lit("Reject: "), F.col("text")))
-            .otherwise(F.col("text")))
-    return t.documents.select(d, F.col("source").alias("folder"), text.alias("promotion"))
+    """Generated text, and as further rows rejects, errors and empty results."""
+    d = t.documents.select("doc_id", F.col("source").alias("folder"), F.col("text").alias("promotion"))
+    k = F.col("doc_id")
+    extra = (F.when(k % 13 == 0, F.lit("")).when(k % 11 == 0, F.concat(F.lit("Error: "), "promotion"))
+             .when(k % 7 == 0, F.concat(F.lit("Reject: "), "promotion")))
+    more = d.withColumn("promotion", extra).where((k % 13 == 0) | (k % 11 == 0) | (k % 7 == 0))
+    return d.unionByName(more)
 
 
 def reconcile_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -114,10 +118,6 @@ def cache(t: Tables) -> DataFrame:
             .select(F.md5("url").alias("url_key"), "url", "fetched_at"))
 
 
-def durations(t: Tables) -> DataFrame:
-    return t.events.select("event_id", (F.col("value") * 1000).alias("seconds"), "value")
-
-
 # ---------------------------------------------------------------------------
 # The same stand-ins in DuckDB SQL (used by oracle_sql).  Each is a CTE body.
 SQL_CTES = {
@@ -125,12 +125,13 @@ SQL_CTES = {
     "node": """SELECT n_nationkey AS node_id,
         n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' Saved Search'
                        WHEN n_nationkey % 5 = 0 THEN ' saved search' ELSE ' Inbox' END AS title,
-        CASE WHEN n_nationkey % 7 = 3 THEN 'folder' ELSE 'vfolder' END AS type FROM nation""",
+        CASE WHEN n_nationkey % 7 = 3 THEN 'folder' ELSE 'vfolder' END AS type FROM nation
+        UNION ALL SELECT n_nationkey + 1000, n_name || ' Empty Saved Search', 'vfolder' FROM nation""",
     "sfi": """SELECT c_nationkey AS node_id, c_custkey % n AS item_id
-                FROM customer, npages WHERE c_nationkey < 20
+                FROM customer, npages
               UNION
               SELECT c_nationkey AS node_id, c_custkey % n + n AS item_id
-                FROM customer, npages WHERE c_nationkey < 20""",
+                FROM customer, npages""",
     "items": """SELECT b.item_id, b.page_id, b.source, e.ts AS updated FROM (
           SELECT page_id AS item_id, page_id,
                  CASE WHEN page_id % 3 = 0 THEN regexp_replace(url, '^http://', 'https://www.') ELSE url END AS source

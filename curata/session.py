@@ -79,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="curata-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
@@ -97,3 +99,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{base}/curata-cut-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` wrote, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/curata-cut-" in name:
+                path = jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

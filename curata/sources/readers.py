@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.functions.text import folder_from_file_name, normalize_url
+from curata.functions.text import folder_from_file_name, normalize_url, strip_ws
 
 # URL column candidates in order; the OPML outline attributes.
 URL_CANDIDATES = ("url", "source", "link", "guid")
@@ -48,11 +48,11 @@ def resolve_url_column(items: DataFrame, candidates: Sequence[str] = URL_CANDIDA
     return items.select(*others, F.col(found).cast("string").alias("url"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(hpath))
+    return bool(fs.globStatus(hpath))  # any other error raises
 
 
 def read_opml(spark: SparkSession, path: str) -> DataFrame:
@@ -84,14 +84,15 @@ def read_opml(spark: SparkSession, path: str) -> DataFrame:
 def read_feed_list(spark: SparkSession, path: str) -> DataFrame:
     """S2. One URL a line; surrounding whitespace trimmed, blank lines dropped."""
     return (spark.read.text(path)
-            .select(F.trim(F.col("value")).alias("url"))
+            .select(strip_ws("value").alias("url"))
             .where(F.col("url") != ""))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """S5. The ledger CSV (header, every field quoted, backslash escape).
-    Rows with fewer than two fields are dropped; a missing file is empty."""
-    if not _exists(spark, path):
+    Rows with fewer than two fields are dropped; a missing file is empty.  A file is one
+    task (quoted fields may hold line ends): the ledger of record is the Parquet one."""
+    if not exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     df = (spark.read.schema(LEDGER_SCHEMA).option("header", True).option("multiLine", True)
           .option("escape", "\\").option("nullValue", _NO_NULL).option("emptyValue", "")
@@ -100,7 +101,10 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ledger_keys(ledger: DataFrame, url_col: str = "url") -> DataFrame:
-    """Distinct normal forms of the ledger's URLs (the anti-join side of J3)."""
+    """Distinct keys of the ledger (the anti-join side of J3): its stored ``url_norm``, or,
+    for a ledger without one, the normal forms of its URLs."""
+    if "url_norm" in ledger.columns:
+        return ledger.select("url_norm").distinct()
     return ledger.select(normalize_url(url_col).alias("url_norm")).distinct()
 
 

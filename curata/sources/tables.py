@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
-_SCANS: dict[tuple, DataFrame] = {}
-
-
 class Tables:
     """``Tables(spark, sf_dir).pages`` etc.; every access is a lazy Parquet scan."""
 
@@ -21,19 +16,15 @@ class Tables:
         ensure_checkpoint_dir(spark)  # also ships the package to the workers
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        # A scan is an immutable plan: reuse it (file listing and footers are read once).
-        key = (self.spark.sparkContext.applicationId, id(self.spark), f"{self.sf_dir}/{name}.parquet")
-        if key not in _SCANS:
-            _SCANS[key] = self.spark.read.parquet(key[2])
-        return _SCANS[key]
+        # A scan is an immutable plan: this object lists files and reads footers once.
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._scans[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.read(name)
         raise AttributeError(name)
-
-    @cached_property
-    def names(self):
-        return list(TABLES)

@@ -1,13 +1,14 @@
 """Incremental publishing as a stream.
 
-Each micro-batch of articles goes through keep-first, the ledger anti join,
-generation, clean-up and the gate, and its published rows are appended to the
-ledger.  Safe to repeat: the anti join runs against the ledger as committed, so
-a URL published by an earlier batch (or run) is never generated again, and a
-retried batch rewrites only its own ``batch_id`` partition of the results table.
+Each micro-batch of articles goes through keep-first, the ledger anti join, the choice of
+one folder a URL, generation, clean-up and the gate, and its published rows are appended
+to the ledger with the normal form of their URL as it came.  Safe to repeat: the anti
+join runs against the keys stored in the ledger as committed, so a URL published by an
+earlier batch (or run, or for another folder) is never generated again, and a retried
+batch rewrites only its own ``batch_id`` partition of the results table.
 
-The generator is called once per row and batch: the full result is written to
-the results table first, and the ledger rows are read back from it.
+The generator is called once per URL and batch: the full result is written to the
+results table first, and the ledger rows are read back from it.
 """
 
 from __future__ import annotations
@@ -18,21 +19,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from curata.functions.text import POST_MAX, char_count, clean_text
-from curata.functions.traces import strip_trace
-from curata.operators.dedup import keep_first, pending, with_url_norm
-from curata.operators.generate import SUMMARY_TEMPLATE, batch_generate, build_prompt, finish_text
-from curata.operators.publish import ERROR, PUBLISHED, classify
-from curata.sources.readers import ledger_keys
-from curata.session import cut_lineage
+from curata.functions.text import POST_MAX
+from curata.operators.dedup import keep_first, one_folder, pending, with_url_norm
+from curata.operators.generate import SUMMARY_TEMPLATE
+from curata.operators.publish import PUBLISHED
+from curata.plans.curate import generated
+from curata.session import cut_lineage, drop_staged
+from curata.sources.readers import exists
 from curata.sources.sinks import LEDGER_COLUMNS, append_ledger, ledger_rows
 
 
-def _ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no ledger yet
-        return spark.createDataFrame([], "url string")
+def _published(spark: SparkSession, path: str) -> DataFrame:
+    """The keys of the ledger; a ledger that isn't there yet has none.  Any other trouble
+    with reading it raises: taken for an empty ledger it would publish everything again."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "url_norm string")
+    return spark.read.parquet(path).select("url_norm")
 
 
 def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path: str,
@@ -48,33 +50,22 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
     kept = keep_first(with_url_norm(df), [folder_col])
     # The pending set is computed once (a written table under the checkpoint
     # folder): it is tested for emptiness and then fed to generation.
-    todo = cut_lineage(pending(kept, ledger_keys(_ledger(spark, ledger_path))))
-    if todo.isEmpty():
+    staged = cut_lineage(one_folder(pending(kept, _published(spark, ledger_path)), order=(folder_col,)))
+    if staged.isEmpty():
+        drop_staged(staged)
         return
     # Python-heavy from here on: spread the rows by a key unique per row.  A
     # ``prepare`` that joins a large table should spread again after its join.
-    todo = todo.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(folder_col, "url_norm"))
+    todo = staged.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(folder_col, "url_norm"))
     if prepare is not None:
         todo = prepare(todo)
-    art = todo.withColumn("prompt", build_prompt(template, length=length, body=F.col("body")))
-    gen = batch_generate(art, generator, "prompt", workers=workers)
-    gen = gen.withColumn("_clean", strip_trace("raw"))  # its own column: computed once per row
-    fin = finish_text("_clean")
-    res = (gen.withColumn("_fin", fin)
-           .withColumn("promotion", F.when(F.col("status") == "ok", clean_text("_fin.text")).otherwise(F.lit("")))
-           .withColumn("status", F.when(F.col("status") == "ok", F.lit("ok")).otherwise(F.lit(ERROR)))
-           .drop("_fin", "_clean", "prompt"))
-    res = classify(res).withColumn("n_chars", char_count("promotion")).withColumn("batch_id", F.lit(batch_id))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        res.write.mode("overwrite").partitionBy("batch_id").parquet(results_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    res = generated(todo, generator, template, length, workers).withColumn("batch_id", F.lit(batch_id))
+    res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(results_path)
+    drop_staged(staged)
     written = spark.read.parquet(results_path).where(F.col("batch_id") == batch_id)
     published = written.where(F.col("status") == PUBLISHED)
-    # A retried batch must not append twice: skip rows already in the ledger.
-    fresh = pending(with_url_norm(published), ledger_keys(_ledger(spark, ledger_path)))
+    # A retried batch must not append twice: skip keys already in the ledger.
+    fresh = pending(published, _published(spark, ledger_path))
     append_ledger(ledger_rows(fresh, folder_col).select(*LEDGER_COLUMNS), ledger_path)
 
 

@@ -1,137 +1,79 @@
-"""T1 as a stream: anchored 24-hour repeat suppression with keyed state.
-
-``applyInPandasWithState`` keeps one value per key: the current anchor time.
-Within a micro-batch a key's arrivals are taken in ``(t, id)`` order; the next
-anchor is found with a binary search (``searchsorted``), so a key costs
-O(anchors * log n) per batch, not a Python step per row.  Arrivals are taken in
-arrival order across batches: a late arrival (before the anchor) is a repeat.
-
-State is dropped when it can no longer matter: with a watermark, an event-time
-timeout fires at ``anchor + 24 h``; after that any arrival passes anyway, which
-is exactly what a key without state does.  This bounds the state store by the
-keys active in the last 24 hours.
-
-Keyed state lives in one task per key and micro-batch; bound the batch with the
-source's ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.  ``start_repeats_stream``
-is the alternative without keyed state: ``foreachBatch`` runs the batch algorithm
-on each micro-batch (a hot key spreads over many tasks) and keeps the anchors in a
-versioned table.
+"""T1 as a stream: anchored 24-hour repeat suppression.
+
+``foreachBatch`` runs the batch algorithm on each micro-batch, so a hot key spreads over
+many tasks, and the anchors live in a versioned table with a row a key.  Rows are taken
+in arrival order: within a micro-batch by ``(t, id)``, and batch after batch.  An arrival
+passes if it is the first of its key or comes 24 h or more after the key's anchor; a late
+one, before the anchor or within its 24 h, is a repeat.
+
+``lateness_hours`` bounds how far behind the latest event time seen a row may come.  Rows
+beyond it do not vanish: they come out with status ``late``.  A key's anchor is kept until
+``anchor + 24 h + lateness``: after that no row that is still taken could be its repeat.
+Without a bound, anchors are kept for good.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from curata.operators.repeats import CACHE_HOURS, MICROS_PER_HOUR
-
-
-def anchor_positions(t: np.ndarray, anchor: int | None, window_us: int) -> list[int]:
-    """Positions in sorted ``t`` that pass, given the current anchor (or none)."""
-    keep: list[int] = []
-    i, n = 0, len(t)
-    if anchor is not None:
-        i = int(np.searchsorted(t, anchor + window_us, side="left"))
-    while i < n:
-        keep.append(i)
-        i = int(np.searchsorted(t, t[i] + window_us, side="left"))
-    return keep
-
-
-def suppress_repeats_stream(stream: DataFrame, keys: Sequence[str], ts: str, id_col: str,
-                            hours: int = CACHE_HOURS, watermark: str | None = None) -> DataFrame:
-    """Streaming T1: the arrivals that pass.  ``watermark`` (e.g. ``"1 hour"``)
-    enables state expiry; without it state lives for every key ever seen."""
-    window_us = hours * MICROS_PER_HOUR
-    src = stream.withColumn("_ts", F.col(ts).cast("timestamp"))
-    if watermark:
-        src = src.withWatermark("_ts", watermark)
-    src = src.withColumn("_t", F.unix_micros("_ts"))
-    out_schema = stream.schema
-    cols = stream.columns
-
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        anchor = state.get[0] if state.exists else None
-        parts = [p for p in pdfs if len(p)]
-        if not parts:
-            return
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        raw_t = pdf["_t"].to_numpy(dtype=np.int64)
-        order = np.lexsort((pdf[id_col].to_numpy(), raw_t))
-        t = raw_t[order]
-        keep = anchor_positions(t, anchor, window_us)
-        if keep:
-            anchor = int(t[keep[-1]])
-        state.update((anchor,))
-        if watermark:
-            state.setTimeoutTimestamp((anchor + window_us) // 1000)
-        if keep:
-            yield pdf.iloc[order[keep]][cols]
-
-    timeout = GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout
-    return src.groupBy(*keys).applyInPandasWithState(
-        step, outputStructType=out_schema, stateStructType="anchor long",
-        outputMode="append", timeoutConf=timeout)
-
-
-# --------------------------------------------------------------------------- state-table form
+
+from curata.operators.repeats import CACHE_HOURS, MICROS_PER_HOUR, anchors
+from curata.session import cut_lineage, drop_staged
+
+PASSED, LATE = "passed", "late"
+
+
 def _state_version(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/v={batch_id}"
 
 
 def repeats_micro_batch(df: DataFrame, batch_id: int, keys: Sequence[str], ts: str, id_col: str,
                         out_path: str, state_path: str, hours: int = CACHE_HOURS,
-                        keep_state_us: int | None = None) -> None:
-    """T1 over one micro-batch with the anchors kept in a table, no keyed state.
-
-    Each batch is handled by the batch algorithm (``operators.repeats.anchors``),
-    so a hot key is spread over many tasks instead of one.  State is one row per
-    key ``(_k, anchor)`` written as version ``v=<batch_id>`` under ``state_path``:
-    a retried batch reads version ``batch_id - 1`` again and rewrites its own
-    version and output partition, so it is idempotent.  Arrivals less than 24 h
-    after the stored anchor (late ones included) are repeats; the rest are walked
-    as a batch.  Keys whose anchor is older than ``keep_state_us`` (default 24 h)
-    before the batch's latest arrival are dropped from state: their next arrival
-    passes anyway."""
-    from curata.operators.repeats import anchors
-
+                        lateness_hours: int | None = None) -> None:
+    """T1 over one micro-batch.  Writes the rows that pass and the late ones, with ``status``,
+    to the batch's partition of ``out_path``.
+
+    State is version ``v=<batch_id>`` under ``state_path``: rows ``(_k, anchor)`` and one row
+    with a null key that holds the latest event time seen.  A retried batch reads version
+    ``batch_id - 1`` again and rewrites its own version and output partition, so it is
+    idempotent; older versions than these two are deleted."""
     spark = df.sparkSession
     window = hours * MICROS_PER_HOUR
-    keep = window if keep_state_us is None else keep_state_us
     cols = df.columns
-    framed = df.select("*", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("_k"),
-                       _epoch(df, ts).alias("_t"))
+    framed = cut_lineage(df.select("*", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("_k"), _epoch(df, ts).alias("_t")))
     if batch_id > 0:
         prev = spark.read.parquet(_state_version(state_path, batch_id - 1))
     else:
         prev = spark.createDataFrame([], "_k string, anchor long")
+    seen = prev.where(F.col("_k").isNull()).select(F.max("anchor")).first()[0]
+    late = F.lit(False)
+    if lateness_hours is not None and seen is not None:
+        late = F.col("_t") < seen - lateness_hours * MICROS_PER_HOUR
+    taken = framed.where(~late)
     # One state row per key, so the join cannot multiply arrivals.
-    cand = (framed.join(prev, "_k", "left")
-            .where(F.col("anchor").isNull() | (F.col("_t") >= F.col("anchor") + F.lit(window)))
-            .drop("anchor"))
+    cand = cut_lineage(taken.join(prev.where(F.col("_k").isNotNull()), "_k", "left")
+                       .where(F.col("anchor").isNull() | (F.col("_t") >= F.col("anchor") + F.lit(window)))
+                       .drop("anchor"))
     passed = anchors(cand, ["_k"], "_t", id_col, hours).withColumnRenamed("id", "_pid")
-    kept = cand.join(passed, cand[id_col].cast("long") == passed["_pid"], "left_semi")
-    out = kept.select(*cols).withColumn("batch_id", F.lit(batch_id))
-    prev_mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev_mode)
-    # New state: the latest anchor per key; keys too old to matter are dropped.
-    horizon = framed.select(F.max("_t")).scalar()  # scalar subquery
+    kept = cut_lineage(cand.join(passed, cand[id_col].cast("long") == passed["_pid"], "left_semi"))
+    out = (kept.select(*cols, F.lit(PASSED).alias("status"))
+           .unionByName(framed.where(late).select(*cols, F.lit(LATE).alias("status"))).withColumn("batch_id", F.lit(batch_id)))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
+    # New state: the latest anchor per key, as long as a row may still come that it decides.
+    horizon = framed.agg(F.max("_t")).first()[0]
+    horizon = max(x for x in (horizon, seen, -(1 << 62)) if x is not None)
     newest = kept.groupBy("_k").agg(F.max("_t").alias("anchor"))
-    state = (prev.unionByName(newest).groupBy("_k").agg(F.max("anchor").alias("anchor"))
-             .where(horizon.isNull() | (F.col("anchor") + F.lit(keep) > horizon)))
+    state = (prev.where(F.col("_k").isNotNull()).unionByName(newest).groupBy("_k").agg(F.max("anchor").alias("anchor")))
+    if lateness_hours is not None:
+        state = state.where(F.col("anchor") + F.lit(window + lateness_hours * MICROS_PER_HOUR) > horizon)
+    state = state.unionByName(spark.createDataFrame([(None, horizon)], "_k string, anchor long"))
     state.write.mode("overwrite").parquet(_state_version(state_path, batch_id))
+    drop_staged(framed, cand, kept)
+    if batch_id > 1:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_state_version(state_path, batch_id - 2))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _epoch(df: DataFrame, ts: str):
@@ -141,10 +83,10 @@ def _epoch(df: DataFrame, ts: str):
 
 def start_repeats_stream(stream: DataFrame, keys: Sequence[str], ts: str, id_col: str,
                          out_path: str, state_path: str, checkpoint: str, hours: int = CACHE_HOURS,
-                         trigger: dict | None = None):
-    """Start the state-table form of streaming T1 (``foreachBatch``)."""
+                         trigger: dict | None = None, lateness_hours: int | None = None):
+    """Start streaming T1 (``foreachBatch``)."""
     w = (stream.writeStream
-         .foreachBatch(lambda df, bid: repeats_micro_batch(df, bid, keys, ts, id_col, out_path, state_path, hours))
+         .foreachBatch(lambda df, bid: repeats_micro_batch(df, bid, keys, ts, id_col, out_path, state_path, hours, lateness_hours))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)

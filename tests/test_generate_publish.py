@@ -1,3 +1,4 @@
+import pytest
 """G1-G4 (failures per row), P12-P15, F5/A4/F6, sweep, T2 run twice publishes nothing new."""
 
 from pyspark.sql import functions as F
@@ -96,3 +97,42 @@ def test_sweep_log_round_trip(spark, tmp):
     append_sweep_log(out, f"{tmp}/sweep")
     back = spark.read.parquet(f"{tmp}/sweep").collect()
     assert len(back) == 2 and {r.model for r in back} == {"m1"} and all(r.status == "ok" for r in back)
+
+
+def run_publish(spark, tmp, rows, generator, runs=1):
+    arts = spark.createDataFrame(rows, "title string, item_id long, url string, updated long, body string")
+    for n in range(runs):
+        process_batch(arts, n, f"{tmp}/ledger", f"{tmp}/results", generator)
+    return spark.read.parquet(f"{tmp}/ledger").collect()
+
+
+def test_each_url_is_published_once(spark, tmp):
+    """Two folders, a URL that clean-up changes, a URL with quotes; three runs."""
+    rows = [(f, i, u, i, "some body") for i, (f, u) in enumerate([
+        ("A", "https://ex.com/caf\u00e9"), ("B", "https://ex.com/caf\u00e9"), ("B", "https://ex.com/\"q\""),
+        ("A", "http://www.ex.com/x/"), ("B", "https://ex.com/x?utm_source=f")])]
+    led = run_publish(spark, tmp, rows, lambda p: "a summary", runs=3)
+    assert sorted((r.folder_name, r.url_norm) for r in led) == [
+        ("A", "https://ex.com/caf\u00e9"), ("A", "https://ex.com/x"), ("B", "https://ex.com/\"q\"")]
+
+
+def test_unreadable_ledger_raises(spark, tmp):
+    import os
+    os.makedirs(f"{tmp}/ledger")
+    with open(f"{tmp}/ledger/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        run_publish(spark, tmp, [("A", 1, "https://e.org", 1, "b")], lambda p: "x")
+
+
+def test_empty_and_failed_are_never_published(spark):
+    from curata.plans.curate import generated
+
+    def gen(prompt):
+        if "boom" in prompt:
+            raise ValueError("boom")
+        return "<think>only" if "empty" in prompt else "fine"
+    df = spark.createDataFrame([("u1", "boom"), ("u2", "empty"), ("u3", "ok")], "url string, body string")
+    for substring in (True, False):
+        out = {r.url: (r.status, r.over_length) for r in generated(df, gen, error_substring=substring).collect()}
+        assert out["u1"][0] == "failed" and out["u2"][0] == "empty" and out["u3"] == ("published", False)

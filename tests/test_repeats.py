@@ -6,7 +6,6 @@ import time
 from pyspark.sql import functions as F
 
 from curata.operators.repeats import cache_state, merge_cache, successor, suppress_repeats
-from curata.streaming.repeats import anchor_positions, suppress_repeats_stream
 
 DAY_US = 86_400_000_000
 BASE_US = 1_704_067_200_000_000  # 2024-01-01: keeps test times clear of the initial watermark (epoch 0)
@@ -62,36 +61,39 @@ def test_batch_matches_brute_skewed(spark):
     for parts in (1, 7, 32):
         got = {r.id for r in suppress_repeats(df, ["k"], "ts", "id", partitions=parts).collect()}
         assert got == want, parts
-    # crossing keys through pointer doubling instead of the bounded per-key walk
-    for parts in (7, 32):
-        got = {r.id for r in suppress_repeats(df, ["k"], "ts", "id", partitions=parts, group_rows_max=0).collect()}
-        assert got == want, ("doubling", parts)
 
 
-def test_anchor_positions():
-    t = [0, 10, DAY_US - 1, DAY_US, DAY_US + 5, 3 * DAY_US]
-    assert anchor_positions(t, None, DAY_US) == [0, 3, 5]
-    assert anchor_positions(t, -5, DAY_US) == [2, 5]
+def test_hot_key_over_many_partitions(spark):
+    """One key holds a third of all rows; Arrow batches smaller than a partition."""
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 40}", BASE_US + (i * 7919 % 6000) * DAY_US // 90) for i in range(6000)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = {r.id for r in suppress_repeats(to_df(spark, rows), ["k"], "ts", "id", partitions=24).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    assert got == brute(rows)
 
 
-def test_stream_equals_batch(spark, tmp):
-    rows = skewed_rows(2000, seed=9)
-    rows.sort(key=lambda r: r[2])
-    src = f"{tmp}/events"
-    df = to_df(spark, rows)
-    # several files written in time order -> several micro-batches in arrival order
-    chunk = ((F.col("t") - BASE_US) / (8 * DAY_US)).cast("int")
-    for c in range(6):
-        df.where(chunk == c).coalesce(1).write.mode("append").parquet(src)
-        time.sleep(1.1)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = suppress_repeats_stream(stream, ["k"], "ts", "id", watermark="1 hour")
-    q = (out.writeStream.format("memory").queryName("t1_stream").outputMode("append")
-         .option("checkpointLocation", f"{tmp}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    got = {r.id for r in spark.sql("SELECT id FROM t1_stream").collect()}
-    # one file per micro-batch in time order == batch semantics
-    assert got == brute(rows)
+def micro_batches(spark, tmp, batches, **kw):
+    """Statuses by id after feeding lists of (id, key, hours) one after another."""
+    from curata.streaming.repeats import repeats_micro_batch
+    for n, rows in enumerate(batches):
+        df = to_df(spark, [(i, k, BASE_US + h * 3_600_000_000) for i, k, h in rows])
+        repeats_micro_batch(df, n, ["k"], "ts", "id", f"{tmp}/out", f"{tmp}/state", **kw)
+    return {r.id: r.status for r in spark.read.parquet(f"{tmp}/out").collect()}
+
+
+def test_late_first_arrival_passes(spark, tmp):
+    # key b is first seen 26 h behind the stream
+    got = micro_batches(spark, tmp, [[(1, "a", 0)], [(2, "a", 30)], [(3, "b", 4)]])
+    assert got == {1: "passed", 2: "passed", 3: "passed"}
+
+
+def test_late_repeat_is_a_repeat(spark, tmp):
+    batches = [[(1, "k", 0), (2, "z", 30)], [(3, "k", 10)]]
+    assert micro_batches(spark, tmp, batches, lateness_hours=48) == {1: "passed", 2: "passed"}
+    # beyond the stated lateness a row comes out as late; it does not vanish
+    assert micro_batches(spark, f"{tmp}/b", batches, lateness_hours=12) == {1: "passed", 2: "passed", 3: "late"}
 
 
 def test_state_table_stream_equals_batch(spark, tmp):

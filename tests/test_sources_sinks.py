@@ -72,8 +72,8 @@ def test_promotions_csv(spark, tmp):
 
 
 def test_ledger_round_trip(spark, tmp):
-    rows = spark.createDataFrame([('q "x" \\ y', "https://a.org", "F", 1.234, "h1")],
-                                 "promotion string, url string, folder_name string, duration_s double, worker string")
+    rows = spark.createDataFrame([('q "x" \\ y', "https://a.org", "F", 1.234, "h1", "https://a.org")],
+                                 "promotion string, url string, folder_name string, duration_s double, worker string, url_norm string")
     append_ledger(rows, f"{tmp}/ledger")
     append_ledger(rows, f"{tmp}/ledger")
     assert spark.read.parquet(f"{tmp}/ledger").count() == 2
@@ -83,9 +83,13 @@ def test_ledger_round_trip(spark, tmp):
 
 
 def test_export_folders(spark, tmp):
-    urls = spark.createDataFrame([("gaza Saved Search", 'https://a.org/"q"'), ("x/y Search", "https://b.org")],
-                                 "title string, url string")
+    from curata.sources.sinks import SlugCollisionError
+    urls = spark.createDataFrame([("gaza Saved Search", 'https://a.org/"q"', 9, 1), ("x/y Search", "https://b.org", None, 2)],
+                                 "title string, url string, updated int, item_id int")
     export_folders(urls, f"{tmp}/exp")
+    clash = urls.union(spark.createDataFrame([("x y Search", "https://c.org", 1, 3)], urls.schema))
+    with pytest.raises(SlugCollisionError):
+        export_folders(clash, f"{tmp}/clash")
     dirs = sorted(x for x in os.listdir(f"{tmp}/exp") if x.startswith("folder_slug="))
     assert dirs == ["folder_slug=gaza_Saved_Search", "folder_slug=x_y_Search"]
     back = spark.read.option("header", True).option("escape", '"').csv(f"{tmp}/exp/folder_slug=gaza_Saved_Search")
@@ -108,5 +112,8 @@ def test_promotions_csv_duplicate_fails_load(spark, tmp):
     empty = os.path.join(tmp, "empty")
     os.makedirs(empty)
     write(os.path.join(empty, "folder_urls_News.csv"), '"Promotion","URL"\n')
-    assert replace_folders(read_promotions(spark, empty, prefix="folder_urls_"), table) == 0
+    from curata.operators.reconcile import NoUsableRowError
+    with pytest.raises(NoUsableRowError):
+        replace_folders(read_promotions(spark, empty, prefix="folder_urls_"), table)
+    assert replace_folders(read_promotions(spark, empty, prefix="folder_urls_"), table, header_only=True) == 0
     assert spark.read.parquet(table).count() == 2  # header-only file leaves the table as it is
