@@ -53,6 +53,11 @@ def folder_items(folders: DataFrame, membership: DataFrame, items: DataFrame,
     return m.join(resolved, "item_id")
 
 
+def only_folder(folders: DataFrame, title: str) -> DataFrame:
+    """F4. The folder with this very title; pushed to the scan."""
+    return folders.where(F.col("title") == title)
+
+
 def ordered_items(df: DataFrame) -> DataFrame:
     """O2. ``ORDER BY updated DESC`` with nulls last, ties by item id."""
     return df.orderBy(F.col("updated").desc_nulls_last(), F.col("item_id"))

@@ -610,3 +610,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+from curata.plans import roundtrips  # noqa: E402, F401 - registers its queries here

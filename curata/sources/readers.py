@@ -74,8 +74,10 @@ def read_opml(spark: SparkSession, path: str) -> DataFrame:
         return raw.select(no_folder, *attrs(top, ""))
     folder = F.col("_title") if "_title" in top else F.col("_text")
     child = raw.schema["outline"].dataType
-    child = child.elementType if isinstance(child, T.ArrayType) else child
-    nested = (raw.select(folder.alias("folder"), F.explode("outline").alias("o"))
+    many = isinstance(child, T.ArrayType)  # where no folder has two feeds, a child is a plain struct
+    child = child.elementType if many else child
+    each = F.explode("outline") if many else F.col("outline")
+    nested = (raw.where(F.col("outline").isNotNull()).select(folder.alias("folder"), each.alias("o"))
               .select("folder", *attrs(set(child.fieldNames()), "o.")))
     leaves = raw.where(F.col("outline").isNull()).select(no_folder, *attrs(top, ""))
     return nested.unionByName(leaves)
@@ -109,13 +111,17 @@ def ledger_keys(ledger: DataFrame, url_col: str = "url") -> DataFrame:
 
 
 def read_promotions(spark: SparkSession, path: str, prefix: str | None = None,
-                    escape: str = '"') -> DataFrame:
+                    escape: str = '"', with_position: bool = False) -> DataFrame:
     """S6 (+ P5, F3). Promotions CSV: header skipped, first two fields, short rows
     dropped, extra fields ignored.  With ``prefix`` the folder name is taken from
-    the file name ``<prefix><folder>.csv``; other names fail the query."""
+    the file name ``<prefix><folder>.csv``; other names fail the query.  With
+    ``with_position`` the file's name and a number that grows with the row's place in it
+    come along (``file_name``, ``position``).  A file is one task."""
     df = (spark.read.schema(PROMOTIONS_SCHEMA).option("header", True).option("multiLine", True)
           .option("escape", escape).option("nullValue", _NO_NULL).option("emptyValue", "")
           .option("mode", "PERMISSIVE").csv(path))
+    if with_position:
+        df = df.select("*", F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("position"))
     df = df.where(F.col("url").isNotNull())
     if prefix is not None:
         df = df.withColumn("folder_name", folder_from_file_name(F.col("_metadata.file_name"), prefix))
