@@ -158,21 +158,21 @@ def train(texts: DataFrame) -> Model:
     model = Model(stage(out), unseen)
     top = model.weights.orderBy(F.desc("c"), "key").limit(HOT).select("key", "w").toArrow()
     model.hot = _hash_table(top["key"].to_numpy(), top["w"].to_numpy())
-    model.bloom = _bloom(model.weights)
+    model.bloom = _bloom(model.weights, BLOOM_BITS)
     return model
 
 
-def _positions(key: np.ndarray) -> list[np.ndarray]:
+def _positions(key: np.ndarray, size: int) -> list[np.ndarray]:
     h = mix(key.view(np.uint64))
-    return [(h % U(BLOOM_BITS)).astype(np.int64), ((h >> U(32)) * U(2654435761) % U(BLOOM_BITS)).astype(np.int64)]
+    return [(h % U(size)).astype(np.int64), ((h >> U(32)) * U(2654435761) % U(size)).astype(np.int64)]
 
 
-def _bloom(weights: DataFrame) -> np.ndarray:
-    """The filter's bytes: each task sets bits, an aggregate joins them, BLOOM_BITS in all."""
+def _bloom(weights: DataFrame, size: int) -> np.ndarray:
+    """The filter's bytes: each task sets bits, an aggregate joins them, ``size`` bits in all."""
     def run(batches):
-        bits = np.zeros(BLOOM_BITS, bool)
+        bits = np.zeros(size, bool)
         for b in batches:
-            for p in _positions(b.column(0).to_numpy()):
+            for p in _positions(b.column(0).to_numpy(), size):
                 bits[p] = True
         words = np.packbits(bits, bitorder="little").view(np.int64)
         at = np.flatnonzero(words)
@@ -180,7 +180,7 @@ def _bloom(weights: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(at[lo:lo + 100_000]), pa.array(words[at[lo:lo + 100_000]])], ["at", "word"])
 
     got = arrow_map(weights.select("key").coalesce(8), run, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
-    words = np.zeros(BLOOM_BITS // 64, np.int64)
+    words = np.zeros(size // 64, np.int64)
     words[got["at"].to_numpy()] = got["word"].to_numpy()
     return words.view(np.uint8)
 
@@ -247,7 +247,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                     at = at[keys[at] >= 0]
                     miss = keys[at]
                     known = np.ones(len(miss), bool)
-                    for p in _positions(miss):
+                    for p in _positions(miss, len(bloom) * 8):
                         known &= (bloom[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
                     if k == 1:
                         w[at[~known]] = unseen
