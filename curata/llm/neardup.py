@@ -7,12 +7,14 @@
 2. Texts with equal sets are one class, so copies are compared once.
 3. Classes that share a band are candidates; inside a bucket the sketches are compared
    pairwise, in blocks of ``BLOCK`` rows (a large bucket becomes many block pairs), and
-   pairs below ``MOST_BITS`` different bits are likely links.  A component proposes only
-   its nearest few pairs to other components at a time; the exact sets confirm them, the
-   components grow, and the next round proposes four times as many.  It ends with a round
-   that left nothing out: then every candidate pair is confirmed, refuted, or already
-   inside one component.  So no bucket emits all its pairs, and no link between different
-   components is lost.
+   pairs of at most ``MOST_BITS`` different bits are likely links.  A block returns no pairs,
+   only which of its classes likely links connect (a star each).  The components of all
+   these are the loose groups.
+4. Inside a loose group, again in block pairs, every likely link is confirmed on the full
+   sets, nearest first, unless confirmed links of the block connect its ends already.  A
+   block returns the confirmed links that connected something; their components are the
+   result.  So no group emits all its pairs, none is capped, and every likely link is
+   confirmed, refuted, or inside one component.
 
 At a similarity of 0.85 a pair shares no band with a probability of 8e-7, and lies beyond
 ``MOST_BITS`` (five standard deviations) with one of about 3e-7; both fall fast above it.
@@ -116,79 +118,99 @@ def sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MOST_SENT else df
 
 
-def _nearest(table: pa.Table, block: tuple[int, int], few: int):
-    """Likely links of a block pair between components: the ``few`` nearest of each component.
+def blocked(rows: DataFrame, group: str, size: str) -> DataFrame:
+    """Every group of more than ``BLOCK`` rows as all pairs (x, y) of its blocks; ``side`` is a row's own.
 
-    Returns (a, b, left out?)."""
-    c = table["c"].to_numpy()
-    comp = table["comp"].to_numpy()
-    side = table["side"].to_numpy()
-    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), U).reshape(len(c), -1)
-    left, right = [], []
-    near = []
-    own = np.arange(len(c)) if block[0] == block[1] else np.flatnonzero(side == block[0])
-    other = np.arange(len(c)) if block[0] == block[1] else np.flatnonzero(side == block[1])
+    Dealt out and sorted by (group, x, y): a group of n rows takes n / BLOCK copies of each."""
+    m = rows.withColumn("blocks", F.ceil(F.col(size) / BLOCK).cast("int")).withColumn("side", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = m.withColumn("x", F.least("side", "other")).withColumn("y", F.greatest("side", "other")).drop("blocks", "other", size)
+    return m.repartition(group, "x", "y").sortWithinPartitions(group, "x", "y")
+
+
+def likely(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of a block pair that likely are links, nearest first."""
+    side, block = table["side"].to_numpy(), (table["x"][0].as_py(), table["y"][0].as_py())
+    same = block[0] == block[1]
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), U).reshape(len(side), -1)
+    own = np.arange(len(side)) if same else np.flatnonzero(side == block[0])
+    other = np.arange(len(side)) if same else np.flatnonzero(side == block[1])
+    left, right, near = [], [], []
     for lo in range(0, len(own), 128):
         rows = own[lo:lo + 128]
         far = np.zeros((len(rows), len(other)), np.uint16)
         for w in range(sketch.shape[1]):
             far += np.bitwise_count(sketch[rows, w][:, None] ^ sketch[other, w][None, :])
-        ok = (far <= MOST_BITS) & (comp[rows][:, None] != comp[other][None, :])
-        if block[0] == block[1]:
+        ok = far <= MOST_BITS
+        if same:
             ok &= rows[:, None] < other[None, :]
         i, j = np.nonzero(ok)
         left.append(rows[i])
         right.append(other[j])
         near.append(far[i, j])
     i, j, far = np.concatenate(left), np.concatenate(right), np.concatenate(near)
-    if not len(i):
-        return c[i], c[j], False
-    order = np.lexsort((c[j], c[i], far))
-    i, j = i[order], j[order]
-    keep = np.zeros(len(i), bool)
-    for end in (comp[i], comp[j]):  # the rank of a pair among those of its component
-        by = np.argsort(end, kind="stable")
-        new = np.ones(len(by), bool)
-        new[1:] = end[by][1:] != end[by][:-1]
-        first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
-        keep[by] |= np.arange(len(by)) - first < few
-    return c[i[keep]], c[j[keep]], bool((~keep).any())
-
-
-def propose(members: DataFrame, few: int) -> DataFrame:
-    """Staged pairs (a, b, more) of likely links; ``members``: (key, c, comp, sketch, n)."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    m = members.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("c", F.lit(few)), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("key", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "c", "comp", "sketch")
-    m = m.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    order = np.argsort(far, kind="stable")
+    return i[order], j[order]
 
+
+def connected(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least row that the pairs connect each of ``n`` rows with."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, label[i], least)
+        np.minimum.at(new, label[j], least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def confirmed(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """The confirmed links among the pairs, in order, that connected what wasn't yet."""
+    label, out = np.arange(len(sets)), []
+    while len(i):
+        a, b = sets[i[0]], sets[j[0]]
+        p, q = int(i[0]), int(j[0])
+        i, j = i[1:], j[1:]
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        if 100 * both >= PERCENT * (len(a) + len(b) - both):
+            out.append((p, q))
+            label[label == label[q]] = label[p]
+            apart = label[i] != label[j]
+            i, j = i[apart], j[apart]
+    return out
+
+
+def loose_links(members: DataFrame) -> DataFrame:
+    """Staged (u, v): stars over the classes of a bucket that likely links connect."""
     def run(batches):
         for group in runs(batches, ["key", "x", "y"]):
-            a, b, more = _nearest(group, (group["x"][0].as_py(), group["y"][0].as_py()), few)
-            if len(a):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.full(len(a), more))], ["a", "b", "more"])
-
-    got = arrow_map(m, run, "a bigint, b bigint, more boolean")
-    return stage(got.groupBy("a", "b").agg(F.max("more").alias("more")))
+            i, j = likely(group)
+            if len(i):
+                c = group["c"].to_numpy()
+                label = connected(len(c), i, j)
+                rows = np.flatnonzero(label != np.arange(len(c)))
+                yield pa.RecordBatch.from_arrays([pa.array(c[rows]), pa.array(c[label[rows]])], ["u", "v"])
 
+    m = blocked(members.select("key", "c", "n", "sketch"), "key", "n")
+    return stage(arrow_map(m, run, "u bigint, v bigint").where("u <> v").distinct())
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, ok): whether the full sets of the pairs are similar enough."""
-    joined = (pairs.select("a", "b").join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("sa")), "a")
-              .join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("sb")), "b"))
 
+def links(groups: DataFrame) -> DataFrame:
+    """Staged (u, v): confirmed links that connect the classes of ``groups`` (root, c, n, sketch, shingles)."""
     def run(batches):
-        for t in batches:
-            ok = []
-            for x, y in zip(t.column(2), t.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+        for group in runs(batches, ["root", "x", "y"]):
+            i, j = likely(group)
+            if len(i):
+                c = group["c"].to_numpy()
+                sets = [np.frombuffer(x.as_buffer(), U) for x in group["shingles"]]
+                found = confirmed(sets, i, j)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c[[p for p, _ in found]], pa.int64()), pa.array(c[[q for _, q in found]], pa.int64())], ["u", "v"])
 
-    return arrow_map(joined.select("a", "b", "sa", "sb"), run, "a bigint, b bigint, ok boolean").distinct()
+    return stage(arrow_map(blocked(groups, "root", "n"), run, "u bigint, v bigint"))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, rows: int, key: str, text: str) -> DataFrame:
@@ -217,30 +239,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                     .withColumn("c", F.xxhash64("n", "f1", "f2")))
     band = classes.select("c", F.explode("bands").alias("key"))
     shared = band.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stage(band.join(shared, "key").join(classes.select("c", "sketch"), "c").select("key", "c", "n", "sketch"))
-    nodes = stage(members.select("c").distinct().join(classes.select("c", "id", "n", "f1", "f2"), "c"))
-    count = nodes.count()
-    sets = full_sets(docs, nodes, count, key, text)
-    comp = nodes.select("c", F.col("c").alias("comp"))
-    refuted, few = None, 1
-    while True:
-        m = members.join(comp, "c")
-        open_keys = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        pairs = propose(m.join(open_keys, "key", "left_semi"), few)
-        state = pairs.agg(F.count("*").alias("n"), F.max("more").alias("more")).first()
-        if not state["n"]:
-            break
-        fresh = pairs if refuted is None else pairs.join(refuted, ["a", "b"], "left_anti")
-        checked = stage(confirm(fresh, sets))
-        failed = checked.where("not ok").select("a", "b")
-        refuted = failed if refuted is None else refuted.union(failed)
-        links = (checked.where("ok").join(comp.select(F.col("c").alias("a"), F.col("comp").alias("u")), "a")
-                 .join(comp.select(F.col("c").alias("b"), F.col("comp").alias("v")), "b").select("u", "v"))
-        roots = components(links)
-        comp = stage(comp.join(roots, comp["comp"] == roots["node"], "left").select("c", F.coalesce("root", "comp").alias("comp")))
-        if not state["more"]:
-            break
-        few *= 4
+    members = band.join(shared, "key").join(classes.select("c", "sketch"), "c").select("key", "c", "n", "sketch")
+    groups = stage(components(loose_links(members)).select(F.col("node").alias("c"), "root"))
+    # every root stands for itself, too
+    groups = groups.union(groups.select(F.col("root").alias("c"), "root").distinct())
+    nodes = stage(groups.join(classes.select("c", "id", "n", "f1", "f2", "sketch"), "c"))
+    sets = full_sets(docs, nodes, nodes.count(), key, text)
+    sizes = nodes.groupBy("root").agg(F.count("*").alias("size"))
+    full = nodes.join(sizes, "root").join(sets, "c").select("root", "c", F.col("size").alias("n"), "sketch", "shingles")
+    roots = components(links(full))
+    comp = nodes.select("c").join(roots, nodes["c"] == roots["node"], "left").select("c", F.coalesce("root", "c").alias("comp"))
     # every class of a component gets the least id of all its classes
     named = nodes.select("c", "id").join(comp, "c")
     least = named.groupBy("comp").agg(F.min("id").alias("least"))
