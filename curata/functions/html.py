@@ -4,7 +4,8 @@ Spark has no HTML parser, so this is the one place where page bodies cross into
 Python.  The per-row helper is a small stack machine over the stdlib
 ``html.parser`` tokenizer (no third-party parser is available):
 
-* subtrees of ``script, style, nav, footer, header`` are dropped;
+* subtrees of ``script, style, nav, footer, header`` are dropped, and so is what stands in
+  ``template``, ``rt`` and ``rp``;
 * the text of the first ``article`` element is taken, else the first ``div``
   whose class list has ``article-text`` or ``content``, else the whole page;
 * every text node is stripped and empty ones dropped; nodes are joined with
@@ -30,6 +31,8 @@ from pyspark.sql import types as T
 
 # Dropped subtrees and the fallback container classes.
 DROPPED = ("script", "style", "nav", "footer", "header")
+# Elements whose strings are no text of the page.
+NO_TEXT = ("template", "rt", "rp")
 CONTAINER_CLASSES = ("article-text", "content")
 VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -40,7 +43,7 @@ BLOCKS = frozenset(
 class _Extractor(HTMLParser):
     """Collects stripped text nodes of the page, the first article, and the first content div."""
 
-    def __init__(self, dropped=DROPPED, skip_head=False):
+    def __init__(self, dropped=DROPPED + NO_TEXT, skip_head=False):
         super().__init__(convert_charrefs=True)
         self.dropped = frozenset(dropped)
         self.skip_head = skip_head

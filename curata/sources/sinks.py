@@ -68,4 +68,5 @@ def export_folders(urls: DataFrame, path: str, folder_col: str = "title", url_co
 
 def append_sweep_log(results: DataFrame, path: str) -> None:
     """S10. Sweep results ``(model, url, summary, n_chars, elapsed_s, elapsed, status)``."""
-    results.write.mode("append").parquet(path)
+    results.select("model", "url", F.col("raw").alias("summary"), F.length("raw").cast("long").alias("n_chars"),
+                   F.col("duration_s").alias("elapsed_s"), "elapsed", "status").write.mode("append").parquet(path)

@@ -35,3 +35,8 @@ def test_page_text():
 def test_udf_matches_python(spark):
     pages = ["<article>a<b>b</b></article>", "<div class='content'>c</div>", None, "<p>d</p>"]
     assert one_col(spark, pages, main_text) == [extract_main_text(p) for p in pages]
+
+
+def test_strings_that_are_no_text():
+    from curata.functions.html import extract_main_text
+    assert extract_main_text("<article>a<template>x<b>y</b></template><ruby>k<rp>(</rp><rt>z</rt></ruby></article>") == "ak"
