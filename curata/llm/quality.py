@@ -38,13 +38,13 @@ from curata.llm.common import arrow_map, stage
 from curata.llm.words import U, buffers, mix
 
 ORDER = 5
-HOT = 1 << 18
+HOT = 1 << 20
 BLOOM_BITS = 1 << 25
 QUANTILE = 0.998
 MARGIN = 1.02
 START, END = 2, 3
 #: Bytes counted or scored at once.
-SLICE = 2_000_000
+SLICE = 1_000_000
 #: Ids up to which the trusted ones go to all executors; beyond, Spark joins by shuffle.
 MOST_SENT = 5_000_000
 _TAG = 48
@@ -156,12 +156,25 @@ def train(texts: DataFrame) -> Model:
         t = t.select(F.col("g").bitwiseOR(k << _TAG).alias("key"), "w", "c")
         out = t if out is None else out.union(t)
     model = Model(stage(out), unseen)
-    top = model.weights.orderBy(F.desc("c"), "key").limit(HOT).select("key", "w").toArrow()
+    top = frequent(model.weights, HOT).select("key", "w").toArrow()
     model.hot = _hash_table(top["key"].to_numpy(), top["w"].to_numpy())
     model.bloom = _bloom(model.weights, BLOOM_BITS)
     return model
 
 
+def frequent(weights: DataFrame, most: int) -> DataFrame:
+    """The runs from that count on from which there are at most ``most``."""
+    top = 10_000
+    sizes = weights.groupBy(F.least("c", F.lit(top)).alias("c")).agg(F.count("*").alias("n")).collect()  # a row a count
+    least, total = top + 1, 0
+    for r in sorted(sizes, key=lambda r: -r["c"]):
+        total += r["n"]
+        if total > most:
+            break
+        least = r["c"]
+    return weights.where(F.col("c") >= least)
+
+
 def _positions(key: np.ndarray, size: int) -> list[np.ndarray]:
     h = mix(key.view(np.uint64))
     return [(h % U(size)).astype(np.int64), ((h >> U(32)) * U(2654435761) % U(size)).astype(np.int64)]
@@ -187,7 +200,7 @@ def _bloom(weights: DataFrame, size: int) -> np.ndarray:
 
 def _hash_table(keys: np.ndarray, weights: np.ndarray) -> dict:
     """Open addressing: arrays of keys (-1: free) and weights."""
-    bits = max(10, int(len(keys) * 4).bit_length())
+    bits = max(10, int(len(keys) * 2).bit_length())
     slot, table, value = _slot(keys, bits), np.full(1 << bits, -1, np.int64), np.zeros(1 << bits)
     todo = np.arange(len(keys))
     while len(todo):
