@@ -22,6 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curata.llm.common import arrow_map
@@ -142,9 +143,10 @@ class Machines:
         return best, sums[np.arange(len(p)), best] / (size - 1)
 
 
-def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 40) -> np.ndarray:
-    """Weights of a linear support vector machine without bias, by dual coordinate descent."""
-    k = x @ x.T
+def svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 40) -> np.ndarray:
+    """Weights of a linear support vector machine without bias over some rows of x, by dual
+    coordinate descent."""
+    k = (x @ x.T)[np.ix_(rows, rows)]
     alpha, grad = np.zeros(len(y)), np.zeros(len(y))  # grad = K (alpha * y)
     share = np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-9), 0.5 / max((y < 0).mean(), 1e-9))
     order, random = np.arange(len(y)), np.random.default_rng(0)
@@ -160,7 +162,9 @@ def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 40) -> np.n
                 most = max(most, abs(step))
         if most < 1e-4:
             break
-    return x.T @ (alpha * y)
+    share = np.zeros(len(x), np.float32)
+    share[rows] = alpha * y
+    return share @ x
 
 
 def _slope(m: np.ndarray, y: np.ndarray) -> float:
@@ -215,14 +219,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
     got = arrow_map(chosen.where(has_letter(F.col("t"))).select("l", "t"), histograms,
                     "l string, at array<int>, n array<int>").toArrow()
-    x = np.zeros((got.num_rows, 1 << BITS), np.float32)
-    for i, (a, n) in enumerate(zip(got["at"], got["n"])):
-        x[i, a.values.to_numpy()] = n.values.to_numpy()
-    mean = x / np.maximum(x.sum(1, keepdims=True), 1)
-    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    # One matrix of the sample, filled in a fixed order and scaled in place: the driver holds no copy.
     labels = np.array(got["l"].to_pylist(), dtype=object)
-    order = np.lexsort((x[:, :64].sum(1), labels.astype(str)))  # whatever the order of arrival
-    x, mean, labels = x[order], mean[order], labels[order]
+    runs = np.array([int(pa.compute.sum(n.values).as_py()) for n in got["n"]], dtype=float)
+    order = np.lexsort((runs, labels.astype(str)))  # whatever the order of arrival
+    labels, runs = labels[order], runs[order]
+    x = np.zeros((len(order), 1 << BITS), np.float32)
+    for row, i in enumerate(order.tolist()):
+        x[row, got["at"][i].values.to_numpy()] = got["n"][i].values.to_numpy()
+    del got
+    length = np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64))
+    x /= np.maximum(length, 1e-9)[:, None].astype(np.float32)
+    scale = length / np.maximum(runs, 1)  # from a unit vector's margin to the mean a run
     langs = sorted(set(labels.tolist()))
     families: dict[str, list[int]] = {}
     for i, name in enumerate(langs):
@@ -237,10 +245,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     for level, a, b, is_a, is_b in tasks:
         rows_ = is_a | is_b
         y = np.where(is_a[rows_], 1.0, -1.0)
-        w = svm(x[rows_], y)
+        w = svm(x, np.flatnonzero(rows_), y)
         pairs.append((level, a, b))
         columns.append(w)
-        slopes.append(_slope(mean[rows_] @ w, y))
+        slopes.append(_slope((x @ w)[rows_] * scale[rows_], y))
     weights = np.stack(columns, 1) if columns else np.zeros((1 << BITS, 0))
     return Machines(langs, families, pairs, np.asfortranarray(weights, dtype=np.float32), np.array(slopes))
 
