@@ -228,7 +228,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: i
     if not total:
         return Selector()
     h = F.pmod(F.xxhash64(docs[key], docs[text]), F.lit(1 << 30))
-    chosen = docs.where(h < int(min(1.0, sample_docs / total) * (1 << 30)))
+    # written first: Spark would put the candidates' expressions into a filter over all rows
+    chosen = stage(docs.where(h < int(min(1.0, sample_docs / total) * (1 << 30))).select(key, text))
     rows = stage(candidates(chosen, key, text).select("k", F.explode("c").alias("c")).select(
         F.col("c.kind").alias("kind"), F.col("c.f").alias("f"), F.col("c.checked").cast("double").alias("label"),
         (F.pmod(F.xxhash64("k"), F.lit(4)) == 0).alias("held")))
