@@ -1,10 +1,12 @@
 """Embedding near-duplicates by a pivot-permutation index (operator 7).
 
 Every vector is described by its ``NEAREST`` nearest pivots, in order; pivots are vectors of the
-table.  It is posted under each of them in the inverted list of (group, pivot).  Inside a
-list, vectors that share at least ``SHARED`` pivots are candidates; a pair is taken up only
-in the list of the first pivot, in number, that both share, so it is counted once.  The
-cosine of the candidates' full vectors, in double precision, decides.
+table, no two of them closer than ``SPREAD``, so that a dense group owns few of them however
+many rows it has.  A vector is posted under each of its pivots in the inverted list of (group,
+pivot).  Inside a list, vectors that share at least ``SHARED`` pivots, or one to which both are
+closer than ``SPREAD``, are candidates; a pair is taken up only in the list of the first pivot,
+in number, that both share, so it is counted once.  The cosine of the candidates' full vectors,
+in double precision, decides.
 
 A list of more than ``BLOCK`` rows is compared as many block pairs, in as many groups.  No
 pair leaves its task: a task returns how many links each vector has and, for the
@@ -31,6 +33,8 @@ from curata.llm.vectors import dimension, doubles, kind, sample, unpack, usable
 THRESHOLD = 0.93
 NEAREST, SHARED = 12, 3
 LEAST_PIVOTS, MOST_PIVOTS = 256, 1024
+#: Pivots have a lower cosine with each other; they are picked from so many vectors for each.
+SPREAD, PICKED_FROM = 0.8, 4
 BLOCK = 512
 
 
@@ -39,8 +43,33 @@ def pivot_count(rows: int) -> int:
     return min(MOST_PIVOTS, max(LEAST_PIVOTS, 64 * math.ceil(math.sqrt(rows) / 64)))
 
 
+def spread(vectors: np.ndarray, most: int) -> np.ndarray:
+    """Up to ``most`` of the vectors, the first ones whose cosine with all before is under ``SPREAD``."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    taken: list[int] = []
+    near = np.full(len(unit), -1.0)
+    for i in range(len(unit)):
+        if near[i] < SPREAD:
+            taken.append(i)
+            if len(taken) == most:
+                break
+            near = np.maximum(near, unit @ unit[i])
+    return vectors[taken]
+
+
+def draw(classes: DataFrame, total: int, dtype: np.dtype) -> np.ndarray:
+    """The pivots of a table of ``total`` classes."""
+    most = pivot_count(total)
+    share = min(1.0, 2 * PICKED_FROM * most / max(total, 1))
+    some = classes.where(F.pmod(F.xxhash64("x", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    found = sample(some, PICKED_FROM * most, dtype)
+    return spread(found, most) if len(found) else found
+
+
 def post(staged: DataFrame, pivots: np.ndarray, dtype: np.dtype) -> DataFrame:
-    """(c, grp, size, pivot, mask, x): a row for each vector and each of its nearest pivots."""
+    """(c, grp, size, pivot, mask, x): a row for each vector and each of its nearest pivots.
+
+    The first half of ``mask`` says which pivots these are, the second which of them are closer than ``SPREAD``."""
     unit = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
     nearest, words = min(NEAREST, len(unit)), -(-len(unit) // 64)
 
@@ -49,10 +78,13 @@ def post(staged: DataFrame, pivots: np.ndarray, dtype: np.dtype) -> DataFrame:
             for lo in range(0, b.num_rows, 2048):
                 part = b.slice(lo, 2048)
                 x = doubles(part.column(3), dtype, unit.shape[1])
-                own = np.argsort(-(x @ unit.T), axis=1, kind="stable")[:, :nearest]
-                mask = np.zeros((len(x), words), np.uint64)
+                cosine = x @ unit.T / np.linalg.norm(x, axis=1, keepdims=True)
+                own = np.argsort(-cosine, axis=1, kind="stable")[:, :nearest]
+                mask, at = np.zeros((len(x), 2 * words), np.uint64), np.arange(len(x))
                 for k in range(nearest):
-                    mask[np.arange(len(x)), own[:, k] // 64] |= np.uint64(1) << (own[:, k] % 64).astype(np.uint64)
+                    bit = np.uint64(1) << (own[:, k] % 64).astype(np.uint64)
+                    mask[at, own[:, k] // 64] |= bit
+                    mask[at, words + own[:, k] // 64] |= np.where(cosine[at, own[:, k]] >= SPREAD, bit, np.uint64(0))
                 masks = pa.array([m.tobytes() for m in mask], pa.binary())
                 at = pa.array(np.repeat(np.arange(len(x)), nearest))
                 yield pa.RecordBatch.from_arrays(
@@ -91,6 +123,7 @@ def links(t: pa.Table, pivot: int, block: tuple[int, int], need: int, dim: int,
     same = block[0] == block[1]
     own = np.arange(len(c)) if same else np.flatnonzero(side == block[0])
     other = np.arange(len(c)) if same else np.flatnonzero(side == block[1])
+    words = mask.shape[1] // 2
     word, bit = divmod(pivot, 64)
     found = np.zeros(len(c), np.int64)
     a, b = [], []
@@ -98,14 +131,17 @@ def links(t: pa.Table, pivot: int, block: tuple[int, int], need: int, dim: int,
         rows = own[lo:lo + 256]
         shared = np.zeros((len(rows), len(other)), np.uint16)
         earlier = np.zeros((len(rows), len(other)), bool)  # a pivot before this one is shared, too
-        for w in range(mask.shape[1]):
+        close = np.zeros((len(rows), len(other)), bool)
+        for w in range(words):
             both = mask[rows, w][:, None] & mask[other, w][None, :]
             shared += np.bitwise_count(both)
             if w < word:
                 earlier |= both != 0
             elif w == word:
                 earlier |= (both & np.uint64((1 << bit) - 1)) != 0
-        ok = (shared >= need) & ~earlier
+            if mask[rows, words + w].any():
+                close |= (mask[rows, words + w][:, None] & mask[other, words + w][None, :]) != 0
+        ok = ((shared >= need) | close) & ~earlier
         if same:
             ok &= rows[:, None] < other[None, :]
         i, j = np.nonzero(ok)
@@ -131,7 +167,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     rows = rows.withColumn("c", F.xxhash64("grp", "x"))
     classes = stage(rows.groupBy("c", "grp", "x").agg(F.min("id").alias("id"), F.count("*").alias("size")))
     total, dtype = classes.count(), kind(every, "v")
-    pivots = sample(classes, pivot_count(total), dtype)
+    pivots = draw(classes, total, dtype)
     need = min(SHARED, len(pivots))
     lists = post(classes, pivots, dtype) if len(pivots) else None
     if lists is None:

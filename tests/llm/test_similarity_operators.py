@@ -145,6 +145,23 @@ def test_pivots_equal_brute_force(spark, monkeypatch):
     assert pivots.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("least, cosine", [(256, 0.95), (1024, 0.93)])
+def test_pivots_in_a_group_of_a_third(spark, monkeypatch, least, cosine):
+    """A dense group with a third of all rows, in one label, with few and with the most pivots."""
+    monkeypatch.setattr(pivots, "LEAST_PIVOTS", least)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((4500, 64))
+    x[:1500] = x[0] / np.linalg.norm(x[0]) + np.sqrt((1 / cosine - 1) / 64) * x[:1500]
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(4)
+    got = {r.vec_id: r.n_links for r in pivots.near_duplicates(df).collect()}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.93).sum(1) - 1
+    found = np.array([got[i] for i in range(len(x))])
+    assert linked.sum() > 500_000 and (found <= linked).all()
+    assert found.sum() >= 0.9999 * linked.sum()
+
+
 def test_hashing_recall_and_edges(spark, monkeypatch):
     monkeypatch.setattr(hashing, "VECTORS_A_BLOCK", 100)
     monkeypatch.setattr(hashing, "MERGE", 2)
