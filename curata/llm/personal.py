@@ -2,13 +2,15 @@
 
 High-recall generators propose spans, which may overlap: four base kinds and the longer
 list of ``EXTRA`` kinds.  Boosted trees score every candidate from features of its format
-and its context; a threshold for each kind, calibrated on candidates held back from
-training, selects the redactions.  A base span that passes its own check always stays.
+and its context; a threshold for each kind, calibrated on the candidates of all documents held
+back from training, selects the redactions.  A kind without a threshold is selected by its own
+check.  A base span that passes its own check always stays.
 
 The trees are learnt here by weak supervision: a candidate's label says whether it passes
 the check of its kind (Luhn, octets, digit counts, shape of a secret), which is no feature;
-training takes a bounded sample of documents (``SAMPLE_DOCS``).  Features and trees then apply to every
-candidate of every whole text as plain expressions.  There is no shuffle and no Python.
+training takes a bounded sample of documents (``SAMPLE_DOCS``), calibration a quarter of the whole
+table.  Features and trees then apply to every candidate of every whole text as plain expressions.
+There is no Python, and no shuffle but of the calibration's counts.
 
 The patterns are written so that Java's engine needs no recursion and never scans a run
 twice: a dot inside a host name or a separator inside a digit run first becomes one stand-in
@@ -52,7 +54,7 @@ CONTEXT = 24
 
 FEATURES = ["kind", "length", "digits", "digit_share", "upper_share", "separators", "at", "plus",
             "cue", "letter_before", "letter_after", "mixed", "zeros"]
-#: Documents (about) whose candidates train and calibrate the trees.
+#: Documents (about) from which those that train the trees are taken.
 SAMPLE_DOCS = 3000
 ROUNDS, DEPTH = 8, 3
 PRECISION = 0.95
@@ -188,14 +190,14 @@ class Selector:
         return F.when(F.get(f, F.lit(at)) <= threshold, self._value(f, left)).otherwise(self._value(f, right))
 
     def selects(self, c: Column) -> Column:
-        """Base spans that pass, and other candidates above the threshold of their kind."""
-        base = (c["kind"] < len(BASE)) & c["checked"]
+        """Base spans that pass, and other candidates above the threshold of their kind; a kind
+        without a threshold, or without trees, goes by its own check."""
+        chosen = c["checked"]
         if not self.trees:
-            return base
-        bound = F.lit(2.0)
+            return chosen
         for kind, t in self.thresholds.items():
-            bound = F.when(c["kind"] == KINDS.index(kind), F.lit(t)).otherwise(bound)
-        return base | (c["probability"] >= bound)
+            chosen = F.when(c["kind"] == KINDS.index(kind), c["probability"] >= t).otherwise(chosen)
+        return (c["kind"] < len(BASE)) & c["checked"] | chosen
 
 
 def _parse(debug: str):
@@ -216,11 +218,11 @@ def _parse(debug: str):
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS,
         precision: float = PRECISION) -> Selector:
-    """Train the trees and calibrate the thresholds on about ``sample_docs`` documents.
+    """Train the trees on a sample of about ``sample_docs`` documents and calibrate the thresholds.
 
-    Documents are chosen by the hash of key and text; three quarters of them train, the
-    rest calibrate: a kind's threshold is the least score from which on ``precision`` of its
-    held-back candidates pass their check."""
+    A quarter of all documents, by the hash of the key, is held back.  The sample is chosen by
+    the hash of key and text, and what is not held back trains; a kind's threshold is the least
+    score from which on ``precision`` of its candidates in all documents held back pass their check."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
@@ -228,19 +230,23 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: i
     if not total:
         return Selector()
     h = F.pmod(F.xxhash64(docs[key], docs[text]), F.lit(1 << 30))
+    held = F.pmod(F.xxhash64(docs[key]), F.lit(4)) == 0
     # written first: Spark would put the candidates' expressions into a filter over all rows
-    chosen = stage(docs.where(h < int(min(1.0, sample_docs / total) * (1 << 30))).select(key, text))
-    rows = stage(candidates(chosen, key, text).select("k", F.explode("c").alias("c")).select(
-        F.col("c.kind").alias("kind"), F.col("c.f").alias("f"), F.col("c.checked").cast("double").alias("label"),
-        (F.pmod(F.xxhash64("k"), F.lit(4)) == 0).alias("held")))
-    kinds = rows.where(~F.col("held")).agg(F.min("label"), F.max("label")).first()
+    chosen = stage(docs.where((h < int(min(1.0, sample_docs / total) * (1 << 30))) & ~held).select(key, text))
+    rows = stage(candidates(chosen, key, text).select(F.explode("c").alias("c")).select(
+        F.col("c.f").alias("f"), F.col("c.checked").cast("double").alias("label")))
+    kinds = rows.agg(F.min("label"), F.max("label")).first()
     if kinds[0] is None or kinds[0] == kinds[1]:
         return Selector()  # nothing to tell apart
-    train = rows.where(~F.col("held")).select(array_to_vector("f").alias("features"), "label").coalesce(2)
+    train = rows.select(array_to_vector("f").alias("features"), "label").coalesce(2)
     model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=7, cacheNodeIds=False, maxBins=32).fit(train)
     out = Selector([(float(w), _parse(t.toDebugString)) for t, w in zip(model.trees, model.treeWeights)])
-    bins = (rows.where("held").select("kind", "label", F.floor(out.probability(F.col("f")) * 50).alias("bin"))
-            .groupBy("kind", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect())
+    # written before it is exploded, for the same reason
+    marks = stage(candidates(docs.where(held), key, text).select(F.transform("c", lambda x: F.struct(
+        x["kind"].alias("kind"), x["checked"].cast("double").alias("label"),
+        F.floor(out.probability(x["f"]) * 50).alias("bin"))).alias("c")))
+    bins = (marks.select(F.explode("c").alias("c")).groupBy(F.col("c.kind").alias("kind"), F.col("c.bin").alias("bin"))
+            .agg(F.sum("c.label").alias("good"), F.count("*").alias("n")).collect())
     for i, kind in enumerate(KINDS):
         good = n = 0.0
         for r in sorted((r for r in bins if r["kind"] == i), key=lambda r: -r["bin"]):

@@ -190,6 +190,20 @@ def test_redaction(spark):
     assert personal.redact(df.limit(0), personal.fit(df.limit(0))).count() == 0
 
 
+def test_kinds_that_the_sample_misses(spark):
+    """A kind that is rare in a large table keeps its spans, and so do tables where all candidates pass."""
+    texts = personal_texts() + [f"ssn 123-45-67{i:02d} end" for i in range(12)]
+    df = table(spark, list(enumerate(texts)))
+    selector = personal.fit(df, sample_docs=150)
+    assert selector.trees
+    found = personal.scan(df, selector).where(f"k >= {len(texts) - 12}").select(personal.listed(F.col("spans"))).collect()
+    assert [r[0] for r in found] == ["ssn:4:15"] * 12
+    some = personal.scan(df, personal.Selector(selector.trees, {k: t for k, t in selector.thresholds.items() if k != "ssn"}))
+    assert {r[0] for r in some.where(f"k >= {len(texts) - 12}").select(personal.listed(F.col("spans"))).collect()} == {"ssn:4:15"}
+    one = table(spark, [(i, "ssn 123-45-6789 end") for i in range(40)])
+    assert {r[0] for r in personal.scan(one, personal.fit(one)).select(personal.listed(F.col("spans"))).collect()} == {"ssn:4:15"}
+
+
 def test_trees_are_the_learners(spark):
     """The nested expressions give the probabilities of the learner's own leaves."""
     s = personal.Selector([(1.0, (0, 0.5, -1.0, (1, 2.0, 0.25, 1.0))), (0.1, 0.5)])
