@@ -15,6 +15,8 @@ from curata.llm.common import read, stage
 
 #: A document whose language is told with a lower score goes; one without any letter scores 0.
 LEAST_LANGUAGE_SCORE = 0.3
+#: Near copies share this percent of their runs of five words; the thin query op8 has a threshold of its own.
+NEAR_PERCENT = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least id stays."""
-    return neardup.keep_one(docs)
+    return neardup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,7 +70,7 @@ ORACLES["op6_licences"] = licences.oracle()
 
 @query
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=85)
 
 
 @query

@@ -1,13 +1,13 @@
 """MinHash near-duplicates with odd sketches (operator 8).
 
 1. Every text becomes its set of hashed shingles.  ``SAMPLES`` MinHash values are taken;
-   the first ``BANDS * ROWS`` of them form bands, and all of them are folded into a parity
+   the first of them, ``ROWS`` a band, form bands, and all of them are folded into a parity
    bitmap of ``BITS`` bits (an odd sketch: every sampled value flips one bit), whose XOR
    population count estimates how many samples two texts do not share.
 2. Texts with equal sets are one class, so copies are compared once.
 3. Classes that share a band are candidates; inside a bucket the sketches are compared
    pairwise, in blocks of ``BLOCK`` rows (a large bucket becomes many block pairs), and
-   pairs of at most ``MOST_BITS`` different bits are likely links.  A block returns no pairs,
+   pairs of few different bits (``bounds``) are likely links.  A block returns no pairs,
    only which of its classes likely links connect (a star each).  The components of all
    these are the loose groups.
 4. Inside a loose group, again in block pairs, every likely link is confirmed on the full
@@ -16,8 +16,9 @@
    result.  So no group emits all its pairs, none is capped, and every likely link is
    confirmed, refuted, or inside one component.
 
-At a similarity of 0.85 a pair shares no band with a probability of 8e-7, and lies beyond
-``MOST_BITS`` (five standard deviations) with one of about 3e-7; both fall fast above it.
+The threshold is an argument, in percent; bands and the most different bits follow from it
+(``bounds``): a pair at the threshold shares no band with a probability of at most 8e-7, and
+lies beyond the most bits (over six standard deviations) with a still lower one; both fall fast above it.
 
 Defined results: a text without words, a null text and a row without id are linked with
 nothing; a text with fewer words than a shingle is one shingle; copies are linked; rows
@@ -27,6 +28,8 @@ id and text columns are read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -36,12 +39,14 @@ from curata.llm.components import components
 from curata.llm.words import LOWER, U, buffers, mix, shingles, span_hashes, split
 
 SHINGLE = 5
-#: A link: 100 * intersection >= PERCENT * union.
+#: A link: 100 * intersection >= percent * union; this percent if none is given, with its ``bounds``.
 PERCENT = 85
 BANDS, ROWS = 24, 5
 SAMPLES = 240
 BITS = 512
 MOST_BITS = 120
+#: The chance that a pair at the threshold shares no band, and the standard deviations to the most bits.
+MISSED, DEVIATIONS = 8e-7, 6.2
 #: Rows of a bucket compared with each other at once.
 BLOCK = 256
 #: Rows up to which a side of small rows is sent to all executors; beyond, Spark joins by shuffle.
@@ -54,6 +59,19 @@ _XOR = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
 _MUL = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * U(2) + U(1)
 
 
+def bounds(percent: int) -> tuple[int, int]:
+    """(bands, most different bits of likely links) for a threshold."""
+    s = percent / 100
+    bands = math.ceil(math.log(MISSED) / math.log1p(-s**ROWS)) if s < 1 else 1
+    if not 0 < bands * ROWS <= SAMPLES:
+        raise ValueError(f"{percent} % needs {bands} bands of {ROWS}; there are {SAMPLES} samples")
+    flips = 2 * SAMPLES * (1 - s)  # a sample that differs flips a bit on either side
+    kept, kept2 = (1 - 2 / BITS) ** flips, (1 - 4 / BITS) ** flips
+    drawn = 2 * kept * math.sqrt(SAMPLES * s * (1 - s))
+    met = max(0.0, BITS / 4 * (1 - kept2) - flips * kept2)  # variance by bits that meet
+    return bands, math.ceil(BITS / 2 * (1 - kept) + DEVIATIONS * math.sqrt(drawn**2 + met))
+
+
 def shingle_sets(column: pa.Array, size: int = SHINGLE):
     """Slices of a text column: (from, hashes sorted within each text, shingles a text)."""
     raw, offsets = buffers(column)
@@ -66,19 +84,19 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE):
         lo = hi
 
 
-def signatures(hashes: np.ndarray, counts: np.ndarray):
-    """(band keys: texts x BANDS, odd sketches: texts x BITS / 8) of the texts with shingles."""
+def signatures(hashes: np.ndarray, counts: np.ndarray, n_bands: int = BANDS):
+    """(band keys: texts x n_bands, odd sketches: texts x BITS / 8) of the texts with shingles."""
     at = (np.cumsum(counts) - counts)[counts > 0]
     n = len(at)
-    bands = np.zeros((n, BANDS), U)
+    bands = np.zeros((n, n_bands), U)
     bits = np.zeros((n, BITS), np.uint8)
     rows = np.arange(n)
     for i in range(SAMPLES):
         least = np.minimum.reduceat((hashes ^ _XOR[i]) * _MUL[i], at) if n else np.zeros(0, U)
-        if i < BANDS * ROWS:
+        if i < n_bands * ROWS:
             bands[:, i // ROWS] = bands[:, i // ROWS] * U(0xD6E8FEB86659FD93) + mix(least + U(i))
         bits[rows, (mix(least + U(1000 + i)) >> U(40)) % U(BITS)] ^= 1
-    bands = mix(bands + np.arange(BANDS, dtype=U)[None, :])
+    bands = mix(bands + np.arange(n_bands, dtype=U)[None, :])
     return bands, np.packbits(bits, axis=1)
 
 
@@ -92,15 +110,15 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
     return out[0], out[1]
 
 
-def describe(docs: DataFrame, key: str, text: str) -> DataFrame:
+def describe(docs: DataFrame, key: str, text: str, n_bands: int) -> DataFrame:
     """Staged: (id, n, f1, f2, bands array<bigint>, sketch binary) of every row."""
     def run(batches):
         for b in batches:
             for lo, hashes, counts in shingle_sets(b.column(1)):
-                bands, sketches = signatures(hashes, counts)
+                bands, sketches = signatures(hashes, counts, n_bands)
                 f1, f2 = fingerprints(hashes, counts)
                 has = counts > 0
-                width = np.where(has, BANDS, 0)
+                width = np.where(has, n_bands, 0)
                 keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]).astype(np.int32)),
                                                 pa.array(bands.reshape(-1).view(np.int64)))
                 flat = iter(sketches)
@@ -128,7 +146,7 @@ def blocked(rows: DataFrame, group: str, size: str) -> DataFrame:
     return m.repartition(group, "x", "y").sortWithinPartitions(group, "x", "y")
 
 
-def likely(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def likely(table: pa.Table, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs of a block pair that likely are links, nearest first."""
     side, block = table["side"].to_numpy(), (table["x"][0].as_py(), table["y"][0].as_py())
     same = block[0] == block[1]
@@ -141,7 +159,7 @@ def likely(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         far = np.zeros((len(rows), len(other)), np.uint16)
         for w in range(sketch.shape[1]):
             far += np.bitwise_count(sketch[rows, w][:, None] ^ sketch[other, w][None, :])
-        ok = far <= MOST_BITS
+        ok = far <= most_bits
         if same:
             ok &= rows[:, None] < other[None, :]
         i, j = np.nonzero(ok)
@@ -167,7 +185,7 @@ def connected(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def confirmed(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+def confirmed(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """The confirmed links among the pairs, in order, that connected what wasn't yet."""
     label, out = np.arange(len(sets)), []
     while len(i):
@@ -175,7 +193,7 @@ def confirmed(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> list[tupl
         p, q = int(i[0]), int(j[0])
         i, j = i[1:], j[1:]
         both = len(np.intersect1d(a, b, assume_unique=True))
-        if 100 * both >= PERCENT * (len(a) + len(b) - both):
+        if 100 * both >= percent * (len(a) + len(b) - both):
             out.append((p, q))
             label[label == label[q]] = label[p]
             apart = label[i] != label[j]
@@ -183,11 +201,11 @@ def confirmed(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> list[tupl
     return out
 
 
-def loose_links(members: DataFrame) -> DataFrame:
+def loose_links(members: DataFrame, most_bits: int) -> DataFrame:
     """Staged (u, v): stars over the classes of a bucket that likely links connect."""
     def run(batches):
         for group in runs(batches, ["key", "x", "y"]):
-            i, j = likely(group)
+            i, j = likely(group, most_bits)
             if len(i):
                 c = group["c"].to_numpy()
                 label = connected(len(c), i, j)
@@ -198,15 +216,15 @@ def loose_links(members: DataFrame) -> DataFrame:
     return stage(arrow_map(m, run, "u bigint, v bigint").where("u <> v").distinct())
 
 
-def links(groups: DataFrame) -> DataFrame:
+def links(groups: DataFrame, percent: int, most_bits: int) -> DataFrame:
     """Staged (u, v): confirmed links that connect the classes of ``groups`` (root, c, n, sketch, shingles)."""
     def run(batches):
         for group in runs(batches, ["root", "x", "y"]):
-            i, j = likely(group)
+            i, j = likely(group, most_bits)
             if len(i):
                 c = group["c"].to_numpy()
                 sets = [np.frombuffer(x.as_buffer(), U) for x in group["shingles"]]
-                found = confirmed(sets, i, j)
+                found = confirmed(sets, i, j, percent)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c[[p for p, _ in found]], pa.int64()), pa.array(c[[q for _, q in found]], pa.int64())], ["u", "v"])
 
@@ -231,23 +249,24 @@ def full_sets(docs: DataFrame, wanted: DataFrame, rows: int, key: str, text: str
     return stage(got.join(sent(wanted.select("c", "f1", "f2", "n"), rows), ["f1", "f2", "n"]).select("c", "shingles"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row: one component of linked texts each."""
-    rows = describe(docs, key, text)
+    n_bands, most_bits = bounds(percent)
+    rows = describe(docs, key, text, n_bands)
     some = rows.where("n > 0 and id is not null")
     classes = stage(some.groupBy("n", "f1", "f2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
                     .withColumn("c", F.xxhash64("n", "f1", "f2")))
     band = classes.select("c", F.explode("bands").alias("key"))
     shared = band.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = band.join(shared, "key").join(classes.select("c", "sketch"), "c").select("key", "c", "n", "sketch")
-    groups = stage(components(loose_links(members)).select(F.col("node").alias("c"), "root"))
+    groups = stage(components(loose_links(members, most_bits)).select(F.col("node").alias("c"), "root"))
     # every root stands for itself, too
     groups = groups.union(groups.select(F.col("root").alias("c"), "root").distinct())
     nodes = stage(groups.join(classes.select("c", "id", "n", "f1", "f2", "sketch"), "c"))
     sets = full_sets(docs, nodes, nodes.count(), key, text)
     sizes = nodes.groupBy("root").agg(F.count("*").alias("size"))
     full = nodes.join(sizes, "root").join(sets, "c").select("root", "c", F.col("size").alias("n"), "sketch", "shingles")
-    roots = components(links(full))
+    roots = components(links(full, percent, most_bits))
     comp = nodes.select("c").join(roots, nodes["c"] == roots["node"], "left").select("c", F.coalesce("root", "c").alias("comp"))
     # every class of a component gets the least id of all its classes
     named = nodes.select("c", "id").join(comp, "c")
@@ -260,8 +279,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                       F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the text with the least id."""
-    gone = stage(near_duplicates(docs, key, text).where("not kept and component_id is not null").select(key))
+    gone = stage(near_duplicates(docs, key, text, percent).where("not kept and component_id is not null").select(key))
     rows = gone.count()
     return docs.join(sent(gone, rows), key, "left_anti").select(*docs.columns)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from curata.llm import neardup
 from curata.llm.common import stage
 
 SF = "/root/testdata/sf0.01"
@@ -49,6 +50,28 @@ def test_one_of_each_group_stays(steps):
     assert ids(steps["near_duplicates"]) == {c for _, c in brute_components(rows).values()}
 
 
+def test_stage_links_from_80_percent_on(spark):
+    """Against brute force at 0.8, with many pairs from 0.80 to under 0.85."""
+    from test_similarity_operators import near_copies, word_sets
+    texts = [t for seed in range(40) for t in near_copies(seed, 5, 120, 3)]
+    rows = list(enumerate(texts))
+    sets, least = word_sets(rows), list(range(len(rows)))
+    between = 0
+    for a in sets:
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            union = len(sets[a]) + len(sets[b]) - both
+            if 100 * both >= 80 * union:
+                between += 100 * both < 85 * union
+                p, q = least[a], least[b]
+                least = [min(p, q) if x in (p, q) else x for x in least]
+    assert between > 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert ids(corpus_pipeline.drop_near_duplicates(spark, df, SF)) == set(least)
+    assert len(set(least)) < neardup.keep_one(df).count()
+    assert neardup.bounds(85) == (neardup.BANDS, neardup.MOST_BITS)
+
+
 def test_personal_data_is_gone(steps):
     from test_text_operators import base_spans
     texts = {r.doc_id: r for r in steps["personal"].collect()}
