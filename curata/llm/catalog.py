@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import hashing, language, licences, neardup, packing, personal, pivots, quality, sharding, tokens
+from curata.llm import hashing, language, licences, middle, neardup, packing, personal, pivots, quality, sharding, tokens
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -99,3 +99,13 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+
+
+@query
+def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = middle.transform(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+ORACLES["op11_middle"] = middle.oracle()
