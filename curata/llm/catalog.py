@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import hashing, language, licences, middle, neardup, packing, personal, pivots, quality, sharding, tokens
+from curata.llm import hashing, language, licences, middle, neardup, packing, personal, pivots, quality, sharding, tokens, trie
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -109,3 +109,11 @@ def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_middle"] = middle.oracle()
+
+
+@query
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.rebuilt(trie.conversations(read(spark, sf_dir, "conversations"))))
+
+
+ORACLES["op13_trie"] = trie.oracle()
