@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import hashing, language, licences, middle, neardup, packing, personal, pivots, quality, sharding, tokens, trie
+from curata.llm import hashing, language, licences, middle, neardup, packing, personal, pivots, quality, rules, sharding, tokens, trie
 from curata.llm.common import read
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -117,3 +117,8 @@ def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_trie"] = trie.oracle()
+
+
+@query
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
