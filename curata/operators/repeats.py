@@ -15,15 +15,14 @@ single task.  Instead (``anchors``):
    range partitioning splits a hot key over many tasks -- and every key run in a
    partition is walked with a binary search to the next anchor.  Exact for every
    key that does not cross a partition boundary; one pass, no join.
-2. *crossing keys* (at most one per boundary, read off a per-partition summary)
-   are redone whole by the data-parallel path below.
-3. *successor + doubling* (any key size): for every arrival ``i`` find
-   ``next(i)``, the first arrival of the same key at or after ``t_i + 24 h``
-   (arrivals and probes range-partitioned and sorted together, probes resolved in
-   one vectorised pass, open ones from a per-partition summary that is broadcast).
-   The anchors ``root, next(root), ...`` are then enumerated by pointer doubling:
-   ``J_{r+1} = J_r . J_r`` (an equi-join on the arrival id), then from the roots
-   the levels from the highest down: ``2 log2(L)`` joins for ``L`` anchors.
+2. *exits*: only a partition's first run can be entered from the one before.  For
+   every row of it, one backward pass finds the exit: the last anchor of the walk
+   that enters there (in segments of at most ``SEGMENT`` rows, so memory is bounded).
+3. *carry* (keys that cross a boundary, at most one a boundary): an exit's next row,
+   in a later segment, is found by sorting exits + 24 h with the entry rows.  That
+   links exits to exits, one link a segment, and the exits reached from a key's
+   first partition are composed by doubling: ``log2(segments)`` rounds, whatever
+   the time span.  A second walk inside the entered segments lists their anchors.
 """
 
 from __future__ import annotations
@@ -175,9 +174,9 @@ def _n_parts(df: DataFrame, partitions: int | None) -> int:
     return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _successor(base: DataFrame, delta_us: int, n: int) -> DataFrame:
-    rows = (base.select("_k", "_t", F.lit(1).alias("_kind"), "_id")
-            .unionByName(base.select("_k", (F.col("_t") + F.lit(delta_us)).alias("_t"), F.lit(0).alias("_kind"), "_id")))
+def _resolved(rows: DataFrame, n: int) -> DataFrame:
+    """``(id, nxt_id, nxt_t)`` for the probes (``_kind`` 0) of ``(_k, _t, _kind, _id)``: the
+    first arrival (``_kind`` 1) of the key at or after the probe's time."""
     order = ["_k", "_t", "_kind", "_id"]
     laid = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # One evaluation feeds both uses below; also a recovery point.
@@ -201,53 +200,69 @@ def _successor(base: DataFrame, delta_us: int, n: int) -> DataFrame:
         F.col("_id").alias("id"), F.col("_nid").alias("nxt_id"), F.col("_nt").alias("nxt_t"))
 
 
+def _probes(rows: DataFrame, delta_us: int) -> DataFrame:
+    return rows.select("_k", (F.col("_t") + F.lit(delta_us)).alias("_t"), F.lit(0).alias("_kind"), "_id")
+
+
+def _arrivals(rows: DataFrame) -> DataFrame:
+    return rows.select("_k", "_t", F.lit(1).alias("_kind"), "_id")
+
+
 def successor(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, delta_us: int,
               partitions: int | None = None) -> DataFrame:
     """For every row: ``(id, nxt_id, nxt_t)``, the first row of the same key with
     ``t >= t_row + delta_us`` in ``(t, id)`` order (null when there is none).
     ``id_col`` must be unique.  Skew-safe: see the module docstring."""
-    return _successor(_base(df, keys, ts, id_col), delta_us, _n_parts(df, partitions))
-
-
-def _doubling_anchors(base: DataFrame, delta_us: int, n: int) -> DataFrame:
-    """Anchor ids by successor pointers and pointer doubling (any key size)."""
-    succ = _successor(base, delta_us, n)
-    roots = (base.groupBy("_k").agg(F.min_by("_id", F.struct("_t", "_id")).alias("id")).select("id"))
-    roots = cut_lineage(roots)
-    linked = succ.where(F.col("nxt_id").isNotNull())
-    # Only roots and someone's successor can lie on a chain.
-    cands = roots.unionByName(linked.select(F.col("nxt_id").alias("id"))).distinct()
-    level = cut_lineage(linked.join(cands, "id", "left_semi").select("id", F.col("nxt_id").alias("p")))
-    levels = []
-    while True:
-        levels.append(level)
-        nxt = (level.alias("a").join(level.alias("b"), F.col("a.p") == F.col("b.id"))
-               .select(F.col("a.id").alias("id"), F.col("b.p").alias("p")))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
-            break
-        level = nxt
-    reached = roots
-    for lv in reversed(levels):
-        step = reached.join(lv, "id").select(F.col("p").alias("id"))
-        reached = cut_lineage(reached.unionByName(step))
-    return reached
+    base = _base(df, keys, ts, id_col)
+    return _resolved(_arrivals(base).unionByName(_probes(base, delta_us)), _n_parts(df, partitions))
+
 
+#: Rows of a partition's first run that one backward pass takes at once.
+SEGMENT = 1 << 20
 
 _LOCAL_SCHEMA = T.StructType([
-    T.StructField("_row", T.IntegerType()),    # 3 local anchor, 2 partition summary
+    T.StructField("_row", T.IntegerType()),    # 1 row of the first run, 2 partition summary, 3 local anchor
     T.StructField("_part", T.IntegerType()),
+    T.StructField("_seg", T.IntegerType()),    # first run: its segment
     T.StructField("_id", T.LongType()),
-    T.StructField("_k", T.StringType()),       # anchor: its key; summary: first key
+    T.StructField("_t", T.LongType()),
+    T.StructField("_k", T.StringType()),       # key; summary: first key
     T.StructField("_last_k", T.StringType()),  # summary: last key
+    T.StructField("_exit_id", T.LongType()),   # where the walk from this row ends; summary: the last key's last anchor
+    T.StructField("_exit_t", T.LongType()),
 ])
 
 
-def _local_pass(window_us: int):
+def exits(t: np.ndarray, window_us: int) -> np.ndarray:
+    """For every row of sorted times: the row of the last anchor if the walk enters at it."""
+    nxt = np.searchsorted(t, t + window_us, side="left")
+    out = np.where(nxt < len(t), nxt, np.arange(len(t)))
+    while True:
+        further = out[out]
+        if (further == out).all():
+            return out
+        out = further
+
+
+def _local_pass(window_us: int, segment: int):
+    columns = [f.name for f in _LOCAL_SCHEMA.fields]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Walk the sorted rows batch by batch; only the open key's anchor is carried."""
-        part = TaskContext.get().partitionId()
-        first = last = anchor = None
+        """Walk the sorted rows batch by batch; carried are the open key's anchor and an open segment."""
+        part, seg = TaskContext.get().partitionId(), 0
+        first = last = anchor = anchor_id = None
+        run_t: list[np.ndarray] = []
+        run_id: list[np.ndarray] = []
+
+        def frame(row, n, **given):
+            return pd.DataFrame({c: given.get(c) for c in columns} | {"_row": np.full(n, row, np.int32), "_part": np.full(n, part, np.int32)},
+                                index=range(n))
+
+        def flush():
+            t, ids = np.concatenate(run_t), np.concatenate(run_id)
+            to = exits(t, window_us)
+            return frame(1, len(t), _seg=np.full(len(t), seg, np.int32), _id=ids, _t=t, _k=first, _exit_id=ids[to], _exit_t=t[to])
+
         for pdf in batches:
             if not len(pdf):
                 continue
@@ -257,6 +272,14 @@ def _local_pass(window_us: int):
             if first is None:
                 first = k[0]
             cuts = np.flatnonzero(k[1:] != k[:-1]) + 1
+            own = len(k) if k[-1] == first else int(cuts[0]) if k[0] == first else 0  # rows of the first run
+            for lo in range(0, own, segment):
+                hi = min(own, lo + segment)
+                if run_t and sum(map(len, run_t)) + hi - lo > segment:
+                    yield flush()
+                    seg, run_t, run_id = seg + 1, [], []
+                run_t.append(t[lo:hi])
+                run_id.append(ids[lo:hi])
             pos: list[int] = []
             for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k)]):
                 if k[s] != last:
@@ -264,44 +287,94 @@ def _local_pass(window_us: int):
                 i = s if anchor is None else s + int(np.searchsorted(t[s:e], anchor + window_us, side="left"))
                 while i < e:
                     pos.append(i)
-                    anchor = int(t[i])
+                    anchor, anchor_id = int(t[i]), int(ids[i])
                     i = s + int(np.searchsorted(t[s:e], anchor + window_us, side="left"))
             at = np.asarray(pos, dtype=np.int64)
-            yield pd.DataFrame({"_row": np.full(len(at), 3, dtype=np.int32),
-                                "_part": np.full(len(at), part, dtype=np.int32),
-                                "_id": ids[at], "_k": k[at], "_last_k": None})
+            yield frame(3, len(at), _id=ids[at], _k=k[at])
         if first is not None:
-            yield pd.DataFrame({"_row": [2], "_part": [part], "_id": [None], "_k": [first], "_last_k": [last]})
+            yield flush()
+            yield frame(2, 1, _k=first, _last_k=last, _exit_id=anchor_id, _exit_t=anchor)
     return run
 
 
+def _walk_entered(window_us: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Anchors of sorted segments from their entered row on."""
+        seg = anchor = None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            t, ids = pdf["_t"].to_numpy(np.int64), pdf["_id"].to_numpy(np.int64)
+            entered = pdf["_entered"].to_numpy(bool)
+            own = pdf["_part"].to_numpy(np.int64) << 32 | pdf["_seg"].to_numpy(np.int64)
+            cuts = np.flatnonzero(own[1:] != own[:-1]) + 1
+            pos: list[int] = []
+            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)]):
+                if own[s] != seg:
+                    seg, anchor = own[s], None
+                if anchor is None:
+                    here = np.flatnonzero(entered[s:e])
+                    i = s + int(here[0]) if len(here) else e
+                else:
+                    i = s + int(np.searchsorted(t[s:e], anchor + window_us, side="left"))
+                while i < e:
+                    pos.append(i)
+                    anchor = int(t[i])
+                    i = s + int(np.searchsorted(t[s:e], anchor + window_us, side="left"))
+            yield pd.DataFrame({"id": ids[np.asarray(pos, dtype=np.int64)]})
+    return run
+
+
+def _carried(table: DataFrame, starts: DataFrame, window: int, n: int) -> DataFrame:
+    """Anchor ids in the segments of ``table`` that the walks from ``starts`` (_k, _exit_id, _exit_t) enter."""
+    hops = table.groupBy("_k").agg(F.countDistinct("_part", "_seg").alias("n")).agg(F.max("n")).first()[0] or 1
+    left = table.select("_k", "_exit_id", "_exit_t").unionByName(starts).distinct()
+    probes = _probes(left.select("_k", F.col("_exit_t").alias("_t"), F.col("_exit_id").alias("_id")), window)
+    nxt = _resolved(_arrivals(table).unionByName(probes), n)
+    links = cut_lineage(nxt.where(F.col("nxt_id").isNotNull()).join(table.select("_id", F.col("_exit_id").alias("b")), F.col("nxt_id") == F.col("_id"))
+                        .select(F.col("id").alias("a"), F.col("nxt_id").alias("entry"), "b"))
+    levels = [links.select("a", "b")]
+    for _ in range((hops - 1).bit_length()):  # a walk enters every segment once at most
+        x, y = levels[-1].alias("x"), levels[-1].alias("y")
+        levels.append(cut_lineage(x.join(y, F.col("x.b") == F.col("y.a")).select("x.a", "y.b")))
+    reached = starts.select(F.col("_exit_id").alias("a"))
+    for level in reversed(levels):
+        step = reached.unionByName(reached.join(level, "a").select(F.col("b").alias("a")))
+        reached = step if level is levels[0] else cut_lineage(step)
+    entered = links.join(reached, "a", "left_semi").select(F.col("entry").alias("_id"), F.lit(True).alias("_entered"))
+    rows = (table.select("_part", "_seg", "_t", "_id").join(entered, "_id", "left")
+            .withColumn("_entered", F.coalesce("_entered", F.lit(False))))
+    laid = rows.repartition(n, "_part", "_seg").sortWithinPartitions("_part", "_seg", "_t", "_id")
+    return laid.mapInPandas(_walk_entered(window), "id long")
+
+
 def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
-            hours: int = CACHE_HOURS, partitions: int | None = None) -> DataFrame:
-    """Ids of the anchors (the arrivals that pass), one column ``id``.
-
-    1. Arrivals are range-partitioned and sorted on ``(key, t, id)`` and every key
-       run inside a partition is walked locally, batch by batch (binary search to
-       the next anchor).  Exact for every key that does not cross a boundary.
-    2. Keys that do cross one (at most one per boundary, read off a per-partition
-       summary) are redone as a whole with successor pointers and pointer doubling,
-       which never puts one key in one task."""
+            hours: int = CACHE_HOURS, partitions: int | None = None, written: bool = False,
+            segment: int = SEGMENT) -> DataFrame:
+    """Ids of the anchors (the arrivals that pass), one column ``id``; the steps are those of the
+    module docstring.  ``written``: the input is a table already, so it isn't written again
+    before it is read twice (range partitioning samples it first)."""
     window = hours * MICROS_PER_HOUR
     n = _n_parts(df, partitions)
-    base = cut_lineage(_base(df, keys, ts, id_col))  # read for sampling, shuffle and redo
+    base = _base(df, keys, ts, id_col)
+    base = base if written else cut_lineage(base)
     order = ["_k", "_t", "_id"]
     laid = base.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    m = cut_lineage(laid.mapInPandas(_local_pass(window), _LOCAL_SCHEMA))
-    summ = m.where(F.col("_row") == 2).select("_part", "_k", "_last_k")
+    m = cut_lineage(laid.mapInPandas(_local_pass(window, segment), _LOCAL_SCHEMA))
+    summ = m.where(F.col("_row") == 2)
     by_part = Window.orderBy("_part")  # one row per partition: bounded
-    crossing = (summ.select(F.when(F.lead("_k").over(by_part) == F.col("_last_k"), F.col("_last_k")).alias("_k"))
-                .where(F.col("_k").isNotNull()).distinct())
+    crossing = (summ.select("_part", F.when(F.lead("_k").over(by_part) == F.col("_last_k"), F.col("_last_k")).alias("_k"))
+                .where(F.col("_k").isNotNull()).groupBy("_k").agg(F.min("_part").alias("_start")))
     crossing = cut_lineage(crossing)  # at most one key per partition boundary
-    local = (m.where(F.col("_row") == 3).join(F.broadcast(crossing), "_k", "left_anti")
-             .select(F.col("_id").alias("id")))
+    local = (m.where(F.col("_row") == 3).join(F.broadcast(crossing), "_k", "left")
+             .where(F.col("_start").isNull() | (F.col("_part") == F.col("_start"))).select(F.col("_id").alias("id")))
     if crossing.isEmpty():
         return local
-    rest = base.join(F.broadcast(crossing), "_k", "left_semi")
-    return local.unionByName(_doubling_anchors(rest, window, n))
+    table = (m.where(F.col("_row") == 1).join(F.broadcast(crossing), "_k").where(F.col("_part") > F.col("_start"))
+             .select("_part", "_seg", "_k", "_t", "_id", "_exit_id", "_exit_t"))
+    starts = (summ.join(F.broadcast(crossing.withColumnRenamed("_k", "_key")), (F.col("_last_k") == F.col("_key")) & (F.col("_part") == F.col("_start")))
+              .select(F.col("_key").alias("_k"), "_exit_id", "_exit_t"))
+    return local.unionByName(_carried(table, starts, window, n))
 
 
 def mark_repeats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,

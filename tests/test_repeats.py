@@ -74,6 +74,29 @@ def test_hot_key_over_many_partitions(spark):
     assert got == brute(rows)
 
 
+def test_carry_over_many_segments(spark):
+    """A hot key in segments of a few rows: short ones that a walk jumps over, and long ones that it enters."""
+    from curata.operators.repeats import anchors
+    for step, seed in ((DAY_US // 40, 1), (DAY_US // 3, 2), (3 * DAY_US, 3)):
+        rnd = random.Random(seed)
+        rows = [(i, "hot" if i % 3 else f"k{i % 7}", BASE_US + i * step + rnd.randint(0, 3) * step // 2) for i in range(900)]
+        for parts, segment in ((1, 5), (5, 3), (13, 1000)):
+            got = {r.id for r in anchors(to_df(spark, rows), ["k"], "ts", "id", partitions=parts, segment=segment).collect()}
+            assert got == brute(rows), (step, parts, segment)
+
+
+def test_exits_equal_the_walk():
+    import numpy as np
+    from curata.operators.repeats import exits
+    rnd = random.Random(5)
+    t = np.sort(np.array([rnd.randint(0, 30 * DAY_US) for _ in range(400)]))
+    for i, last in enumerate(exits(t, DAY_US)):
+        at = i
+        while (later := np.flatnonzero(t >= t[at] + DAY_US)).size:
+            at = int(later[0])
+        assert last == at
+
+
 def micro_batches(spark, tmp, batches, **kw):
     """Statuses by id after feeding lists of (id, key, hours) one after another."""
     from curata.streaming.repeats import repeats_micro_batch
