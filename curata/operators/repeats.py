@@ -223,7 +223,7 @@ SEGMENT = 1 << 20
 _LOCAL_SCHEMA = T.StructType([
     T.StructField("_row", T.IntegerType()),    # 1 row of the first run, 2 partition summary, 3 local anchor
     T.StructField("_part", T.IntegerType()),
-    T.StructField("_seg", T.IntegerType()),    # first run: its segment
+    T.StructField("_seg", T.IntegerType()),    # first run: its segment; summary: how many it has
     T.StructField("_id", T.LongType()),
     T.StructField("_t", T.LongType()),
     T.StructField("_k", T.StringType()),       # key; summary: first key
@@ -293,7 +293,7 @@ def _local_pass(window_us: int, segment: int):
             yield frame(3, len(at), _id=ids[at], _k=k[at])
         if first is not None:
             yield flush()
-            yield frame(2, 1, _k=first, _last_k=last, _exit_id=anchor_id, _exit_t=anchor)
+            yield frame(2, 1, _seg=np.int32(seg + 1), _k=first, _last_k=last, _exit_id=anchor_id, _exit_t=anchor)
     return run
 
 
@@ -325,9 +325,9 @@ def _walk_entered(window_us: int):
     return run
 
 
-def _carried(table: DataFrame, starts: DataFrame, window: int, n: int) -> DataFrame:
-    """Anchor ids in the segments of ``table`` that the walks from ``starts`` (_k, _exit_id, _exit_t) enter."""
-    hops = table.groupBy("_k").agg(F.countDistinct("_part", "_seg").alias("n")).agg(F.max("n")).first()[0] or 1
+def _carried(table: DataFrame, starts: DataFrame, window: int, n: int, hops: int) -> DataFrame:
+    """Anchor ids in the segments of ``table`` that the walks from ``starts`` (_k, _exit_id, _exit_t)
+    enter; a key has ``hops`` segments at most."""
     left = table.select("_k", "_exit_id", "_exit_t").unionByName(starts).distinct()
     probes = _probes(left.select("_k", F.col("_exit_t").alias("_t"), F.col("_exit_id").alias("_id")), window)
     nxt = _resolved(_arrivals(table).unionByName(probes), n)
@@ -363,18 +363,19 @@ def anchors(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
     m = cut_lineage(laid.mapInPandas(_local_pass(window, segment), _LOCAL_SCHEMA))
     summ = m.where(F.col("_row") == 2)
     by_part = Window.orderBy("_part")  # one row per partition: bounded
-    crossing = (summ.select("_part", F.when(F.lead("_k").over(by_part) == F.col("_last_k"), F.col("_last_k")).alias("_k"))
-                .where(F.col("_k").isNotNull()).groupBy("_k").agg(F.min("_part").alias("_start")))
-    crossing = cut_lineage(crossing)  # at most one key per partition boundary
+    on = F.lead("_k").over(by_part) == F.col("_last_k")
+    found = (summ.select("_part", F.when(on, F.col("_last_k")).alias("_k"), F.lead("_seg").over(by_part).alias("_n")).where(F.col("_k").isNotNull())
+             .groupBy("_k").agg(F.min("_part").alias("_start"), F.sum("_n").alias("_hops")).collect())  # at most one key per partition boundary
+    if not found:
+        return m.where(F.col("_row") == 3).select(F.col("_id").alias("id"))
+    crossing = df.sparkSession.createDataFrame([(r["_k"], r["_start"]) for r in found], "_k string, _start int")
     local = (m.where(F.col("_row") == 3).join(F.broadcast(crossing), "_k", "left")
              .where(F.col("_start").isNull() | (F.col("_part") == F.col("_start"))).select(F.col("_id").alias("id")))
-    if crossing.isEmpty():
-        return local
     table = (m.where(F.col("_row") == 1).join(F.broadcast(crossing), "_k").where(F.col("_part") > F.col("_start"))
              .select("_part", "_seg", "_k", "_t", "_id", "_exit_id", "_exit_t"))
     starts = (summ.join(F.broadcast(crossing.withColumnRenamed("_k", "_key")), (F.col("_last_k") == F.col("_key")) & (F.col("_part") == F.col("_start")))
               .select(F.col("_key").alias("_k"), "_exit_id", "_exit_t"))
-    return local.unionByName(_carried(table, starts, window, n))
+    return local.unionByName(_carried(table, starts, window, n, max(r["_hops"] for r in found)))
 
 
 def mark_repeats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,

@@ -1,92 +1,157 @@
 """T1 as a stream: anchored 24-hour repeat suppression.
 
 ``foreachBatch`` runs the batch algorithm on each micro-batch, so a hot key spreads over
-many tasks, and the anchors live in a versioned table with a row a key.  Rows are taken
+many tasks, and the anchors live in hash buckets of keys, a row a key.  Rows are taken
 in arrival order: within a micro-batch by ``(t, id)``, and batch after batch.  An arrival
 passes if it is the first of its key or comes 24 h or more after the key's anchor; a late
 one, before the anchor or within its 24 h, is a repeat.
 
+State costs what a batch touches.  A batch reads only the buckets that its keys fall into
+and writes only the anchors that it moved, as files of its own version in those buckets.  A
+bucket whose later versions hold more bytes than half of its full one and than ``SMALL_BYTES``, or
+are more than ``MOST_VERSIONS``, is written anew as a whole, so the bytes written, all in all,
+stay in proportion to the anchors moved.
+
 ``lateness_hours`` bounds how far behind the latest event time seen a row may come.  Rows
-beyond it do not vanish: they come out with status ``late``.  A key's anchor is kept until
-``anchor + 24 h + lateness``: after that no row that is still taken could be its repeat.
-Without a bound, anchors are kept for good.
+beyond it do not vanish: they come out with status ``late``.  A key's anchor is kept at least until
+``anchor + 24 h + lateness``: after that no row that is still taken could be its repeat, and
+the next time that its bucket is written anew leaves it out.  Without a bound, anchors are kept for good.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curata.functions.durations import epoch_us
 from curata.operators.repeats import CACHE_HOURS, MICROS_PER_HOUR, anchors
 from curata.session import cut_lineage, drop_staged
 
 PASSED, LATE = "passed", "late"
-
-
-def _state_version(path: str, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/v={batch_id}"
+MOST_VERSIONS = 16
+SMALL_BYTES = 1 << 20
+_STATE = "_k string, anchor long"
+
+
+class AnchorState:
+    """Anchors by key in hash buckets: ``data/b=<bucket>/v=<batch>/full=<0|1>`` under ``path``.
+
+    A key's anchor is the latest one in its bucket's versions before the batch; ``meta/v=<batch>``
+    holds the latest event time seen and the number of buckets (given, or as many as shuffle
+    partitions when the state is new).  A retried batch reads the same
+    versions and overwrites its own.  What a full version replaces is deleted by a later batch."""
+
+    def __init__(self, spark: SparkSession, path: str, batch_id: int, buckets: int | None = None):
+        self.spark, self.path, self.batch_id = spark, path.rstrip("/"), batch_id
+        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._hadoop(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        meta = f"{self.path}/meta/v={batch_id - 1}"
+        row = spark.read.parquet(meta).first() if batch_id > 0 and self._fs.exists(self._hadoop(meta)) else None
+        new = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.seen, self.buckets = (row["seen"], row["buckets"]) if row else (None, new)
+
+    def bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def versions(self, bucket: int) -> list[tuple[int, int, int]]:
+        """(batch, full, bytes) of a bucket's versions before this batch, the newest full one first."""
+        found = []
+        for f in self._fs.globStatus(self._hadoop(f"{self.path}/data/b={bucket}/v=*/full=*")) or []:
+            version, full = (int(x.split("=")[1]) for x in f.getPath().toString().rsplit("/", 2)[1:])
+            if version < self.batch_id:
+                found.append((version, full, self._fs.getContentSummary(f.getPath()).getLength()))
+        found.sort()
+        last = max((i for i, v in enumerate(found) if v[1]), default=0)
+        return found[last:]
+
+    def read(self, buckets: list[int]) -> DataFrame:
+        """(_k, anchor) of all keys in these buckets."""
+        paths = [f"{self.path}/data/b={b}/v={v}/full={full}" for b in buckets for v, full, _ in self.versions(b)]
+        if not paths:
+            return self.spark.createDataFrame([], _STATE)
+        return self.spark.read.schema(_STATE).parquet(*paths).groupBy("_k").agg(F.max("anchor").alias("anchor"))
+
+    def write(self, moved: DataFrame, buckets: list[int], horizon: int, keep_from: int | None) -> None:
+        """Write the moved anchors (_k, anchor) that lie in ``buckets``, and whole buckets where that is due."""
+        due, old = [], defaultdict(list)
+        for b in buckets:
+            have = self.versions(b)
+            later = [size for _, _, size in have[1:]]
+            if len(later) >= MOST_VERSIONS or (later and sum(later) > max(have[0][2] / 2, SMALL_BYTES)):
+                due.append(b)
+            old[b] = have
+        rows = moved.select("_k", "anchor").withColumn("b", self.bucket(F.col("_k")))
+        if due:
+            whole = self.read(due).unionByName(moved.select("_k", "anchor")).groupBy("_k").agg(F.max("anchor").alias("anchor"))
+            whole = whole.withColumn("b", self.bucket(F.col("_k"))).where(F.col("b").isin(due))
+            if keep_from is not None:
+                whole = whole.where(F.col("anchor") > keep_from)
+            rows = rows.where(~F.col("b").isin(due)).unionByName(whole)
+        full = F.col("b").isin(due) if due else F.lit(False)
+        first = [b for b in buckets if not old[b]]
+        full = full | F.col("b").isin(first) if first else full
+        (rows.withColumn("v", F.lit(self.batch_id)).withColumn("full", full.cast("int")).repartition("b")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b", "v", "full").parquet(f"{self.path}/data"))
+        self.spark.createDataFrame([(horizon, self.buckets)], "seen long, buckets int").coalesce(1).write.mode("overwrite").parquet(
+            f"{self.path}/meta/v={self.batch_id}")
+        self._delete_replaced(old)
+
+    def _delete_replaced(self, old: dict) -> None:
+        """Versions that a full one of an earlier batch replaces; that batch has ended, so it isn't retried."""
+        for b, have in old.items():
+            if have and have[0][1]:
+                for f in self._fs.globStatus(self._hadoop(f"{self.path}/data/b={b}/v=*")) or []:
+                    if int(f.getPath().getName().split("=")[1]) < have[0][0]:
+                        self._fs.delete(f.getPath(), True)
+        for f in self._fs.globStatus(self._hadoop(f"{self.path}/meta/v=*")) or []:
+            if int(f.getPath().getName().split("=")[1]) < self.batch_id - 1:
+                self._fs.delete(f.getPath(), True)
 
 
 def repeats_micro_batch(df: DataFrame, batch_id: int, keys: Sequence[str], ts: str, id_col: str,
                         out_path: str, state_path: str, hours: int = CACHE_HOURS,
-                        lateness_hours: int | None = None) -> None:
+                        lateness_hours: int | None = None, buckets: int | None = None) -> None:
     """T1 over one micro-batch.  Writes the rows that pass and the late ones, with ``status``,
     to the batch's partition of ``out_path``.
 
-    State is version ``v=<batch_id>`` under ``state_path``: rows ``(_k, anchor)`` and one row
-    with a null key that holds the latest event time seen.  A retried batch reads version
-    ``batch_id - 1`` again and rewrites its own version and output partition, so it is
-    idempotent; older versions than these two are deleted."""
+    State is an ``AnchorState`` under ``state_path``.  A retried batch reads the state as the
+    batch before left it and rewrites its own version and output partition, so it is idempotent."""
     spark = df.sparkSession
     window = hours * MICROS_PER_HOUR
     cols = df.columns
-    framed = cut_lineage(df.select("*", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("_k"), _epoch(df, ts).alias("_t")))
-    if batch_id > 0:
-        prev = spark.read.parquet(_state_version(state_path, batch_id - 1))
-    else:
-        prev = spark.createDataFrame([], "_k string, anchor long")
-    seen = prev.where(F.col("_k").isNull()).select(F.max("anchor")).first()[0]
+    state = AnchorState(spark, state_path, batch_id, buckets)
+    framed = df.select("*", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("_k"), epoch_us(F.col(ts), df.schema[ts].dataType).alias("_t"))
+    framed = cut_lineage(framed.withColumn("_b", state.bucket(F.col("_k"))))
     late = F.lit(False)
-    if lateness_hours is not None and seen is not None:
-        late = F.col("_t") < seen - lateness_hours * MICROS_PER_HOUR
-    taken = framed.where(~late)
-    # One state row per key, so the join cannot multiply arrivals.
-    cand = cut_lineage(taken.join(prev.where(F.col("_k").isNotNull()), "_k", "left")
-                       .where(F.col("anchor").isNull() | (F.col("_t") >= F.col("anchor") + F.lit(window)))
-                       .drop("anchor"))
-    passed = anchors(cand, ["_k"], "_t", id_col, hours).withColumnRenamed("id", "_pid")
+    if lateness_hours is not None and state.seen is not None:
+        late = F.col("_t") < state.seen - lateness_hours * MICROS_PER_HOUR
+    # what the batch touches: at most as many numbers as there are buckets
+    about = framed.agg(F.max("_t").alias("t"), F.collect_set(F.when(~late, F.col("_b"))).alias("b")).first()
+    touched = sorted(about["b"])
+    cand = framed.where(~late)
+    if batch_id > 0:  # one state row per key, so the join cannot multiply arrivals
+        cand = cut_lineage(cand.join(state.read(touched), "_k", "left")
+                           .where(F.col("anchor").isNull() | (F.col("_t") >= F.col("anchor") + F.lit(window))).drop("anchor"))
+    passed = anchors(cand, ["_k"], "_t", id_col, hours, written=True).withColumnRenamed("id", "_pid")
     kept = cut_lineage(cand.join(passed, cand[id_col].cast("long") == passed["_pid"], "left_semi"))
     out = (kept.select(*cols, F.lit(PASSED).alias("status"))
            .unionByName(framed.where(late).select(*cols, F.lit(LATE).alias("status"))).withColumn("batch_id", F.lit(batch_id)))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
-    # New state: the latest anchor per key, as long as a row may still come that it decides.
-    horizon = framed.agg(F.max("_t")).first()[0]
-    horizon = max(x for x in (horizon, seen, -(1 << 62)) if x is not None)
-    newest = kept.groupBy("_k").agg(F.max("_t").alias("anchor"))
-    state = (prev.where(F.col("_k").isNotNull()).unionByName(newest).groupBy("_k").agg(F.max("anchor").alias("anchor")))
-    if lateness_hours is not None:
-        state = state.where(F.col("anchor") + F.lit(window + lateness_hours * MICROS_PER_HOUR) > horizon)
-    state = state.unionByName(spark.createDataFrame([(None, horizon)], "_k string, anchor long"))
-    state.write.mode("overwrite").parquet(_state_version(state_path, batch_id))
-    drop_staged(framed, cand, kept)
-    if batch_id > 1:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_state_version(state_path, batch_id - 2))
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _epoch(df: DataFrame, ts: str):
-    from curata.functions.durations import epoch_us
-    return epoch_us(F.col(ts), df.schema[ts].dataType)
+    horizon = max(x for x in (about["t"], state.seen, -(1 << 62)) if x is not None)
+    keep_from = None if lateness_hours is None else horizon - window - lateness_hours * MICROS_PER_HOUR
+    state.write(kept.groupBy("_k").agg(F.max("_t").alias("anchor")), touched, horizon, keep_from)
+    drop_staged(framed, kept, *([cand] if batch_id > 0 else []))
 
 
 def start_repeats_stream(stream: DataFrame, keys: Sequence[str], ts: str, id_col: str,
                          out_path: str, state_path: str, checkpoint: str, hours: int = CACHE_HOURS,
-                         trigger: dict | None = None, lateness_hours: int | None = None):
+                         trigger: dict | None = None, lateness_hours: int | None = None, buckets: int | None = None):
     """Start streaming T1 (``foreachBatch``)."""
     w = (stream.writeStream
-         .foreachBatch(lambda df, bid: repeats_micro_batch(df, bid, keys, ts, id_col, out_path, state_path, hours, lateness_hours))
+         .foreachBatch(lambda df, bid: repeats_micro_batch(df, bid, keys, ts, id_col, out_path, state_path, hours, lateness_hours, buckets))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)

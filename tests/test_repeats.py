@@ -136,12 +136,48 @@ def test_state_table_stream_equals_batch(spark, tmp):
     assert got == brute(rows)
     # a retried batch rewrites only its own output and state version
     from curata.streaming.repeats import repeats_micro_batch
-    last = max(int(x.split("=")[1]) for x in __import__("os").listdir(f"{tmp}/state") if x.startswith("v="))
+    last = max(int(x.split("=")[1]) for x in __import__("os").listdir(f"{tmp}/state/meta") if x.startswith("v="))
     batch = spark.read.parquet(src).where(chunk == 5)
     repeats_micro_batch(batch, last, ["k"], "ts", "id", f"{tmp}/out", f"{tmp}/state")
     assert {r.id for r in spark.read.parquet(f"{tmp}/out").collect()} == brute(rows)
 
 
+def state_rows(spark, tmp, batch):
+    """(rows, buckets) that a batch wrote as state."""
+    s = spark.read.parquet(f"{tmp}/state/data").where(F.col("v") == batch)
+    return s.count(), s.select("b").distinct().count()
+
+
+def test_state_written_follows_the_batch(spark, tmp):
+    """Many keys known: a batch of one row writes one anchor in one bucket; a repeat writes none."""
+    known = [(i, f"k{i}", 0) for i in range(5000)]
+    micro_batches(spark, tmp, [known, [(5000, "k17", 30)]], buckets=64)
+    assert state_rows(spark, tmp, 0) == (5000, 64) and state_rows(spark, tmp, 1) == (1, 1)
+    from curata.streaming.repeats import repeats_micro_batch
+    for batch, row in ((2, (5001, "k17", BASE_US + 31 * 3_600_000_000)), (3, (5002, "new", BASE_US))):
+        repeats_micro_batch(to_df(spark, [row]), batch, ["k"], "ts", "id", f"{tmp}/out", f"{tmp}/state")
+    assert state_rows(spark, tmp, 2) == (0, 0) and state_rows(spark, tmp, 3) == (1, 1)
+    got = {r.id: r.batch_id for r in spark.read.parquet(f"{tmp}/out").where("batch_id > 0").collect()}
+    assert got == {5000: 1, 5002: 3}
+
+
+def test_buckets_are_written_anew_and_old_anchors_go(spark, tmp, monkeypatch):
+    """Versions of a bucket stay few, and with a stated lateness anchors that decide nothing any more go."""
+    from curata.streaming import repeats
+    monkeypatch.setattr(repeats, "MOST_VERSIONS", 2)
+    batches = [[(100 * b + i, f"k{b}-{i}", 30 * b) for i in range(3)] for b in range(7)]
+    want = {r[0]: "passed" for rows in batches for r in rows}
+    assert micro_batches(spark, tmp, batches, lateness_hours=24, buckets=1) == want
+    state = repeats.AnchorState(spark, f"{tmp}/state", 7)
+    assert state.buckets == 1 and len(state.versions(0)) <= 3
+    keys = {r["_k"] for r in state.read([0]).collect()}
+    assert '{"k":"k6-0"}' in keys and '{"k":"k0-0"}' not in keys
+    # a retried batch finds the state that it found before
+    again = to_df(spark, [(i, k, BASE_US + h * 3_600_000_000) for i, k, h in batches[6]])
+    repeats.repeats_micro_batch(again, 6, ["k"], "ts", "id", f"{tmp}/out", f"{tmp}/state", lateness_hours=24, buckets=1)
+    assert {r.id: r.status for r in spark.read.parquet(f"{tmp}/out").collect()} == want
+
+
 def test_cache_state_and_merge(spark):
     arts = spark.createDataFrame([("https://a",), ("https://b",), ("https://c",)], "url string")
     cache = spark.createDataFrame([("https://a", "2024-01-30 12:00:00", "A"), ("https://b", "2024-01-29 00:00:00", "B")],
