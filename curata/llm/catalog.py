@@ -73,11 +73,17 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=85)
 
 
+ORACLES["op8_minhash"] = neardup.oracle(85)
+
+
 @query
 def op7_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+ORACLES["op7_pivots"] = pivots.oracle()
+
+
 @query
 def op4_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashing.nearest(read(spark, sf_dir, "embeddings"))

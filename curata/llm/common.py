@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,38 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system; workers outlive their stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another allocator: nothing to trim
+        pass
+
+
+def trimmed(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``fn`` for ``arrow_map``, giving back what earlier tasks and this one have freed."""
+    def run(batches):
+        give_back()
+        yield from fn(batches)
+        give_back()
+    return run
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256, size: int = 8 << 20):
+    """Arrow batches of few rows and bytes for the jobs run inside: for wide rows."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else

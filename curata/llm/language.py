@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curata.llm.common import arrow_map
+from curata.llm.common import arrow_map, trimmed
 from curata.llm.words import LOWER, buffers
 
 UND = "und"
@@ -296,4 +296,4 @@ def keep_identified(docs: DataFrame, machines: Machines, least: float, key: str
                 kept = pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1])
                 yield kept.filter(pa.array(ok))
 
-    return arrow_map(docs.select("*", has_letter(docs[text])), run, schema)
+    return arrow_map(docs.select("*", has_letter(docs[text])), trimmed(run), schema)

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from curata.llm.common import arrow_map, runs, stage
+from curata.llm.common import arrow_map, runs, small_batches, stage, trimmed
 from curata.llm.components import components
 from curata.llm.words import LOWER, U, buffers, mix, shingles, span_hashes, split
 
@@ -127,7 +127,7 @@ def describe(docs: DataFrame, key: str, text: str, n_bands: int) -> DataFrame:
                     [b.column(0).slice(lo, len(counts)), pa.array(counts.astype(np.int64)), pa.array(f1), pa.array(f2), keys, sketch],
                     ["id", "n", "f1", "f2", "bands", "sketch"])
 
-    return stage(arrow_map(docs.select(docs[key].cast("long").alias("id"), docs[text]), run,
+    return stage(arrow_map(docs.select(docs[key].cast("long").alias("id"), docs[text]), trimmed(run),
                            "id bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>, sketch binary"))
 
 
@@ -213,7 +213,7 @@ def loose_links(members: DataFrame, most_bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c[rows]), pa.array(c[label[rows]])], ["u", "v"])
 
     m = blocked(members.select("key", "c", "n", "sketch"), "key", "n")
-    return stage(arrow_map(m, run, "u bigint, v bigint").where("u <> v").distinct())
+    return stage(arrow_map(m, trimmed(run), "u bigint, v bigint").where("u <> v").distinct())
 
 
 def links(groups: DataFrame, percent: int, most_bits: int) -> DataFrame:
@@ -228,7 +228,8 @@ def links(groups: DataFrame, percent: int, most_bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c[[p for p, _ in found]], pa.int64()), pa.array(c[[q for _, q in found]], pa.int64())], ["u", "v"])
 
-    return stage(arrow_map(blocked(groups, "root", "n"), run, "u bigint, v bigint"))
+    with small_batches(groups.sparkSession):
+        return stage(arrow_map(blocked(groups, "root", "n"), trimmed(run), "u bigint, v bigint"))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, rows: int, key: str, text: str) -> DataFrame:
@@ -245,8 +246,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame, rows: int, key: str, text: str
                 yield pa.RecordBatch.from_arrays([pa.array(f1), pa.array(f2), pa.array(counts.astype(np.int64)), pa.array(sets, pa.binary())],
                                                  ["f1", "f2", "n", "shingles"])
 
-    got = arrow_map(some, run, "f1 bigint, f2 bigint, n bigint, shingles binary")
-    return stage(got.join(sent(wanted.select("c", "f1", "f2", "n"), rows), ["f1", "f2", "n"]).select("c", "shingles"))
+    got = arrow_map(some, trimmed(run), "f1 bigint, f2 bigint, n bigint, shingles binary")
+    with small_batches(docs.sparkSession):
+        return stage(got.join(sent(wanted.select("c", "f1", "f2", "n"), rows), ["f1", "f2", "n"]).select("c", "shingles"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -284,3 +286,19 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
     gone = stage(near_duplicates(docs, key, text, percent).where("not kept and component_id is not null").select(key))
     rows = gone.count()
     return docs.join(sent(gone, rows), key, "left_anti").select(*docs.columns)
+
+
+def oracle(percent: int = PERCENT) -> str:
+    """DuckDB SQL for ``near_duplicates`` over documents with different ids: shares all pairs, so for small tables."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS w FROM documents),
+      s AS (SELECT doc_id, CASE WHEN len(w) >= {SHINGLE} THEN list_distinct(list_transform(range(1, len(w) - {SHINGLE - 2}),
+        lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+      u AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM s),
+      p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.sh = b.sh AND a.doc_id < b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+      e AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+      r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y),
+      c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+      SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)"""

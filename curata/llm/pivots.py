@@ -212,3 +212,17 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     out = taken.select("id", "n_links", "least").union(gone)
     return out.select(F.col("id").alias(key), "n_links", F.col("least").alias("component_id"),
                       F.coalesce(F.col("least") == F.col("id"), F.lit(False)).alias("kept"))
+
+
+def oracle(threshold: float = THRESHOLD) -> str:
+    """DuckDB SQL for ``near_duplicates`` over embeddings with different ids: all pairs of a label, so for small tables."""
+    return f"""WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+      ok AS (SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        AND list_dot_product(x, x) > 0),
+      p AS (SELECT a.vec_id AS i, b.vec_id AS j FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+        WHERE list_dot_product(a.x, b.x) >= {threshold} * sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))),
+      r AS (SELECT vec_id AS i, vec_id AS j FROM v UNION SELECT r.i, p.j FROM r JOIN p ON p.i = r.j),
+      c AS (SELECT i, min(j) AS component_id FROM r GROUP BY i),
+      n AS (SELECT i, count(*) AS n FROM p GROUP BY i)
+      SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+      FROM v JOIN c ON c.i = vec_id LEFT JOIN n ON n.i = vec_id"""

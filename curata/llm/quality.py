@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curata.llm.common import arrow_map, stage
+from curata.llm.common import arrow_map, stage, trimmed
 from curata.llm.words import U, buffers, mix
 
 ORDER = 5
@@ -90,7 +90,7 @@ def counts(texts: DataFrame) -> DataFrame:
                 g, c = np.unique(v[scored], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c.astype(np.int64))], ["g", "c"])
 
-    return arrow_map(texts, run, "g bigint, c bigint").groupBy("g").agg(F.sum("c").alias("c"))
+    return arrow_map(texts, trimmed(run), "g bigint, c bigint").groupBy("g").agg(F.sum("c").alias("c"))
 
 
 def _discounts(table: DataFrame) -> tuple[float, float, float]:
@@ -286,7 +286,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                          pa.array(np.diff(np.append(first, len(doc))).astype(np.int64)), pa.nulls(m, pa.float64()), pa.array(keys[first])],
                         ["uid", "id", "lang", "n", "s", "key"])
 
-    both = stage(arrow_map(d, run, "uid bigint, id bigint, lang string, n bigint, s double, key bigint"))
+    both = stage(arrow_map(d, trimmed(run), "uid bigint, id bigint, lang string, n bigint, s double, key bigint"))
     base = both.where("key is null").select("uid", "id", "lang", "n", "s")
     # an unknown byte that the filter let pass still needs its weight
     joined = both.where("key is not null").select("uid", "key", "n").join(model.weights.select("key", "w"), "key", "left")

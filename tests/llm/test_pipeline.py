@@ -47,7 +47,7 @@ def test_clean_documents_stay(spark, steps):
 def test_one_of_each_group_stays(steps):
     from test_similarity_operators import brute_components
     rows = [(r.doc_id, r.text) for r in steps["quality"].select("doc_id", "text").collect()]
-    assert ids(steps["near_duplicates"]) == {c for _, c in brute_components(rows).values()}
+    assert ids(steps["near_duplicates"]) == {c for _, c in brute_components(rows, percent=corpus_pipeline.NEAR_PERCENT).values()}
 
 
 def test_stage_links_from_80_percent_on(spark):

@@ -35,7 +35,7 @@ def word_sets(rows):
     return out
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = word_sets(rows)
     least = {i: i for i in sets}
 
@@ -47,7 +47,7 @@ def brute_components(rows):
     for k, a in enumerate(own):
         for b in own[:k]:
             both = len(sets[a] & sets[b])
-            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 p, q = find(a), find(b)
                 least[max(p, q)] = min(p, q)
     return {i: (len(sets[i]), find(i)) for i in sets}
