@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from curata.plans import catalog
 from curata.sources.tables import TABLES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 def norm(v):
@@ -30,6 +31,7 @@ def duck():
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
