@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curata.functions.text import folder_from_file_name, normalize_url, strip_ws
+from curata.sources.records import read_csv
 
 # URL column candidates in order; the OPML outline attributes.
 URL_CANDIDATES = ("url", "source", "link", "guid")
@@ -90,16 +91,14 @@ def read_feed_list(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("url") != ""))
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+def read_ledger(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
     """S5. The ledger CSV (header, every field quoted, backslash escape).
-    Rows with fewer than two fields are dropped; a missing file is empty.  A file is one
-    task (quoted fields may hold line ends): the ledger of record is the Parquet one."""
+    Rows with fewer than two fields are dropped; a missing file is empty.  A file is read by
+    many tasks (``sources.records``)."""
     if not exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    df = (spark.read.schema(LEDGER_SCHEMA).option("header", True).option("multiLine", True)
-          .option("escape", "\\").option("nullValue", _NO_NULL).option("emptyValue", "")
-          .option("mode", "PERMISSIVE").csv(path))
-    return df.where(F.col("url").isNotNull())
+    rows = read_csv(spark, path, LEDGER_SCHEMA, "\\", _NO_NULL, split_bytes)
+    return rows.where(F.col("url").isNotNull()).select(*LEDGER_SCHEMA.fieldNames())
 
 
 def ledger_keys(ledger: DataFrame, url_col: str = "url") -> DataFrame:
@@ -111,18 +110,15 @@ def ledger_keys(ledger: DataFrame, url_col: str = "url") -> DataFrame:
 
 
 def read_promotions(spark: SparkSession, path: str, prefix: str | None = None,
-                    escape: str = '"', with_position: bool = False) -> DataFrame:
+                    escape: str = '"', with_position: bool = False, split_bytes: int | None = None) -> DataFrame:
     """S6 (+ P5, F3). Promotions CSV: header skipped, first two fields, short rows
     dropped, extra fields ignored.  With ``prefix`` the folder name is taken from
     the file name ``<prefix><folder>.csv``; other names fail the query.  With
-    ``with_position`` the file's name and a number that grows with the row's place in it
-    come along (``file_name``, ``position``).  A file is one task."""
-    df = (spark.read.schema(PROMOTIONS_SCHEMA).option("header", True).option("multiLine", True)
-          .option("escape", escape).option("nullValue", _NO_NULL).option("emptyValue", "")
-          .option("mode", "PERMISSIVE").csv(path))
-    if with_position:
-        df = df.select("*", F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("position"))
-    df = df.where(F.col("url").isNotNull())
+    ``with_position`` the file's name and the row's number in it come along (``file_name``,
+    ``position``).  A file is read by many tasks (``sources.records``)."""
+    df = read_csv(spark, path, PROMOTIONS_SCHEMA, escape, _NO_NULL, split_bytes).where(F.col("url").isNotNull())
+    columns = [*PROMOTIONS_SCHEMA.fieldNames(), *(["file_name", "position"] if with_position else [])]
     if prefix is not None:
-        df = df.withColumn("folder_name", folder_from_file_name(F.col("_metadata.file_name"), prefix))
-    return df
+        df = df.withColumn("folder_name", folder_from_file_name(F.col("file_name"), prefix))
+        columns.append("folder_name")
+    return df.select(*columns)
