@@ -37,6 +37,9 @@ TAGLINE_TEMPLATE = (
     "summarizing the main point of the article at {url}. Content: {body}")
 SLOW_AFTER_S = 30.0
 
+#: What ``error`` says of a row that has nothing to be generated from.
+NO_PROMPT = "no page, so no prompt"
+
 OK, FAILED, INVALID, EMPTY = "ok", "failed", "invalid_response", "empty"
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
@@ -101,7 +104,8 @@ def batch_generate(df: DataFrame, generator: Callable[..., str], prompt: str = "
     ``status`` (``ok`` / ``failed``) and ``slow`` (bool) to every row.
 
     ``generator(prompt, *extra_args)`` is called once per row; exceptions become
-    ``status = failed`` with the message in ``error``.  With ``workers`` the rows
+    ``status = failed`` with the message in ``error``.  A row without a prompt (an article
+    without a page) is ``failed`` without a call.  With ``workers`` the rows
     are spread over one partition per worker and ``worker`` names it."""
     generated = ("raw", "duration_s", "worker", "status", "error", "slow")
     df = df.drop(*[c for c in generated if c in df.columns])
@@ -122,6 +126,8 @@ def batch_generate(df: DataFrame, generator: Callable[..., str], prompt: str = "
             for row in pdf[[prompt, *extra]].itertuples(index=False, name=None):
                 t0 = time.perf_counter()
                 try:
+                    if row[0] is None:
+                        raise LookupError(NO_PROMPT)
                     out = generator(*row)
                     raws.append(None if out is None else str(out))
                     stats.append(OK)
@@ -138,6 +144,45 @@ def batch_generate(df: DataFrame, generator: Callable[..., str], prompt: str = "
     return df.mapInPandas(run, schema)
 
 
+#: Rows of a journal's bucket, about: what a lost task generates again.
+ROWS_A_BUCKET = 1000
+
+
+def journaled_generate(df: DataFrame, generator: Callable[..., str], journal: str, keys: Sequence[str], prompt: str = "prompt",
+                       extra_args: Sequence[str] = (), workers: Sequence[str] | None = None, slow_after_s: float = SLOW_AFTER_S,
+                       rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
+    """``batch_generate`` that can be resumed: rows that a run has written are not generated again.
+
+    Rows fall into hash buckets of ``keys`` of about ``rows_a_bucket`` rows, whatever the number of workers or
+    cores, and a bucket is a file of the table ``journal``.  A task's files take their place as
+    soon as it ends (the committer's version 2), so what a killed job had finished stays.  The
+    next run with the same input generates only the buckets that are missing; those that were
+    under way start anew.  A journal belongs to one input: ``keys`` name its rows."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(journal).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    meta, data = f"{journal.rstrip('/')}/meta", f"{journal.rstrip('/')}/data"
+    if fs.exists(path(f"{meta}/_SUCCESS")):
+        buckets = spark.read.parquet(meta).first()["buckets"]
+    else:
+        buckets = max(1, -(-df.count() // rows_a_bucket))
+        spark.createDataFrame([(buckets,)], "buckets long").coalesce(1).write.mode("overwrite").parquet(meta)
+    done = [int(f.getPath().getName().split("=")[1]) for f in fs.globStatus(path(f"{data}/_bucket=*")) or []
+            if fs.globStatus(path(f"{f.getPath()}/part-*"))]
+    todo = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    if done:  # a number a bucket
+        finished = spark.createDataFrame([(b,) for b in done], "_bucket int")
+        todo = todo.join(F.broadcast(finished), "_bucket", "left_anti")
+    out = batch_generate(todo.repartition(buckets, "_bucket"), generator, prompt, extra_args, None, slow_after_s)
+    if workers:
+        names = F.array(*map(F.lit, workers))
+        out = out.withColumn("worker", F.get(names, F.col("_bucket") % len(workers)))
+    if len(done) < buckets:
+        out.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("_bucket").parquet(data)
+    columns = [c for c in out.columns if c != "_bucket"]
+    return spark.read.schema(out.select(*columns, "_bucket").schema).parquet(data).select(*columns)
+
+
 def sweep(articles: DataFrame, models: Sequence[str], generator: Callable[[str, str], str],
           prompt: str = "prompt", skip: Sequence[str] = ()) -> DataFrame:
     """G2 (+ J4, F7, P8). Every listed model over every article, timed.

@@ -479,7 +479,7 @@ _SQL_BODY = """list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<a
             lambda p: trim(replace(replace(p, '&quot;', '"'), '&amp;', '&'), ' ' || chr(10) || chr(9) || chr(13)))"""
 
 
-_SQL_CURATED = S.sql_with("node", "sfi", "items", "ledger") + f"""
+_SQL_CURATED = S.sql_with("node", "sfi", "items", "ledger", "fetched") + f"""
 , normed AS (
   SELECT s.node_id, n.title, i.item_id, i.page_id, i.source AS url, i.updated,
          {sql_normalize_url('i.source')} AS url_norm
@@ -490,14 +490,15 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY node_id, url_norm ORDER BY
 todo AS (SELECT * FROM ranked k WHERE rn = 1
          AND NOT EXISTS (SELECT 1 FROM ledger l WHERE {sql_normalize_url('l.url')} = k.url_norm)),
 first AS (SELECT *, row_number() OVER (PARTITION BY url_norm ORDER BY title, node_id) AS nth FROM todo),
-art AS (SELECT t.*, array_to_string({_SQL_BODY}, '') AS body
-        FROM first t JOIN pages p ON p.page_id = t.page_id WHERE nth = 1),
-gen AS (SELECT *, CASE WHEN length(body) % 11 = 0 THEN 'Error: generation failed'
+art AS (SELECT t.*, CASE WHEN p.page_id IS NOT NULL THEN array_to_string({_SQL_BODY}, '') END AS body
+        FROM first t LEFT JOIN fetched p ON p.page_id = t.page_id WHERE nth = 1),
+gen AS (SELECT *, CASE WHEN body IS NULL THEN ''
+                       WHEN length(body) % 11 = 0 THEN 'Error: generation failed'
                        WHEN length(body) % 7 = 0 THEN 'Reject: not news'
                        ELSE 'Summary ' || substr(md5(body), 1, 12) || ' of ' || CAST(length(body) AS VARCHAR)
                             || ' characters.' END AS promotion
         FROM art),
-done AS (SELECT *, CASE WHEN strpos(promotion, 'Error') > 0 THEN 'error' WHEN starts_with(promotion, 'Reject:') THEN 'rejected'
+done AS (SELECT *, CASE WHEN body IS NULL THEN 'failed' WHEN strpos(promotion, 'Error') > 0 THEN 'error' WHEN starts_with(promotion, 'Reject:') THEN 'rejected'
        ELSE 'published' END AS status FROM gen)"""
 
 _SQL_CURATED_ROWS = _SQL_CURATED + """
@@ -513,7 +514,7 @@ FROM first f JOIN done d ON d.url_norm = f.url_norm WHERE f.nth > 1"""
 def q_curated_batch(spark, sf_dir):
     from curata.plans.curate import curate, digest_generator
     t = Tables(spark, sf_dir)
-    out = curate(S.node(t), S.membership(t), S.items(t), S.ledger(t), t.pages, digest_generator)
+    out = curate(S.node(t), S.membership(t), S.items(t), S.ledger(t), S.fetched(t), digest_generator)
     return out.select("node_id", "title", "item_id", "url", "url_norm", "promotion", "status",
                       F.col("n_chars").cast("long").alias("n_chars"), "over_length")
 
@@ -574,36 +575,65 @@ def q_repeat_suppressed_state_stream(spark, sf_dir):
     return _t1(spark, src, _scratch(spark, "t1-state"))
 
 
+def _seeded_ledger(spark, t: Tables, path: str) -> None:
+    from curata.sources.sinks import append_ledger
+    append_ledger(S.ledger(t).select(F.lit(None).cast("string").alias("promotion"), "url",
+                                     F.lit(None).cast("string").alias("folder_name"),
+                                     F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("string").alias("worker"),
+                                     X.normalize_url("url").alias("url_norm")), path)
+
+
+def _body_from(pages: DataFrame):
+    """The fetch stand-in: page table, spread, then main text; an article without a page has no body."""
+    spread = pages.sparkSession.sparkContext.defaultParallelism
+
+    def body(todo: DataFrame) -> DataFrame:
+        return (todo.join(pages.select("page_id", "html"), "page_id", "left").repartition(spread, F.xxhash64("title", "url_norm"))
+                .withColumn("body", F.when(F.col("html").isNotNull(), main_text("html", limit=None))).drop("html"))
+    return body
+
+
 @register("published_ledger", _SQL_CURATED + "SELECT promotion, url, title AS folder_name FROM done WHERE status = 'published'")
 def q_published_ledger(spark, sf_dir):
     """T2 + S7: the incremental publishing step run twice over the saved-search
     articles against a seeded ledger; the second run must add nothing."""
     from curata.operators.folders import folder_items, saved_searches
     from curata.plans.curate import digest_generator
-    from curata.sources.sinks import append_ledger
     from curata.streaming.publish import process_batch
     t = Tables(spark, sf_dir)
     base = _scratch(spark, "t2")
     ledger_path, results_path = f"{base}/ledger", f"{base}/results"
-    seed = S.ledger(t).select(F.lit(None).cast("string").alias("promotion"), "url",
-                              F.lit(None).cast("string").alias("folder_name"),
-                              F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("string").alias("worker"),
-                              X.normalize_url("url").alias("url_norm"))
-    append_ledger(seed, ledger_path)
+    _seeded_ledger(spark, t, ledger_path)
     fi = folder_items(saved_searches(S.node(t)), S.membership(t), S.items(t))
-    pages = t.pages.select("page_id", "html")
-
-    def body(todo: DataFrame) -> DataFrame:  # fetch stand-in: page table, spread, then main text
-        spread = spark.sparkContext.defaultParallelism
-        return (todo.join(pages, "page_id").repartition(spread, F.xxhash64("title", "url_norm"))
-                .withColumn("body", main_text("html", limit=None)).drop("html"))
-
+    body = _body_from(S.fetched(t))
     process_batch(fi, 0, ledger_path, results_path, digest_generator, prepare=body)
     process_batch(fi, 1, ledger_path, results_path, digest_generator, prepare=body)
     led = spark.read.parquet(ledger_path)
     return led.where(F.col("promotion").isNotNull()).select("promotion", "url", "folder_name")
 
 
+# What the first batch leaves unpublished comes up in the second, which has no articles of its
+# own and finds every page.
+@register("published_retries", _SQL_CURATED + f"""
+, later AS (SELECT d.url_norm, d.title, length(array_to_string({_SQL_BODY}, '')) AS n
+            FROM done d JOIN pages p ON p.page_id = d.page_id WHERE d.status <> 'published')
+SELECT 0 AS batch_id, url_norm, title, status FROM done
+UNION ALL
+SELECT 1, url_norm, title, CASE WHEN n % 11 = 0 THEN 'error' WHEN n % 7 = 0 THEN 'rejected' ELSE 'published' END FROM later""")
+def q_published_retries(spark, sf_dir):
+    """T2 with its retry table, as a stream of two micro-batches."""
+    from curata.operators.folders import folder_items, saved_searches
+    from curata.plans.curate import digest_generator
+    from curata.streaming.publish import process_batch
+    t = Tables(spark, sf_dir)
+    base = _scratch(spark, "t2-retries")
+    _seeded_ledger(spark, t, f"{base}/ledger")
+    fi = folder_items(saved_searches(S.node(t)), S.membership(t), S.items(t))
+    for batch, (rows, pages) in enumerate([(fi, S.fetched(t)), (fi.where(F.lit(False)), t.pages)]):
+        process_batch(rows, batch, f"{base}/ledger", f"{base}/results", digest_generator, prepare=_body_from(pages), retry_path=f"{base}/retries")
+    return spark.read.parquet(f"{base}/results").select("batch_id", "url_norm", "title", "status")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

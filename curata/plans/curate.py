@@ -23,7 +23,7 @@ from curata.functions.text import POST_MAX, char_count, clean_text
 from curata.functions.traces import strip_trace
 from curata.operators.dedup import keep_first, one_folder, pending, with_url_norm
 from curata.operators.folders import folder_items, saved_searches
-from curata.operators.generate import OK, SUMMARY_TEMPLATE, batch_generate, build_prompt, finish_text
+from curata.operators.generate import OK, SUMMARY_TEMPLATE, batch_generate, build_prompt, finish_text, journaled_generate
 from curata.operators.publish import PUBLISHED, classify
 from curata.operators.repeats import cache_state, merge_cache
 from curata.session import cut_lineage
@@ -35,11 +35,15 @@ ALREADY_PUBLISHED, DEFERRED, REPEATED = "already_published", "deferred", "repeat
 
 def generated(art: DataFrame, generator: Callable[[str], str], template: str = SUMMARY_TEMPLATE,
               length: int = POST_MAX, workers: Sequence[str] | None = None,
-              error_substring: bool = True) -> DataFrame:
+              error_substring: bool = True, journal: str | None = None) -> DataFrame:
     """P12 -> G1 -> P3 -> P15 -> P2 -> F5 over rows with ``body`` (and ``url`` for templates
-    that name it).  ``empty``, ``failed`` and ``invalid_response`` stay statuses of their own."""
+    that name it).  ``empty``, ``failed`` and ``invalid_response`` stay statuses of their own; a row
+    without body is ``failed`` and not sent.  With ``journal`` (a path) the run can be resumed."""
     art = art.withColumn("prompt", build_prompt(template, length=length, body=F.col("body"), url=F.col("url")))
-    gen = batch_generate(art, generator, "prompt", workers=workers)
+    if journal is None:
+        gen = batch_generate(art, generator, "prompt", workers=workers)
+    else:
+        gen = journaled_generate(art, generator, journal, ["url_norm"], "prompt", workers=workers)
     gen = gen.withColumn("_clean", strip_trace("raw"))  # its own column: computed once per row
     out = (gen.withColumn("_fin", finish_text("_clean"))
            .withColumn("promotion", F.when(F.col("status") == OK, clean_text(F.col("_fin.text"))).otherwise(F.lit("")))
@@ -55,7 +59,7 @@ def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: Dat
            length: int = POST_MAX, workers: Sequence[str] | None = None,
            error_substring: bool = True, body: Column | None = None, body_limit: int | None = None,
            cache: DataFrame | None = None, now=None, on_fresh: str = "flag",
-           parallelism: int | None = None) -> DataFrame:
+           parallelism: int | None = None, journal: str | None = None) -> DataFrame:
     """Rows ``node_id, title, item_id, url, url_norm, body, raw, promotion, status,
     n_chars, over_length, duration_s, worker, slow`` for every URL of every saved search
     not yet in ``ledger`` (one row per folder and normal form; newest item wins).
@@ -64,7 +68,8 @@ def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: Dat
     folders come out as ``already_published`` when it was, else as ``deferred``: an error
     or a reject comes up again in the next run.
 
-    ``items`` must carry ``page_id`` to find the page in ``pages(page_id, html)``; the body is the
+    ``items`` must carry ``page_id`` to find the page in ``pages(page_id, html)``; an article without
+    a page is ``failed`` and comes up again in the next run.  The body is the
     whole main text unless ``body`` or ``body_limit`` says otherwise.  With ``cache`` (one row a
     key, optionally with ``body``) a fresh hit is ``repeated`` and not generated, or, with
     ``on_fresh="reuse"``, uses the cached body.  The result is written once."""
@@ -85,12 +90,12 @@ def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: Dat
     # as already satisfied, and AQE would coalesce it to a few partitions.
     spread = parallelism or todo.sparkSession.sparkContext.defaultParallelism
     text = main_text("html", limit=body_limit) if body is None else body
-    art = (chosen.select(*todo.columns).join(pages.select("page_id", "html"), "page_id")
+    art = (chosen.select(*todo.columns).join(pages.select("page_id", "html"), "page_id", "left")
            .repartition(spread, F.xxhash64("node_id", "url_norm"))
-           .withColumn("body", text).drop("html"))
+           .withColumn("body", F.when(F.col("html").isNotNull(), text)).drop("html"))
     if cache is not None and fresh is not None:
         art = art.unionByName(fresh.select(*plain, "body"))
-    done = cut_lineage(generated(art, generator, template, length, workers, error_substring))
+    done = cut_lineage(generated(art, generator, template, length, workers, error_substring, journal))
     if cache is not None:
         done = done.unionByName(again.select(*plain, F.lit(REPEATED).alias("status")), allowMissingColumns=True)
     other = (todo.join(done.select("url_norm", F.col("node_id").alias("_n"), F.col("status").alias("_s")), "url_norm")

@@ -69,6 +69,11 @@ def ledger(t: Tables) -> DataFrame:
     return t.pages.where(F.col("page_id") % 2 == 0).select("url")
 
 
+def fetched(t: Tables) -> DataFrame:
+    """Pages as far as they could be fetched: one in ten is missing."""
+    return t.pages.where(F.col("page_id") % 10 != 7)
+
+
 def raw_outputs(t: Tables) -> DataFrame:
     """Model output with a reasoning block before the answer."""
     raw = F.concat(F.lit("<think>\n"), F.col("text"), F.lit("\n</think>\n"), F.col("text"))
@@ -140,6 +145,7 @@ SQL_CTES = {
           SELECT page_id + n AS item_id, page_id, url || '?utm_campaign=x' AS source
             FROM pages, npages WHERE strpos(url, '?') = 0 AND strpos(url, '#') = 0
         ) b LEFT JOIN events e ON e.event_id = b.item_id""",
+    "fetched": "SELECT * FROM pages WHERE page_id % 10 <> 7",
     "ledger": "SELECT url FROM pages WHERE page_id % 2 = 0",
     "promotions": """SELECT doc_id, text AS promotion, 'https://example.org/' || CAST(doc_id AS VARCHAR) AS url,
         source AS folder_name FROM documents""",

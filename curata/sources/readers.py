@@ -57,31 +57,36 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_opml(spark: SparkSession, path: str) -> DataFrame:
-    """S1. One row per feed: ``folder, title, text, description, type, xmlUrl, htmlUrl``.
+    """S1. One row per feed: ``folder, path, title, text, description, type, xmlUrl, htmlUrl``.
 
     The outermost ``outline`` elements are rows (the built-in XML source decodes
-    entities); their child outlines are the feeds, one level deep as in the data.
-    A top-level outline without children is a feed without a folder."""
+    entities); the walk goes down their child outlines as far as the data does.  ``path`` holds
+    the titles (else the texts) of the folders around a feed, outermost first, and ``folder``
+    the last of them.  An outline is a feed if it has an ``xmlUrl`` or no child outlines; one
+    with both is a feed and a folder.  A top-level feed has no folder."""
     raw = (spark.read.format("xml").option("rowTag", "outline")
            .option("attributePrefix", "_").option("valueTag", "_value").load(path))
-    top = set(raw.columns)
-
-    def attrs(fields: set[str], prefix: str) -> list:
-        return [F.col(f"{prefix}_{a}").cast("string").alias(a) if f"_{a}" in fields
-                else F.lit(None).cast("string").alias(a) for a in OPML_ATTRS]
-
-    no_folder = F.lit(None).cast("string").alias("folder")
-    if "outline" not in top:
-        return raw.select(no_folder, *attrs(top, ""))
-    folder = F.col("_title") if "_title" in top else F.col("_text")
-    child = raw.schema["outline"].dataType
-    many = isinstance(child, T.ArrayType)  # where no folder has two feeds, a child is a plain struct
-    child = child.elementType if many else child
-    each = F.explode("outline") if many else F.col("outline")
-    nested = (raw.where(F.col("outline").isNotNull()).select(folder.alias("folder"), each.alias("o"))
-              .select("folder", *attrs(set(child.fieldNames()), "o.")))
-    leaves = raw.where(F.col("outline").isNull()).select(no_folder, *attrs(top, ""))
-    return nested.unionByName(leaves)
+    level = raw.select(F.array().cast("array<string>").alias("path"), F.struct(*raw.columns).alias("o"))
+    feeds = None
+    while True:
+        kind = level.schema["o"].dataType
+        fields = set(kind.fieldNames())
+
+        def attr(name: str):
+            return F.col(f"o._{name}").cast("string") if f"_{name}" in fields else F.lit(None).cast("string")
+
+        children = F.col("o.outline") if "outline" in fields else None
+        leaf = F.lit(True) if children is None else children.isNull()
+        own = level.where(leaf | attr("xmlUrl").isNotNull()).select(
+            F.get("path", F.size("path") - 1).alias("folder"), "path", *[attr(a).alias(a) for a in OPML_ATTRS])
+        feeds = own if feeds is None else feeds.unionByName(own)
+        if children is None:
+            return feeds
+        inside = F.concat("path", F.array(F.coalesce(attr("title"), attr("text"))))
+        below = level.where(children.isNotNull())
+        # where no outline of a level has two children, a child is a plain struct
+        many = isinstance(kind["outline"].dataType, T.ArrayType)
+        level = below.select(inside.alias("path"), (F.explode(children) if many else children).alias("o"))
 
 
 def read_feed_list(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,11 @@ join runs against the keys stored in the ledger as committed, so a URL published
 earlier batch (or run, or for another folder) is never generated again, and a retried
 batch rewrites only its own ``batch_id`` partition of the results table.
 
+What a batch doesn't publish (errors, rejects, articles without a page) isn't in the ledger, so
+it has to come up again.  With ``retry_path`` such rows are kept, for all their folders, as
+version ``v=<batch_id>`` of a table there, and the next batch takes them in with its own
+rows.  A retried batch reads the same version again and rewrites its own.
+
 The generator is called once per URL and batch: the full result is written to the
 results table first, and the ledger rows are read back from it.
 """
@@ -37,23 +42,61 @@ def _published(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("url_norm")
 
 
+def _version(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/v={batch_id}"
+
+
+def _with_retries(df: DataFrame, batch_id: int, path: str) -> DataFrame:
+    """The batch's rows and those that the last version before it holds."""
+    spark = df.sparkSession
+    before = [v for v in _versions(spark, path) if v < batch_id]
+    if not before:
+        return df
+    return df.unionByName(spark.read.schema(df.schema).parquet(_version(path, max(before))))
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions; a batch or two are there at a time."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [int(f.getPath().getParent().getName().split("=")[1]) for f in fs.globStatus(hpath(f"{path.rstrip('/')}/v=*/_SUCCESS")) or []]
+
+
+def _write_retries(rows: DataFrame, batch_id: int, path: str) -> None:
+    """This batch's version; versions older than the one it read go."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(_version(path, batch_id))
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    before = [v for v in _versions(spark, path) if v < batch_id]
+    for v in before:
+        if v != max(before):
+            old = hpath(_version(path, v))
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path: str,
                   generator: Callable[[str], str], template: str = SUMMARY_TEMPLATE,
                   length: int = POST_MAX, folder_col: str = "title",
                   workers: Sequence[str] | None = None,
-                  prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+                  prepare: Callable[[DataFrame], DataFrame] | None = None,
+                  retry_path: str | None = None) -> None:
     """One micro-batch (also usable as a plain batch run with any ``batch_id``).
 
     ``prepare`` adds the ``body`` column after dedup and the ledger anti join
-    (e.g. main text from ``html``), so costly extraction only runs on what is new."""
+    (e.g. main text from ``html``), so costly extraction only runs on what is new; a row that it
+    leaves without body is ``failed``.  With ``retry_path`` unpublished rows come up again."""
     spark = df.sparkSession
-    kept = keep_first(with_url_norm(df), [folder_col])
+    rows = df if retry_path is None else _with_retries(df, batch_id, retry_path)
+    kept = keep_first(with_url_norm(rows), [folder_col])
     # The pending set is computed once (a written table under the checkpoint
-    # folder): it is tested for emptiness and then fed to generation.
-    staged = cut_lineage(one_folder(pending(kept, _published(spark, ledger_path)), order=(folder_col,)))
-    if staged.isEmpty():
-        drop_staged(staged)
+    # folder): it is tested for emptiness, fed to generation, and what is left of it comes up again.
+    waiting = cut_lineage(pending(kept, _published(spark, ledger_path)))
+    if waiting.isEmpty():
+        if retry_path is not None:
+            _write_retries(waiting.select(*df.columns), batch_id, retry_path)
+        drop_staged(waiting)
         return
+    staged = one_folder(waiting, order=(folder_col,))
     # Python-heavy from here on: spread the rows by a key unique per row.  A
     # ``prepare`` that joins a large table should spread again after its join.
     todo = staged.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(folder_col, "url_norm"))
@@ -61,12 +104,14 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
         todo = prepare(todo)
     res = generated(todo, generator, template, length, workers).withColumn("batch_id", F.lit(batch_id))
     res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(results_path)
-    drop_staged(staged)
     written = spark.read.parquet(results_path).where(F.col("batch_id") == batch_id)
     published = written.where(F.col("status") == PUBLISHED)
     # A retried batch must not append twice: skip keys already in the ledger.
     fresh = pending(published, _published(spark, ledger_path))
     append_ledger(ledger_rows(fresh, folder_col).select(*LEDGER_COLUMNS), ledger_path)
+    if retry_path is not None:
+        _write_retries(pending(waiting, _published(spark, ledger_path)).select(*df.columns), batch_id, retry_path)
+    drop_staged(waiting)
 
 
 def publish_stream(articles: DataFrame, ledger_path: str, results_path: str, checkpoint: str,

@@ -116,6 +116,64 @@ def test_each_url_is_published_once(spark, tmp):
         ("A", "https://ex.com/caf\u00e9"), ("A", "https://ex.com/x"), ("B", "https://ex.com/\"q\"")]
 
 
+def test_failed_rows_come_up_again_once(spark, tmp):
+    """A row that fails in batch 0 is generated again in batch 1 and published; a reject comes up in every batch."""
+    calls = f"{tmp}/calls"
+
+    def generator(name):
+        def generate(prompt):
+            with open(calls, "a") as f:
+                f.write(f"{name} {prompt[-1]}\n")
+            if name == "first" and prompt.endswith("b"):
+                raise ValueError("down")
+            return "Reject: no" if prompt.endswith("r") else "fine"
+        return generate
+
+    schema = "title string, item_id long, url string, updated long, body string"
+    one = spark.createDataFrame([("F", 1, "https://e/a", 1, "a"), ("F", 2, "https://e/b", 1, "b"), ("G", 3, "https://e/b/", 1, "b"),
+                                 ("F", 4, "https://e/r", 1, "r"), ("F", 5, "https://e/n", 1, None)], schema)
+    paths = (f"{tmp}/ledger", f"{tmp}/results")
+    process_batch(one, 0, *paths, generator("first"), retry_path=f"{tmp}/retries")
+    for _ in range(2):  # the second is a retry of the batch
+        process_batch(spark.createDataFrame([("F", 6, "https://e/c", 2, "c")], schema), 1, *paths, generator("second"), retry_path=f"{tmp}/retries")
+    process_batch(one.where("false"), 2, *paths, generator("third"), retry_path=f"{tmp}/retries")
+    res = {(r.batch_id, r.url_norm): r.status for r in spark.read.parquet(f"{tmp}/results").collect()}
+    assert {k: v for k, v in res.items() if k[0] == 0} == {(0, "https://e/a"): "published", (0, "https://e/b"): "failed", (0, "https://e/r"): "rejected",
+                                                           (0, "https://e/n"): "failed"}
+    assert res[2, "https://e/r"] == "rejected" and res[2, "https://e/n"] == "failed" and len([k for k in res if k[0] == 2]) == 2
+    assert sorted(r.url_norm for r in spark.read.parquet(f"{tmp}/ledger").collect()) == ["https://e/a", "https://e/b", "https://e/c"]
+    made = open(calls).read().split("\n")
+    assert made.count("first b") == 1 and made.count("second b") == 1 and made.count("second c") == 1 and made.count("third r") == 1
+    import os
+    assert sorted(os.listdir(f"{tmp}/retries")) == ["v=1", "v=2"]
+
+
+def test_a_killed_job_goes_on_where_it_was(spark, tmp):
+    """One bucket's task dies: the others stay, and only missing buckets are generated by the next run."""
+    from curata.operators.generate import journaled_generate
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(300)], "id long, prompt string").repartition(3)
+
+    def generator(run, deadly=None):
+        def generate(prompt):
+            if prompt == deadly:
+                import time
+                time.sleep(3)  # the other tasks end first
+                raise SystemExit("killed")
+            open(f"{tmp}/{run}-{prompt}", "x").close()  # a second call fails
+            return f"{run}:{prompt}"
+        return generate
+
+    with pytest.raises(Exception):
+        journaled_generate(df, generator("one", "p17"), f"{tmp}/journal", ["id"], rows_a_bucket=20).collect()
+    kept = {r.id for r in spark.read.parquet(f"{tmp}/journal/data").collect()}
+    assert kept and 17 not in kept
+    out = {r.id: r.raw for r in journaled_generate(df, generator("two"), f"{tmp}/journal", ["id"], rows_a_bucket=1000, workers=["h1", "h2"]).collect()}
+    assert out == {i: f"{'one' if i in kept else 'two'}:p{i}" for i in range(300)}
+    again = journaled_generate(df, generator("three"), f"{tmp}/journal", ["id"])
+    assert {r.id: r.raw for r in again.collect()} == out
+    assert spark.read.parquet(f"{tmp}/journal/data").select("_bucket").distinct().count() > 10
+
+
 def test_unreadable_ledger_raises(spark, tmp):
     import os
     os.makedirs(f"{tmp}/ledger")
