@@ -1,8 +1,9 @@
 """X1/X2/A2/A3/O3/A5 against Python sets; S9 keyed replace load."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from curata.operators.reconcile import (DuplicateKeyError, duplicate_keys, reconcile, replace_folders, sample,
+from curata.operators.reconcile import (DuplicateKeyError, Loads, duplicate_keys, load_folders, loaded_folders, reconcile, replace_folders, sample,
                                         verdict)
 
 LEFT = [("  p1 ", "u1 "), ("p1", "u1"), ("p2", "u2"), ("p3", "u3"), (None, "u9"), ("p4", None)]
@@ -41,6 +42,34 @@ def test_sample_top5(spark):
     assert [(r.promotion, r.n_more) for r in rows if r.side == "right_only"] == [("z", 0)]
 
 
+def test_load_folders_in_one_step(spark, tmp):
+    """Loads that fail -- half-way through the data, or before they are published -- leave the table as it was."""
+    path, schema = f"{tmp}/loads", "promotion string, url string, folder_name string"
+    table = lambda: sorted(tuple(r) for r in loaded_folders(spark, path).collect())
+    assert table() == []
+    a = [("x", "u1", "A"), ("y", "u2", "A"), ("z", "u3", "B")]
+    for _ in range(2):  # loading twice leaves one copy
+        assert load_folders(spark.createDataFrame(a, schema), path) == 3
+        assert table() == a
+    new = [("w", "u9", "A"), ("v", "u8", "B"), ("t", "u7", "01")]
+    df = spark.createDataFrame(new, schema)
+    loads = Loads(spark, path)
+    boom = df.repartition(2, "folder_name").withColumn("promotion", F.when(F.col("folder_name") == "B", F.raise_error(F.lit("lost"))).otherwise(F.col("promotion")))
+    with pytest.raises(Exception):
+        loads.write_aside(boom, "folder_name")  # between two folders
+    assert table() == a
+    loads.write_aside(df, "folder_name")  # the driver dies before it publishes
+    assert table() == a
+    assert load_folders(df, path) == 3
+    assert table() == sorted(new)
+    assert load_folders(spark.createDataFrame(a[:1], schema), path) == 1
+    assert table() == sorted([a[0], *new[1:]])
+    with pytest.raises(DuplicateKeyError):
+        load_folders(spark.createDataFrame([("a", "u", "C"), ("b", "u", "C")], schema), path)
+    assert load_folders(df.limit(0), path, header_only=True) == 0 and table() == sorted([a[0], *new[1:]])
+    assert len(loads.finished()) == 2
+
+
 def test_replace_folders(spark, tmp):
     path = f"{tmp}/integration"
     a = spark.createDataFrame([("x", "u1", "A"), ("y", "u2", "A"), ("z", "u3", "B")], "promotion string, url string, folder_name string")
