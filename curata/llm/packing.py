@@ -27,10 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from curata.llm import bpe
-from curata.llm.common import arrow_map, stage
+from curata.llm.common import arrow_map, stage, trimmed
 
 SEQUENCE_LENGTH = 1024
 END_ID = 0
+#: Code points of text encoded at once: the splitter takes about 40 bytes for each.
+SLICE = 1_000_000
 #: Above this many partitions the offsets are joined by a shuffle, not sent to all.
 MOST_SENT = 1_000_000
 
@@ -42,7 +44,7 @@ def encode_stream(docs: DataFrame, vocabulary: str, key: str, text: str, end_id:
     def run(batches):
         encoder, part, start = bpe.encoder(vocabulary), TaskContext.get().partitionId(), 0
         for b in batches:
-            for first, texts in bpe.text_slices(b.column(1)):
+            for first, texts in bpe.text_slices(b.column(1), SLICE):
                 ids, counts = encoder.encode(texts)
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype("<u4")
@@ -56,7 +58,7 @@ def encode_stream(docs: DataFrame, vocabulary: str, key: str, text: str, end_id:
                     [pa.array(np.full(len(texts), part, np.int64)), pa.array(starts.astype(np.int64)), pa.array(n.astype(np.int64)),
                      b.column(0).slice(first, len(texts)), data.cast(pa.binary())], ["part", "start", "n", "k", "ids"])
 
-    return stage(arrow_map(docs.select(docs[key], docs[text]), run,
+    return stage(arrow_map(docs.select(docs[key], docs[text]), trimmed(run),
                            f"part bigint, start bigint, n bigint, k {kind}, ids binary"))
 
 
@@ -109,7 +111,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = SEQUENCE_LENGTH, end_id
 
     placed = (stream.join(offsets, "part")
               .select((F.col("base") + F.col("start")).alias("at"), "n", "k", "ids"))
-    out = arrow_map(placed, cut, f"k {kind}, start bigint, length bigint, doc_tokens bigint, "
+    out = arrow_map(placed, trimmed(cut), f"k {kind}, start bigint, length bigint, doc_tokens bigint, "
                                  "sequence_id bigint, offset bigint, ids binary")
     return out.withColumnRenamed("k", key)
 
