@@ -133,6 +133,38 @@ def test_one_key_with_a_third_of_all_rows(spark):
     assert sharding.assign(table(spark, rows).limit(0)).count() == 0
 
 
+def test_overflow_shards_keep_the_limit(spark):
+    """One key, rows of all sizes up to the limit: no shard of several rows passes it, larger rows stand alone."""
+    random.seed(4)
+    rows = [(1, "x" * random.randint(1, 100)) for _ in range(400)] + [(1, "z" * 130), (2, "w" * 91), (2, "w" * 50), *[(2, "w")] * 60]
+    got = sharding.assign(table(spark, rows), 100).toPandas()
+    assert len(got) == len(rows) and set(got[got.oversized].bytes) == {130}
+    assert (got[~got.oversized].groupby("shard").bytes.sum() <= 100).all()
+
+
+def test_deep_directory_equals_the_oracle(spark):
+    """A table of many small shards starts deeper than STEP bits and agrees with trying every depth."""
+    rows = [(i, "y" * (i % 7)) for i in range(3000)]
+    for limit, width in ((1000, 16), (1, 18)):
+        entries = sharding.directory(sharding._rows(table(spark, rows), "doc_id", "text"), limit)
+        assert entries.agg(F.min("width")).first()[0] == width
+        con = duckdb.connect()
+        con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+        want = con.sql(sharding.oracle(limit, 40))
+        got = sharding.assign(table(spark, rows), limit).select(*want.columns)
+        assert collections.Counter(map(tuple, got.collect())) == collections.Counter(want.fetchall())
+
+
+def test_written_rows_are_whole(spark, tmp):
+    """Repeated keys, null keys and texts, repeated rows, and a column named shard."""
+    rows = [(i % 40, "y" * (i % 60), f"s{i}") for i in range(400)] + [(5, "same", "s")] * 40 + [(None, None, None), (6, None, "x"), (5, "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Shard string").repartition(3)
+    sharding.write(docs, f"{tmp}/s", 100)
+    back = spark.read.option("basePath", f"{tmp}/s").schema("doc_id long, text string, Shard_ string, shard string").parquet(f"{tmp}/s")
+    assert collections.Counter((r.doc_id, r.text, r.Shard_) for r in back.collect()) == collections.Counter(rows)
+    assert back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("b")).where("b > 100").count() == 0
+
+
 def test_written_shards(spark, tmp):
     rows = [(i, "y" * (i % 40)) for i in range(300)]
     sharding.write(table(spark, rows), f"{tmp}/s", 1000)
