@@ -14,7 +14,9 @@ from curata.llm import components, hashing, neardup, pivots, quality
 
 
 # ------------------------------------------------------------------ components
-def test_components(spark):
+@pytest.mark.parametrize("hub", [2048, 5])
+def test_components(spark, monkeypatch, hub):
+    monkeypatch.setattr(components, "HUB", hub)  # with 5, most stars are split
     random.seed(1)
     edges = [(random.randrange(300), random.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1040)] + [(2000, i) for i in range(2001, 2100)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
