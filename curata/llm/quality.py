@@ -12,7 +12,8 @@ the model knows, so a text is scored by a count join: its runs, counted, meet th
 weights by an equi-join.  To keep the join small and free of hot keys, the ``HOT`` most
 frequent runs go to every executor and are summed in the map; a fixed-size Bloom filter
 of all other runs drops those the model doesn't know.  Both sizes are fixed and neither
-changes a result; what is left is joined.
+changes a result; what is left is joined.  How frequent a run of any order is comes from the
+training counts, so short runs, which every text holds, are always among the first.
 
 A text stays if its perplexity a byte is at most the quantile ``QUANTILE`` (with a margin)
 of trusted texts of its language that the model wasn't trained on: half of the trusted
@@ -156,23 +157,40 @@ def train(texts: DataFrame) -> Model:
         t = t.select(F.col("g").bitwiseOR(k << _TAG).alias("key"), "w", "c")
         out = t if out is None else out.union(t)
     model = Model(stage(out), unseen)
-    top = frequent(model.weights, HOT).select("key", "w").toArrow()
+    top = model.weights.join(F.broadcast(frequent(frequencies(tables[ORDER]), HOT)), "key", "left_semi").select("key", "w").toArrow()
     model.hot = _hash_table(top["key"].to_numpy(), top["w"].to_numpy())
     model.bloom = _bloom(model.weights, BLOOM_BITS)
     return model
 
 
-def frequent(weights: DataFrame, most: int) -> DataFrame:
-    """The runs from that count on from which there are at most ``most``."""
-    top = 10_000
-    sizes = weights.groupBy(F.least("c", F.lit(top)).alias("c")).agg(F.count("*").alias("n")).collect()  # a row a count
-    least, total = top + 1, 0
-    for r in sorted(sizes, key=lambda r: -r["c"]):
+def frequencies(runs: DataFrame) -> DataFrame:
+    """Staged (key, c): how often the runs of all orders stand in the texts counted by ``runs`` (g, c).
+
+    Every place has one run of full order, so a shorter run's places are those of the runs that
+    end with it; what stands before a text's first byte is looked up once a text."""
+    out = None
+    for k in range(1, ORDER + 1):
+        end = F.col("g").bitwiseAND(F.lit((1 << 8 * k) - 1)).bitwiseOR(F.lit(k << _TAG))
+        t = runs.groupBy(end.alias("key")).agg(F.sum("c").alias("c"))
+        out = t if out is None else out.union(t)
+        if k < ORDER:
+            start = sum(START << 8 * i for i in range(ORDER - 1))
+            first = runs.where(F.shiftright("g", 8) == F.lit(start)).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
+            out = out.union(first.select(F.lit(sum(START << 8 * i for i in range(k)) | k << _TAG).cast("long").alias("key"), "c"))
+    return stage(out)
+
+
+def frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The keys of the runs from that count on from which there are at most ``most``."""
+    level = F.floor(F.log2(F.col("c").cast("double")) * 64).cast("int")  # 64 levels a doubling, so few in all
+    sizes = counted.where("c > 0").groupBy(level.alias("l")).agg(F.count("*").alias("n")).collect()
+    least, total = None, 0
+    for r in sorted(sizes, key=lambda r: -r["l"]):
         total += r["n"]
         if total > most:
             break
-        least = r["c"]
-    return weights.where(F.col("c") >= least)
+        least = r["l"]
+    return counted.where(F.lit(False) if least is None else (F.col("c") > 0) & (level >= least)).select("key")
 
 
 def _positions(key: np.ndarray, size: int) -> list[np.ndarray]:
