@@ -15,11 +15,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curata.functions.html import main_text, page_text
-from curata.functions.text import POST_MAX, char_count, clean_text
+from curata.functions.text import POST_MAX, char_count, clean_text, url_key
 from curata.functions.traces import strip_trace
 from curata.operators.dedup import keep_first, one_folder, pending, with_url_norm
 from curata.operators.folders import folder_items, saved_searches
@@ -28,6 +29,7 @@ from curata.operators.publish import PUBLISHED, classify
 from curata.operators.repeats import cache_state, merge_cache
 from curata.session import cut_lineage
 from curata.sources.readers import ledger_keys
+from curata.streaming.buckets import Buckets
 
 #: Statuses of rows that are not generated in this run.
 ALREADY_PUBLISHED, DEFERRED, REPEATED = "already_published", "deferred", "repeated"
@@ -115,6 +117,25 @@ def refreshed_cache(pages: DataFrame, cache: DataFrame, now, limit: int | None =
     return merge_cache(cache, cut_lineage(fetched))
 
 
+CACHE_SCHEMA = T.StructType([T.StructField("url_key", T.StringType()), T.StructField("url", T.StringType()),
+                             T.StructField("fetched_at", T.TimestampNTZType()), T.StructField("body", T.StringType())])
+
+
+def article_cache(spark: SparkSession, path: str, batch_id: int, buckets: int | None = None) -> Buckets:
+    """The article cache as a bucketed table, as batch ``batch_id`` meets it."""
+    return Buckets(spark, path, batch_id, CACHE_SCHEMA, "url_key", "fetched_at", buckets)
+
+
+def upsert_cache(pages: DataFrame, cache: Buckets, now, limit: int | None = None) -> None:
+    """S11 + X3 incrementally: of ``pages(url, html)``, new and stale ones are fetched at ``now`` and
+    written to their buckets; nothing else of the cache is read or written."""
+    rows = pages.select("url", "html").dropDuplicates(["url"])
+    touched = cache.touched(rows.select(url_key("url").alias("url_key")))
+    state = cache_state(rows, cache.read(touched).select("url_key", "fetched_at"), now)
+    cache.write(state.where(F.col("action") != REPEATED).select(
+        "url_key", "url", F.lit(now).cast("timestamp_ntz").alias("fetched_at"), main_text("html", limit=limit).alias("body")), touched)
+
+
 def whole_page(html: str = "html") -> Column:
     """P23 as the body of ``curate``: all visible text of the page."""
     return page_text(html)

@@ -12,6 +12,11 @@ it has to come up again.  With ``retry_path`` such rows are kept, for all their
 version ``v=<batch_id>`` of a table there, and the next batch takes them in with its own
 rows.  A retried batch reads the same version again and rewrites its own.
 
+With ``cache_path`` the article cache stands in front of generation (J5, F8): each batch reads
+the cache buckets that its URLs fall into, as the batch before left them, and a fresh hit is
+``repeated`` and neither fetched nor generated.  What the batch fetched is written to the cache as its
+own version.
+
 The generator is called once per URL and batch: the full result is written to the
 results table first, and the ledger rows are read back from it.
 """
@@ -24,11 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from curata.functions.text import POST_MAX
+from curata.functions.text import POST_MAX, url_key
 from curata.operators.dedup import keep_first, one_folder, pending, with_url_norm
 from curata.operators.generate import SUMMARY_TEMPLATE
 from curata.operators.publish import PUBLISHED
-from curata.plans.curate import generated
+from curata.operators.repeats import cache_state
+from curata.plans.curate import REPEATED, article_cache, generated
 from curata.session import cut_lineage, drop_staged
 from curata.sources.readers import exists
 from curata.sources.sinks import LEDGER_COLUMNS, append_ledger, ledger_rows
@@ -79,12 +85,13 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
                   length: int = POST_MAX, folder_col: str = "title",
                   workers: Sequence[str] | None = None,
                   prepare: Callable[[DataFrame], DataFrame] | None = None,
-                  retry_path: str | None = None) -> None:
+                  retry_path: str | None = None, cache_path: str | None = None, now=None) -> None:
     """One micro-batch (also usable as a plain batch run with any ``batch_id``).
 
     ``prepare`` adds the ``body`` column after dedup and the ledger anti join
     (e.g. main text from ``html``), so costly extraction only runs on what is new; a row that it
-    leaves without body is ``failed``.  With ``retry_path`` unpublished rows come up again."""
+    leaves without body is ``failed``.  With ``retry_path`` unpublished rows come up again, and
+    with ``cache_path`` the cache as it stands at ``now`` (the batch's time, if none is given) decides."""
     spark = df.sparkSession
     rows = df if retry_path is None else _with_retries(df, batch_id, retry_path)
     kept = keep_first(with_url_norm(rows), [folder_col])
@@ -97,14 +104,29 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
         drop_staged(waiting)
         return
     staged = one_folder(waiting, order=(folder_col,))
+    again = None
+    if cache_path is not None:
+        now = now or spark.sql("SELECT cast(current_timestamp() AS timestamp_ntz)").first()[0]
+        cache = article_cache(spark, cache_path, batch_id)
+        touched = cache.touched(staged.select(url_key("url").alias("url_key")))
+        seen = cut_lineage(cache_state(staged, cache.read(touched).select("url_key", "fetched_at"), now).select(*staged.columns, "action"))
+        again = seen.where(F.col("action") == REPEATED).select(*staged.columns, F.lit(REPEATED).alias("status"))
+        staged = seen.where(F.col("action") != REPEATED).drop("action")
     # Python-heavy from here on: spread the rows by a key unique per row.  A
     # ``prepare`` that joins a large table should spread again after its join.
     todo = staged.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(folder_col, "url_norm"))
     if prepare is not None:
         todo = prepare(todo)
-    res = generated(todo, generator, template, length, workers).withColumn("batch_id", F.lit(batch_id))
+    res = generated(todo, generator, template, length, workers)
+    if again is not None:
+        res = res.unionByName(again, allowMissingColumns=True)
+    res = res.withColumn("batch_id", F.lit(batch_id))
     res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(results_path)
     written = spark.read.parquet(results_path).where(F.col("batch_id") == batch_id)
+    if again is not None:
+        got = written.where(F.col("body").isNotNull() & (F.col("status") != REPEATED))
+        cache.write(got.select(url_key("url").alias("url_key"), "url", F.lit(now).cast("timestamp_ntz").alias("fetched_at"), "body"), touched)
+        drop_staged(seen)
     published = written.where(F.col("status") == PUBLISHED)
     # A retried batch must not append twice: skip keys already in the ledger.
     fresh = pending(published, _published(spark, ledger_path))

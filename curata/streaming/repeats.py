@@ -6,11 +6,8 @@ in arrival order: within a micro-batch by ``(t, id)``, and batch after batch.  A
 passes if it is the first of its key or comes 24 h or more after the key's anchor; a late
 one, before the anchor or within its 24 h, is a repeat.
 
-State costs what a batch touches.  A batch reads only the buckets that its keys fall into
-and writes only the anchors that it moved, as files of its own version in those buckets.  A
-bucket whose later versions hold more bytes than half of its full one and than ``SMALL_BYTES``, or
-are more than ``MOST_VERSIONS``, is written anew as a whole, so the bytes written, all in all,
-stay in proportion to the anchors moved.
+State costs what a batch touches (``streaming.buckets``): a batch reads only the buckets that
+its keys fall into and writes only the anchors that it moved.
 
 ``lateness_hours`` bounds how far behind the latest event time seen a row may come.  Rows
 beyond it do not vanish: they come out with status ``late``.  A key's anchor is kept at least until
@@ -20,92 +17,34 @@ the next time that its bucket is written anew leaves it out.  Without a bound, a
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curata.functions.durations import epoch_us
 from curata.operators.repeats import CACHE_HOURS, MICROS_PER_HOUR, anchors
 from curata.session import cut_lineage, drop_staged
+from curata.streaming.buckets import Buckets
 
 PASSED, LATE = "passed", "late"
-MOST_VERSIONS = 16
-SMALL_BYTES = 1 << 20
-_STATE = "_k string, anchor long"
 
 
-class AnchorState:
-    """Anchors by key in hash buckets: ``data/b=<bucket>/v=<batch>/full=<0|1>`` under ``path``.
-
-    A key's anchor is the latest one in its bucket's versions before the batch; ``meta/v=<batch>``
-    holds the latest event time seen and the number of buckets (given, or as many as shuffle
-    partitions when the state is new).  A retried batch reads the same
-    versions and overwrites its own.  What a full version replaces is deleted by a later batch."""
+class AnchorState(Buckets):
+    """Anchors by key, and the latest event time that the batch before has seen (``meta/v=<batch>``)."""
 
     def __init__(self, spark: SparkSession, path: str, batch_id: int, buckets: int | None = None):
-        self.spark, self.path, self.batch_id = spark, path.rstrip("/"), batch_id
-        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._hadoop(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        schema = T.StructType([T.StructField("_k", T.StringType()), T.StructField("anchor", T.LongType())])
+        super().__init__(spark, path, batch_id, schema, "_k", "anchor", buckets)
         meta = f"{self.path}/meta/v={batch_id - 1}"
         row = spark.read.parquet(meta).first() if batch_id > 0 and self._fs.exists(self._hadoop(meta)) else None
-        new = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.seen, self.buckets = (row["seen"], row["buckets"]) if row else (None, new)
-
-    def bucket(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
-
-    def versions(self, bucket: int) -> list[tuple[int, int, int]]:
-        """(batch, full, bytes) of a bucket's versions before this batch, the newest full one first."""
-        found = []
-        for f in self._fs.globStatus(self._hadoop(f"{self.path}/data/b={bucket}/v=*/full=*")) or []:
-            version, full = (int(x.split("=")[1]) for x in f.getPath().toString().rsplit("/", 2)[1:])
-            if version < self.batch_id:
-                found.append((version, full, self._fs.getContentSummary(f.getPath()).getLength()))
-        found.sort()
-        last = max((i for i, v in enumerate(found) if v[1]), default=0)
-        return found[last:]
-
-    def read(self, buckets: list[int]) -> DataFrame:
-        """(_k, anchor) of all keys in these buckets."""
-        paths = [f"{self.path}/data/b={b}/v={v}/full={full}" for b in buckets for v, full, _ in self.versions(b)]
-        if not paths:
-            return self.spark.createDataFrame([], _STATE)
-        return self.spark.read.schema(_STATE).parquet(*paths).groupBy("_k").agg(F.max("anchor").alias("anchor"))
-
-    def write(self, moved: DataFrame, buckets: list[int], horizon: int, keep_from: int | None) -> None:
-        """Write the moved anchors (_k, anchor) that lie in ``buckets``, and whole buckets where that is due."""
-        due, old = [], defaultdict(list)
-        for b in buckets:
-            have = self.versions(b)
-            later = [size for _, _, size in have[1:]]
-            if len(later) >= MOST_VERSIONS or (later and sum(later) > max(have[0][2] / 2, SMALL_BYTES)):
-                due.append(b)
-            old[b] = have
-        rows = moved.select("_k", "anchor").withColumn("b", self.bucket(F.col("_k")))
-        if due:
-            whole = self.read(due).unionByName(moved.select("_k", "anchor")).groupBy("_k").agg(F.max("anchor").alias("anchor"))
-            whole = whole.withColumn("b", self.bucket(F.col("_k"))).where(F.col("b").isin(due))
-            if keep_from is not None:
-                whole = whole.where(F.col("anchor") > keep_from)
-            rows = rows.where(~F.col("b").isin(due)).unionByName(whole)
-        full = F.col("b").isin(due) if due else F.lit(False)
-        first = [b for b in buckets if not old[b]]
-        full = full | F.col("b").isin(first) if first else full
-        (rows.withColumn("v", F.lit(self.batch_id)).withColumn("full", full.cast("int")).repartition("b")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b", "v", "full").parquet(f"{self.path}/data"))
-        self.spark.createDataFrame([(horizon, self.buckets)], "seen long, buckets int").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/meta/v={self.batch_id}")
-        self._delete_replaced(old)
-
-    def _delete_replaced(self, old: dict) -> None:
-        """Versions that a full one of an earlier batch replaces; that batch has ended, so it isn't retried."""
-        for b, have in old.items():
-            if have and have[0][1]:
-                for f in self._fs.globStatus(self._hadoop(f"{self.path}/data/b={b}/v=*")) or []:
-                    if int(f.getPath().getName().split("=")[1]) < have[0][0]:
-                        self._fs.delete(f.getPath(), True)
+        self.seen = row["seen"] if row else None
+
+    def move(self, moved: DataFrame, buckets: list[int], horizon: int, keep_from: int | None) -> None:
+        """Write the moved anchors (_k, anchor) and the latest event time seen."""
+        self.write(moved, buckets, None if keep_from is None else F.col("anchor") > keep_from)
+        self.spark.createDataFrame([(horizon,)], "seen long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/meta/v={self.batch_id}")
         for f in self._fs.globStatus(self._hadoop(f"{self.path}/meta/v=*")) or []:
             if int(f.getPath().getName().split("=")[1]) < self.batch_id - 1:
                 self._fs.delete(f.getPath(), True)
@@ -142,7 +81,7 @@ def repeats_micro_batch(df: DataFrame, batch_id: int, keys: Sequence[str], ts: s
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
     horizon = max(x for x in (about["t"], state.seen, -(1 << 62)) if x is not None)
     keep_from = None if lateness_hours is None else horizon - window - lateness_hours * MICROS_PER_HOUR
-    state.write(kept.groupBy("_k").agg(F.max("_t").alias("anchor")), touched, horizon, keep_from)
+    state.move(kept.groupBy("_k").agg(F.max("_t").alias("anchor")), touched, horizon, keep_from)
     drop_staged(framed, kept, *([cand] if batch_id > 0 else []))
 
 

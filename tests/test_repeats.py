@@ -163,8 +163,8 @@ def test_state_written_follows_the_batch(spark, tmp):
 
 def test_buckets_are_written_anew_and_old_anchors_go(spark, tmp, monkeypatch):
     """Versions of a bucket stay few, and with a stated lateness anchors that decide nothing any more go."""
-    from curata.streaming import repeats
-    monkeypatch.setattr(repeats, "MOST_VERSIONS", 2)
+    from curata.streaming import buckets, repeats
+    monkeypatch.setattr(buckets, "MOST_VERSIONS", 2)
     batches = [[(100 * b + i, f"k{b}-{i}", 30 * b) for i in range(3)] for b in range(7)]
     want = {r[0]: "passed" for rows in batches for r in rows}
     assert micro_batches(spark, tmp, batches, lateness_hours=24, buckets=1) == want
@@ -194,6 +194,25 @@ def test_cache_state_and_merge(spark):
     assert snap == {"https://a": "A", "https://b": "B2", "https://c": "C"}
 
 
+def test_cache_upserts_write_what_changed(spark, tmp):
+    """A refreshed and a new article are written, in their buckets; the others are neither read nor written."""
+    from curata.plans.curate import article_cache, upsert_cache
+    page = "<html><body><article><p>{}</p></article></body></html>"
+    url = lambda i: f"https://h.org/{i}"
+    old = spark.range(400).select(F.md5(F.concat(F.lit("https://h.org/"), F.col("id").cast("string"))).alias("url_key"),
+                                  F.concat(F.lit("https://h.org/"), F.col("id").cast("string")).alias("url"),
+                                  F.when(F.col("id") == 7, "2024-01-01 00:00:00").otherwise("2024-01-30 12:00:00").cast("timestamp_ntz").alias("fetched_at"),
+                                  F.lit("old").alias("body"))
+    first = article_cache(spark, f"{tmp}/cache", 0, buckets=32)
+    first.write(old, list(range(32)))
+    pages = spark.createDataFrame([(url(i), page.format(f"text {i}")) for i in (7, 8, 9000)], "url string, html string")
+    upsert_cache(pages, article_cache(spark, f"{tmp}/cache", 1), "2024-01-31 00:00:00")
+    written = spark.read.parquet(f"{tmp}/cache/data").where("v = 1")
+    assert sorted(r.url for r in written.collect()) == [url(7), url(9000)]
+    body = {r.url: r.body for r in article_cache(spark, f"{tmp}/cache", 2).read().collect()}
+    assert body == {url(i): "old" for i in range(400)} | {url(7): "text 7", url(9000): "text 9000"}
+
+
 def test_mark_repeats_flags_every_row(spark):
     from curata.operators.repeats import mark_repeats
     rows = skewed_rows(500, seed=21)
