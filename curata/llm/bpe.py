@@ -401,12 +401,12 @@ class BatchEncoder:
 
 
 @lru_cache(2)
-def encoder(path: str) -> BatchEncoder:
+def encoder(path: str, most_words: int = 2_000_000) -> BatchEncoder:
     """The worker's encoder for a vocabulary file (compiled once a Python worker)."""
     automaton = BpeAutomaton.compile(path)
     with open(path, encoding="utf-8") as f:
         added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-    return BatchEncoder(automaton, added.get(SPECIAL))
+    return BatchEncoder(automaton, added.get(SPECIAL), most_words)
 
 
 @lru_cache(2)

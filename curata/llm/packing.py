@@ -33,6 +33,8 @@ SEQUENCE_LENGTH = 1024
 END_ID = 0
 #: Code points of text encoded at once: the splitter takes about 40 bytes for each.
 SLICE = 1_000_000
+#: Words whose ids an encoder keeps: 40 bytes each, and three times that while it learns.
+KNOWN_WORDS = 400_000
 #: Above this many partitions the offsets are joined by a shuffle, not sent to all.
 MOST_SENT = 1_000_000
 
@@ -42,7 +44,7 @@ def encode_stream(docs: DataFrame, vocabulary: str, key: str, text: str, end_id:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        encoder, part, start = bpe.encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, part, start = bpe.encoder(vocabulary, KNOWN_WORDS), TaskContext.get().partitionId(), 0
         for b in batches:
             for first, texts in bpe.text_slices(b.column(1), SLICE):
                 ids, counts = encoder.encode(texts)

@@ -88,3 +88,56 @@ def test_everything_is_packed(spark, steps):
     assert ids(p) == ids(steps["personal"])
     assert p.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
     assert p.agg(F.sum("length")).first()[0] == p.select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]
+
+
+PROSE = ("the quick brown fox jumps over the lazy dog while seven other foxes watch it from behind the old wooden fence near the river and wonder "
+         "what it may be up to on such a bright and windy morning in late autumn ").split()
+
+
+def prose(seed, n=60):
+    import random
+    r = random.Random(seed)
+    return " ".join(r.choice(PROSE) + (str(r.randrange(10**6)) if r.random() < 0.1 else "") for _ in range(n))
+
+
+def edge_folder(spark, tmp, rows, labelled):
+    """Documents with columns that the stages don't name, one of them called as an operator's own, and without n_chars."""
+    docs = spark.createDataFrame([(*r, "pass", 7) for r in rows], "doc_id long, text string, lang string, source string, k string, row int")
+    docs.write.parquet(f"{tmp}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in labelled], "doc_id long, quality int, toxic int").write.parquet(f"{tmp}/labels.parquet")
+    return docs
+
+
+def through(spark, docs, tmp):
+    out = {}
+    for name, apply in corpus_pipeline.STAGES:
+        docs = stage(apply(spark, docs, tmp))
+        out[name] = docs
+    return out
+
+
+def test_edge_rows(spark, tmp):
+    """Nulls in every column, empty and very long texts, equal texts, repeated rows and ids."""
+    same = prose(1)
+    rows = [(i, prose(100 + i), "en", "s") for i in range(40)]
+    rows += [(50, None, "en", "s"), (51, "", "en", None), (52, " 12 ", None, "s"), (60, same, "en", "s"), (61, same, None, None), (60, same, "en", "s"),
+             (None, prose(2), "en", "s"), (70, prose(3, 30_000), "en", "s"), (5, "mail to a.b@example.org " + prose(4), "en", "s")]
+    docs = edge_folder(spark, tmp, rows, range(40))
+    out = through(spark, docs, tmp)
+    names = [k for k, _ in corpus_pipeline.STAGES]
+    assert all(out[k].dtypes == docs.dtypes for k in names[:-1])
+    ids_of = lambda k: sorted((r.doc_id for r in out[k].select("doc_id").collect()), key=repr)
+    assert not {50, 51, 52} & set(ids_of("language")) and len(ids_of("language")) == len(rows) - 3
+    before, after = ids_of("quality"), ids_of("near_duplicates")
+    assert set(before) >= {None, 60, 70} and after.count(None) == 1
+    assert 61 not in after and after.count(60) == before.count(60)
+    texts = {r.doc_id: r for r in out["personal"].collect()}
+    assert len(out["personal"].collect()) == len(after) and all("@" not in r.text for r in texts.values())
+    assert all((r.k, r.row) == ("pass", 7) for r in texts.values())
+    assert sorted(set(ids_of("packing")), key=repr) == sorted(set(after), key=repr)
+
+
+def test_empty_documents(spark, tmp):
+    docs = edge_folder(spark, tmp, [(1, "x", "en", "s")], [1]).where("doc_id > 1")
+    out = through(spark, docs, tmp)
+    assert all(df.count() == 0 for df in out.values())
