@@ -4,6 +4,12 @@ Each stage works on all documents that its predecessor kept.  ``run`` writes eve
 result to the shared folder before the next one reads it.  The models are learnt here from the
 stage's own documents, so the rows cannot be expressed in SQL: the tests hold every stage
 against its operator and a brute-force version (``tests/llm/test_pipeline.py``).
+
+Defined results: a null or empty text has no letter, so the first stage drops it; rows without
+``doc_id`` are judged by their text, are near-duplicates of nothing and stay; rows that repeat a
+``doc_id`` stay or go together; equal texts are one group, whose least id stays; a null ``lang`` is a class
+of its own; texts of any length are whole; an empty table gives no pieces.  Columns that the stages don't
+name pass through, whatever they are called, up to packing; ``n_chars``, if it is there, follows the redacted text.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curata.llm import catalog, language, neardup, personal, quality
-from curata.llm.common import read, stage
+from curata.llm.common import moderate_batches, read, stage
 
 #: A document whose language is told with a lower score goes; one without any letter scores 0.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -21,27 +27,33 @@ NEAR_PERCENT = 80
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told stay."""
+    moderate_batches(spark)
     return language.keep_identified(docs, language.fit(docs), LEAST_LANGUAGE_SCORE)
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as predictable as trusted text of their language stay."""
+    moderate_batches(spark)
     return quality.keep_good(docs, catalog.trusted_ids(spark, sf_dir))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least id stays."""
+    moderate_batches(spark)
     return neardup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; personal data in its text is replaced."""
     done = personal.redact(docs, personal.fit(docs))
+    if "n_chars" not in docs.columns:
+        return done
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences with their ids."""
+    moderate_batches(spark)
     return catalog.pieces(docs)
 
 
