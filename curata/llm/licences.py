@@ -54,6 +54,46 @@ TEMPLATES = [
     ("cc0", "creative commons cc0 1 0 universal public domain dedication", ["cc0 1 0 universal"]),
     ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
     ("proprietary", "all rights reserved", ["all rights reserved"]),
+    # whole notices, as far as they don't vary
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+               "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed "
+               "to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any "
+               "kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+     ["apache license", "except in compliance with the license", "without warranties or conditions of any kind"]),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+            "conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the "
+            "following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+            "following disclaimer in the documentation and or other materials provided with the distribution",
+     ["redistributions of source code must retain the above copyright notice", "redistributions in binary form must reproduce"]),
+    ("bsd-3-clause", "nor the names of its contributors may be used to endorse or promote products derived from this software without "
+                     "specific prior written permission", ["names of its contributors may be used to endorse or promote products"]),
+    ("gpl-2.0-or-later", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+                         "license as published by the free software foundation either version 2 of the license or at your option any later version",
+     ["gnu general public license", "either version 2 of the license"]),
+    ("gpl-3.0-or-later", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+                         "license as published by the free software foundation either version 3 of the license or at your option any later version",
+     ["gnu general public license", "either version 3 of the license"]),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license "
+             "as published by the free software foundation either version 2 1 of the license or at your option any later version",
+     ["gnu lesser general public license", "free software foundation"]),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license "
+             "as published by the free software foundation either version 3 of the license or at your option any later version",
+     ["gnu affero general public license", "free software foundation"]),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with "
+            "this file you can obtain one at http mozilla org mpl 2 0", ["mozilla public license", "if a copy of the mpl was not distributed"]),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+            "the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+            "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject "
+            "to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software", ["permission is hereby granted free of charge", "sublicense and or sell copies", "copies or substantial portions"]),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that "
+            "the above copyright notice and this permission notice appear in all copies",
+     ["copy modify and or distribute this software", "this permission notice appear in all copies"]),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and "
+             "redistribute it freely subject to the following restrictions", ["permission is granted to anyone to use this software"]),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license",
+     ["eclipse public license"]),
+    ("bsl", "distributed under the boost software license version 1 0", ["boost software license"]),
 ]
 LEAST_SHARE = 0.5
 #: Words of a template, those of highest IDF, that must agree on an alignment.

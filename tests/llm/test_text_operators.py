@@ -293,3 +293,18 @@ def test_language_edge_cases(spark):
     finally:
         language.SLAB = step
     assert np.allclose(whole[5], m.margins(*words.buffers(pa.array([x[5]])))[0])
+
+
+def test_whole_notices(spark):
+    """Every whole notice is found in the midst of a text, with score 1 and its own label; without a key phrase it is not,
+    and its label comes from another template if at all."""
+    long = [(label, n, keys) for label, n, keys in licences.TEMPLATES if len(n.split()) > 20]
+    assert len(long) >= 9
+    rows = [(i, f"head {i}\n * " + n.replace(" the ", "\n * The ") + "\nint main;") for i, (_, n, _) in enumerate(long)]
+    rows += [(100 + i, n.replace(keys[-1], "x")) for i, (_, n, keys) in enumerate(long)]
+    df = table(spark, rows)
+    out = {r.k: r for r in licences.scan(df, licences.inverse_frequencies(df)).collect()}
+    for i, (label, _, _) in enumerate(long):
+        assert label in out[i].labels.split(",") and out[i].score == 1.0
+        if [x for x, _, _ in licences.TEMPLATES].count(label) == 1:
+            assert label not in out[100 + i].labels.split(",")
