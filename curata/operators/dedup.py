@@ -42,6 +42,22 @@ def pending(df: DataFrame, published_keys: DataFrame, key: str = "url_norm") ->
     return df.join(published_keys.select(key), key, "left_anti")
 
 
+#: Pending keys up to which they go to the ledger's rows; beyond, both sides are shuffled.
+MOST_SENT = 2_000_000
+
+
+def pending_written(df: DataFrame, published_keys: DataFrame, key: str = "url_norm", most: int = MOST_SENT) -> DataFrame:
+    """J3 for a written table of pending rows, which stay few while the ledger grows.
+
+    The pending keys are sent to where the ledger lies, which is scanned for hits and not shuffled;
+    the rows are then held against the hits alone.  ``published_keys`` needs not be distinct.  More
+    than ``most`` pending rows are joined as in ``pending``."""
+    if df.count() > most:
+        return pending(df, published_keys, key)
+    hits = published_keys.select(key).join(F.broadcast(df.select(key)), key, "left_semi")
+    return pending(df, hits, key)
+
+
 def one_folder(df: DataFrame, key: str = "url_norm", order: Sequence[str] = ("title", "node_id")) -> DataFrame:
     """One row a URL: its first folder by ``order``.  An aggregate, as W1."""
     rest = [c for c in df.columns if c != key]

@@ -22,13 +22,13 @@ from pyspark.sql import types as T
 from curata.functions.html import main_text, page_text
 from curata.functions.text import POST_MAX, char_count, clean_text, url_key
 from curata.functions.traces import strip_trace
-from curata.operators.dedup import keep_first, one_folder, pending, with_url_norm
+from curata.operators.dedup import keep_first, one_folder, pending_written, with_url_norm
 from curata.operators.folders import folder_items, saved_searches
 from curata.operators.generate import OK, SUMMARY_TEMPLATE, batch_generate, build_prompt, finish_text, journaled_generate
 from curata.operators.publish import PUBLISHED, classify
 from curata.operators.repeats import cache_state, merge_cache
 from curata.session import cut_lineage
-from curata.sources.readers import ledger_keys
+from curata.sources.readers import ledger_norms
 from curata.streaming.buckets import Buckets
 
 #: Statuses of rows that are not generated in this run.
@@ -76,8 +76,8 @@ def curate(node: DataFrame, membership: DataFrame, items: DataFrame, ledger: Dat
     key, optionally with ``body``) a fresh hit is ``repeated`` and not generated, or, with
     ``on_fresh="reuse"``, uses the cached body.  The result is written once."""
     fi = folder_items(saved_searches(node), membership, items)
-    kept = keep_first(with_url_norm(fi), ["node_id"])
-    todo = cut_lineage(pending(kept, ledger_keys(ledger)))
+    kept = cut_lineage(keep_first(with_url_norm(fi), ["node_id"]))
+    todo = cut_lineage(pending_written(kept, ledger_norms(ledger)))
     chosen = one_folder(todo)
     if cache is not None:
         chosen = cache_state(chosen, cache, now, on_fresh)

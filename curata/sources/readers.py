@@ -106,12 +106,17 @@ def read_ledger(spark: SparkSession, path: str, split_bytes: int | None = None)
     return rows.where(F.col("url").isNotNull()).select(*LEDGER_SCHEMA.fieldNames())
 
 
-def ledger_keys(ledger: DataFrame, url_col: str = "url") -> DataFrame:
-    """Distinct keys of the ledger (the anti-join side of J3): its stored ``url_norm``, or,
-    for a ledger without one, the normal forms of its URLs."""
+def ledger_norms(ledger: DataFrame, url_col: str = "url") -> DataFrame:
+    """The key of every ledger row: its stored ``url_norm``, or, for a ledger without one, the
+    normal form of its URL."""
     if "url_norm" in ledger.columns:
-        return ledger.select("url_norm").distinct()
-    return ledger.select(normalize_url(url_col).alias("url_norm")).distinct()
+        return ledger.select("url_norm")
+    return ledger.select(normalize_url(url_col).alias("url_norm"))
+
+
+def ledger_keys(ledger: DataFrame, url_col: str = "url") -> DataFrame:
+    """Distinct keys of the ledger (the anti-join side of J3)."""
+    return ledger_norms(ledger, url_col).distinct()
 
 
 def read_promotions(spark: SparkSession, path: str, prefix: str | None = None,

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from curata.functions.text import POST_MAX, url_key
-from curata.operators.dedup import keep_first, one_folder, pending, with_url_norm
+from curata.operators.dedup import keep_first, one_folder, pending_written, with_url_norm
 from curata.operators.generate import SUMMARY_TEMPLATE
 from curata.operators.publish import PUBLISHED
 from curata.operators.repeats import cache_state
@@ -94,10 +94,11 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
     with ``cache_path`` the cache as it stands at ``now`` (the batch's time, if none is given) decides."""
     spark = df.sparkSession
     rows = df if retry_path is None else _with_retries(df, batch_id, retry_path)
-    kept = keep_first(with_url_norm(rows), [folder_col])
+    kept = cut_lineage(keep_first(with_url_norm(rows), [folder_col]))
     # The pending set is computed once (a written table under the checkpoint
     # folder): it is tested for emptiness, fed to generation, and what is left of it comes up again.
-    waiting = cut_lineage(pending(kept, _published(spark, ledger_path)))
+    waiting = cut_lineage(pending_written(kept, _published(spark, ledger_path)))
+    drop_staged(kept)
     if waiting.isEmpty():
         if retry_path is not None:
             _write_retries(waiting.select(*df.columns), batch_id, retry_path)
@@ -129,10 +130,10 @@ def process_batch(df: DataFrame, batch_id: int, ledger_path: str, results_path:
         drop_staged(seen)
     published = written.where(F.col("status") == PUBLISHED)
     # A retried batch must not append twice: skip keys already in the ledger.
-    fresh = pending(published, _published(spark, ledger_path))
+    fresh = pending_written(published, _published(spark, ledger_path))
     append_ledger(ledger_rows(fresh, folder_col).select(*LEDGER_COLUMNS), ledger_path)
     if retry_path is not None:
-        _write_retries(pending(waiting, _published(spark, ledger_path)).select(*df.columns), batch_id, retry_path)
+        _write_retries(pending_written(waiting, _published(spark, ledger_path)).select(*df.columns), batch_id, retry_path)
     drop_staged(waiting)
 
 

@@ -67,3 +67,26 @@ def test_ordered_items_nulls_last(spark):
     from curata.operators.folders import ordered_items
     df = spark.createDataFrame([(1, None), (2, 5), (3, 9), (4, 5)], "item_id long, updated long")
     assert [r.item_id for r in ordered_items(df).collect()] == [3, 2, 4, 1]
+
+
+def test_a_large_ledger_is_not_shuffled(spark, tmp):
+    """Few pending rows against a ledger beyond the broadcast threshold: no exchange over the ledger's scan, same rows."""
+    import re
+    from curata.operators.dedup import pending, pending_written
+    spark.range(200_000).select(F.concat(F.lit("https://e/"), F.col("id").cast("string")).alias("url_norm")).write.parquet(f"{tmp}/ledger")
+    spark.createDataFrame([(i, f"https://e/{i * 50_000}") for i in range(8)] + [(9, "https://e/50000")], "n long, url_norm string").write.parquet(f"{tmp}/pending")
+    ledger, rows = spark.read.parquet(f"{tmp}/ledger"), spark.read.parquet(f"{tmp}/pending")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10000")
+    try:
+        out = pending_written(rows, ledger)
+        assert sorted(r.n for r in out.collect()) == sorted(r.n for r in pending(rows, ledger).collect()) == [4, 5, 6, 7]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        beyond = pending_written(rows, ledger, most=3)
+        assert sorted(r.n for r in beyond.collect()) == [4, 5, 6, 7]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.split("Initial Plan")[-1].splitlines()
+    scan = next(i for i, x in enumerate(lines) if re.search(r"Scan parquet.*/ledger", x))
+    above = [x for x in lines[:scan] if x.find("+-") < lines[scan].find("+-")]
+    join = next(i for i in range(len(above) - 1, -1, -1) if "LeftSemi" in above[i])
+    assert "BroadcastHashJoin" in above[join] and not any("Exchange" in x for x in above[join:])
