@@ -397,6 +397,13 @@ def q_reconcile_sides(spark, sf_dir):
     return reconcile(*S.reconcile_sides(Tables(spark, sf_dir)))
 
 
+@register("reconcile_changes", S.sql_with("promotions") + _SQL_SIDES + "SELECT * FROM sides")
+def q_reconcile_changes(spark, sf_dir):
+    """X1 by bucket digests: texts are exchanged only where the sides differ."""
+    from curata.operators.reconcile import reconcile_by_bucket
+    return reconcile_by_bucket(*S.reconcile_sides(Tables(spark, sf_dir)))
+
+
 @register("reconcile_summary", S.sql_with("promotions") + _SQL_SIDES + """
 SELECT (SELECT count(*) FROM l) AS left_rows, (SELECT count(*) FROM r) AS right_rows,
   count(*) FILTER (WHERE side = 'left_only') AS left_only,

@@ -33,6 +33,26 @@ def test_reconcile_sets(spark):
     assert not empty.identical  # a CSV without data rows is not a match
 
 
+def test_reconcile_by_bucket(spark, tmp):
+    """The rows of ``reconcile`` with many buckets and few; equal sides shuffle no text."""
+    from curata.operators.reconcile import reconcile_by_bucket
+    schema = "promotion string, url string"
+    more = [(f"p{i} " + "long text " * 40, f"u{i}") for i in range(300)]
+    left = spark.createDataFrame(LEFT + more + more[:50], schema)
+    right = spark.createDataFrame(RIGHT + more[1:] + [("new", "n")], schema)
+    want = sorted(map(tuple, reconcile(left, right).collect()), key=repr)
+    for buckets in (1, 16, 1 << 20):
+        assert sorted(map(tuple, reconcile_by_bucket(left, right, buckets=buckets).collect()), key=repr) == want
+    assert reconcile_by_bucket(left.limit(0), right.limit(0)).count() == 0
+    spark.createDataFrame(more, schema).write.parquet(f"{tmp}/same")
+    same = spark.read.parquet(f"{tmp}/same")
+    out = reconcile_by_bucket(same, same)
+    assert out.where("side = 'both'").count() == 300 and out.count() == 300
+    moved = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x and "Broadcast" not in x]
+    # what is shuffled are pairs of differing buckets (here none) and pairs that stand twice (here none)
+    assert all(spark.read.parquet(f).isEmpty() for f in {p.rsplit("/", 1)[0] for p in out.inputFiles() if "/curata-cut-" in p}) and moved
+
+
 def test_sample_top5(spark):
     left = spark.createDataFrame([(f"p{i:02d}", "u") for i in range(12)], "promotion string, url string")
     right = spark.createDataFrame([("z", "u")], "promotion string, url string")
