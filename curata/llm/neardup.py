@@ -52,7 +52,7 @@ BLOCK = 256
 #: Rows up to which a side of small rows is sent to all executors; beyond, Spark joins by shuffle.
 MOST_SENT = 4_000_000
 #: Bytes of text hashed at once.
-SLICE = 3_000_000
+SLICE = 1_500_000
 
 _RANDOM = np.random.default_rng(8)
 _XOR = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64)

@@ -45,7 +45,7 @@ QUANTILE = 0.998
 MARGIN = 1.02
 START, END = 2, 3
 #: Bytes counted or scored at once.
-SLICE = 1_000_000
+SLICE = 500_000
 #: Ids up to which the trusted ones go to all executors; beyond, Spark joins by shuffle.
 MOST_SENT = 5_000_000
 _TAG = 48
@@ -218,7 +218,7 @@ def _bloom(weights: DataFrame, size: int) -> np.ndarray:
 
 def _hash_table(keys: np.ndarray, weights: np.ndarray) -> dict:
     """Open addressing: arrays of keys (-1: free) and weights."""
-    bits = max(10, int(len(keys) * 2).bit_length())
+    bits = max(10, int(len(keys) * 2 - 1).bit_length())  # at most half full
     slot, table, value = _slot(keys, bits), np.full(1 << bits, -1, np.int64), np.zeros(1 << bits)
     todo = np.arange(len(keys))
     while len(todo):

@@ -55,8 +55,8 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-#: Bytes hashed at once: the powers of the base and the prefix sums take 8 bytes a byte.
-SLAB = 1 << 21
+#: Bytes hashed at once: the powers of the base, which a worker keeps, and the prefix sums take 32 bytes a byte.
+SLAB = 1 << 18
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
