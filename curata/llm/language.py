@@ -48,8 +48,8 @@ _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
 #: Letters stay (in lower case), other ASCII bytes become blanks, UTF-8 continuation stays.
 _LETTERS = LOWER.copy()
 _LETTERS[:128][~np.isin(LOWER[:128], np.arange(97, 123))] = 32
-#: Bytes scored at once.
-SLAB = 1 << 20
+#: Bytes of texts taken at once (a longer one alone; about 60 bytes each), and bytes scored at once.
+SLICE, SLAB = 1 << 19, 1 << 19
 
 
 def family_of(lang: str) -> str:
@@ -89,7 +89,15 @@ class Machines:
     slope: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def margins(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Mean weight of each text's runs for every machine."""
+        """Mean weight of each text's runs for every machine, a slice of texts at a time."""
+        parts, lo, n = [], 0, len(offsets) - 1
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE, side="right")) - 1)
+            parts.append(self._margins(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
+            lo = hi
+        return np.concatenate(parts) if parts else np.zeros((0, self.weights.shape[1]))
+
+    def _margins(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         x, starts, ends = padded(raw, offsets)
         n, c = len(starts), self.weights.shape[1]
         total, count = np.zeros((n, c)), np.zeros(n)
