@@ -600,10 +600,11 @@ def _body_from(pages: DataFrame):
     return body
 
 
-@register("published_ledger", _SQL_CURATED + "SELECT promotion, url, title AS folder_name FROM done WHERE status = 'published'")
+@register("published_ledger", _SQL_CURATED.replace("LEFT JOIN fetched p", "LEFT JOIN pages p")
+          + "SELECT promotion, url, title AS folder_name FROM done WHERE status = 'published'")
 def q_published_ledger(spark, sf_dir):
     """T2 + S7: the incremental publishing step run twice over the saved-search
-    articles against a seeded ledger; the second run must add nothing."""
+    articles, with all pages, against a seeded ledger; the second run must add nothing."""
     from curata.operators.folders import folder_items, saved_searches
     from curata.plans.curate import digest_generator
     from curata.streaming.publish import process_batch
@@ -612,7 +613,7 @@ def q_published_ledger(spark, sf_dir):
     ledger_path, results_path = f"{base}/ledger", f"{base}/results"
     _seeded_ledger(spark, t, ledger_path)
     fi = folder_items(saved_searches(S.node(t)), S.membership(t), S.items(t))
-    body = _body_from(S.fetched(t))
+    body = _body_from(t.pages)
     process_batch(fi, 0, ledger_path, results_path, digest_generator, prepare=body)
     process_batch(fi, 1, ledger_path, results_path, digest_generator, prepare=body)
     led = spark.read.parquet(ledger_path)

@@ -194,3 +194,22 @@ def test_empty_and_failed_are_never_published(spark):
     for substring in (True, False):
         out = {r.url: (r.status, r.over_length) for r in generated(df, gen, error_substring=substring).collect()}
         assert out["u1"][0] == "failed" and out["u2"][0] == "empty" and out["u3"] == ("published", False)
+
+
+def test_published_ledger_takes_every_page(spark, tmp):
+    """Page 7 of ten is published like the others, in the query and in its SQL."""
+    import duckdb
+    from curata.plans import catalog
+    rows = {"nation": ([(0, "N")], "n_nationkey int, n_name string"),
+            "customer": ([(k, 0) for k in range(20)], "c_custkey long, c_nationkey int"),
+            "events": ([(0, None)], "event_id long, ts timestamp_ntz"),
+            "pages": ([(k, f"http://h.org/{k}", "<article><p>twelve chars</p></article>") for k in range(20)],
+                      "page_id long, url string, html string")}
+    con = duckdb.connect()
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp}/{name}.parquet/*.parquet')")
+    want = sorted(f"http://h.org/{k}" for k in range(1, 20, 2))
+    urls = lambda found: sorted(u.replace("https://www.", "http://").split("?")[0] for u in found)
+    assert urls(r.url for r in catalog.QUERIES["published_ledger"](spark, tmp).collect()) == want
+    assert urls(r[1] for r in con.sql(catalog.ORACLE["published_ledger"]).fetchall()) == want
