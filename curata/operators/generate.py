@@ -2,7 +2,7 @@
 
 The reference sends each article to a text-generation service and times the
 call.  Here the service is a user-supplied Python callable, run inside
-``mapInPandas`` so that Spark schedules the calls: concurrency is the number of
+``mapInArrow`` so that Spark schedules the calls: concurrency is the number of
 partitions (``workers`` repartitions to one partition per worker, the
 reference's one worker per host), and a failing row becomes a ``status``
 instead of stopping the job.  No model or network exists in this repository.
@@ -17,12 +17,13 @@ import re
 import time
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curata.functions.batches import parts
 from curata.functions.durations import elapsed_text
 from curata.functions.text import EMPTY_FALLBACK
 
@@ -106,7 +107,8 @@ def batch_generate(df: DataFrame, generator: Callable[..., str], prompt: str = "
     ``generator(prompt, *extra_args)`` is called once per row; exceptions become
     ``status = failed`` with the message in ``error``.  A row without a prompt (an article
     without a page) is ``failed`` without a call.  With ``workers`` the rows
-    are spread over one partition per worker and ``worker`` names it."""
+    are spread over one partition per worker and ``worker`` names it.  A worker holds about a
+    megabyte of prompts and answers as Python strings, whatever the size of a batch."""
     generated = ("raw", "duration_s", "worker", "status", "error", "slow")
     df = df.drop(*[c for c in generated if c in df.columns])
     if workers:
@@ -118,12 +120,12 @@ def batch_generate(df: DataFrame, generator: Callable[..., str], prompt: str = "
         T.StructField("error", T.StringType()), T.StructField("slow", T.BooleanType())])
     extra = list(extra_args)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid = TaskContext.get().partitionId()
         worker = names[pid % len(names)] if names else f"task-{pid}"
-        for pdf in batches:
+        for b in (whole.slice(lo, hi - lo) for whole in batches for lo, hi in parts(whole.column(prompt))):
             raws, secs, stats, errs = [], [], [], []
-            for row in pdf[[prompt, *extra]].itertuples(index=False, name=None):
+            for row in zip(*(b.column(c).to_pylist() for c in (prompt, *extra))):
                 t0 = time.perf_counter()
                 try:
                     if row[0] is None:
@@ -137,11 +139,11 @@ def batch_generate(df: DataFrame, generator: Callable[..., str], prompt: str = "
                     stats.append(FAILED)
                     errs.append(f"{type(e).__name__}: {e}")
                 secs.append(time.perf_counter() - t0)
-            out = pdf.assign(raw=raws, duration_s=secs, worker=worker, status=stats, error=errs)
-            out["slow"] = out["duration_s"] > slow_after_s
-            yield out
+            added = [pa.array(raws, pa.string()), pa.array(secs, pa.float64()), pa.array([worker] * len(secs), pa.string()),
+                     pa.array(stats, pa.string()), pa.array(errs, pa.string()), pa.array([x > slow_after_s for x in secs], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *added], [*b.schema.names, *generated])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 #: Rows of a journal's bucket, about: what a lost task generates again.

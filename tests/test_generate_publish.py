@@ -213,3 +213,16 @@ def test_published_ledger_takes_every_page(spark, tmp):
     urls = lambda found: sorted(u.replace("https://www.", "http://").split("?")[0] for u in found)
     assert urls(r.url for r in catalog.QUERIES["published_ledger"](spark, tmp).collect()) == want
     assert urls(r[1] for r in con.sql(catalog.ORACLE["published_ledger"]).fetchall()) == want
+
+
+def _rows_at_hand(prompt):
+    import sys
+    return str(sys._getframe(1).f_locals["b"].num_rows)
+
+
+def test_generation_holds_a_part_of_a_batch(spark):
+    """Prompts of 20 MB in one batch come as Python strings a megabyte at a time."""
+    from curata.operators.generate import batch_generate
+    df = spark.range(0, 2000, 1, 1).selectExpr("id", "repeat('x', 10000) AS prompt")
+    raws = [int(r.raw) for r in batch_generate(df, _rows_at_hand).select("raw").collect()]
+    assert len(raws) == 2000 and max(raws) <= 105
