@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curata.functions.batches import parts
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference rule for identical keys and text).
 # URL normalisation rewrites, applied in this order, then lower-case, then strip:
@@ -78,16 +80,16 @@ def strip_ws(c) -> Column:
     return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
-@F.pandas_udf(T.StringType())
-def _nfkd_ascii(s: pd.Series) -> pd.Series:
-    """NFKD, then drop every non-ASCII code point.  Arrow-batched; Spark has no NFKD."""
+@F.arrow_udf(T.StringType())
+def _nfkd_ascii(s: pa.Array) -> pa.Array:
+    """NFKD, then drop every non-ASCII code point.  Arrow-batched, and only a part of a batch is
+    ever there as Python strings; Spark has no NFKD."""
     def one(v):
-        if v is None:
-            return None
-        if v.isascii():
+        if v is None or v.isascii():
             return v
         return unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode("ascii")
-    return s.map(one)
+    done = [pa.array([one(v) for v in s.slice(lo, hi - lo).to_pylist()], pa.string()) for lo, hi in parts(s)]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
 
 def clean_text(c) -> Column:

@@ -72,3 +72,18 @@ def test_folder_from_file_name(spark):
     with pytest.raises(Exception) as e:
         one_col(spark, ["other.csv"], lambda c: X.folder_from_file_name(c, "folder_urls_"))
     assert isinstance(e.value, (PySparkException, Exception))
+
+
+def test_clean_up_holds_a_part_of_a_batch():
+    """Of 40 MB of text a few megabytes are Python strings at a time."""
+    import tracemalloc
+    import pyarrow as pa
+    from curata.functions import text as X
+    from curata.functions.batches import parts
+    texts = pa.array(["é" + "x" * 4000, None, "", "plain"] * 10_000)
+    tracemalloc.start()
+    got = X._nfkd_ascii.func(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist()[:4] == ["e" + "x" * 4000, None, "", "plain"] and len(got) == len(texts) and peak < 8 << 20
+    assert list(parts(pa.array(["a" * 10, "b" * 90, None, "c"]), 20)) == [(0, 1), (1, 2), (2, 4)] and not list(parts(pa.array([], pa.string())))
