@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,17 +39,18 @@ def ordinal(df: DataFrame, order: Sequence, name: str = "ordinal", partitions: i
     schema = T.StructType(laid.schema.fields + [T.StructField("_part", T.IntegerType(), False),
                                                 T.StructField("_local", T.LongType(), False)])
 
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), 0
-        for pdf in batches:
-            pdf = pdf.assign(_part=part, _local=range(seen, seen + len(pdf)))
-            seen += len(pdf)
-            yield pdf
+        for b in batches:
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seen, seen + n))], [*b.schema.names, "_part", "_local"])
+            seen += n
 
     # Number inside each sorted range partition, then materialise once: the
     # written table holds one committed attempt per partition, so both uses
     # below agree even if a task was retried.
-    local = cut_lineage(laid.mapInPandas(number, schema))
+    local = cut_lineage(laid.mapInArrow(number, schema))
     sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_part",

@@ -8,9 +8,12 @@ read as lines, which split anywhere, and the lines are put together:
    or inside quotes;
 2. prefix sums over the splits of a file (a row a split) tell which of the two is true, and
    how many records began before the split;
-3. a line that starts and ends outside quotes is a record; only lines of longer records are
+3. a line that starts and ends outside quotes is a record, and lines of a longer one that lie
+   together are joined where they lie; only parts of records cut by a split or a batch are
    shuffled, by file and record.
 
+A task reads as many splits as make up ``TASK_BYTES``, so small splits don't make many tasks.
+
 The number of a record in its file comes out of the same sums.  Fields are parsed by Spark's
 own ``from_csv``.  A quote inside an unquoted field counts like any other; one that is never
 closed runs to the file's end, without its last line end.
@@ -22,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +34,8 @@ from curata.session import cut_lineage, ship_package
 
 #: Splits up to which their sums go to all executors; beyond, Spark joins by shuffle.
 MOST_SENT = 1_000_000
+#: Bytes of files that a task reads, about, if its splits are smaller.
+TASK_BYTES = 32 << 20
 _LINES = ("file string, split bigint, nth bigint, value string, inside boolean, odd boolean, "
           "starts_outside bigint, starts_inside bigint")
 
@@ -58,6 +64,36 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             outside, inside = int(from_outside[-1]), int(from_inside[-1])
 
 
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Placed lines -> records, and parts of such as end with a batch or a split (``whole`` false)."""
+    for b in batches:
+        n = b.num_rows
+        if not n:
+            continue
+        file = b.column(0).dictionary_encode().indices.to_numpy()
+        split, nth, position = (b.column(i).to_numpy() for i in (1, 2, 6))
+        inside, odd = (b.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
+        new = np.ones(n, bool)
+        new[1:] = (file[1:] != file[:-1]) | (split[1:] != split[:-1]) | (nth[1:] != nth[:-1] + 1) | (position[1:] != position[:-1])
+        first = np.flatnonzero(new)
+        edge = np.append(first, n)
+        last = edge[1:] - 1
+        at = pa.array(first)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(at), b.column(1).take(at), b.column(2).take(at),
+             pc.binary_join(pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), b.column(3)), "\n"),
+             pa.array(position[first]), pa.array(~inside[first] & (inside[last] == odd[last]))],
+            ["file", "split", "nth", "value", "position", "whole"])
+
+
+def _tasks(spark: SparkSession, path: str) -> int:
+    """Tasks of about ``TASK_BYTES`` of the files, but one a core at least."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = sum(fs.getContentSummary(f.getPath()).getLength() for f in fs.globStatus(hpath) or [])
+    return max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
 def read_lines(spark: SparkSession, path: str, escape: str, split_bytes: int | None = None) -> DataFrame:
     """Written: the lines of all files with their place in their split and their parity there.
 
@@ -72,7 +108,7 @@ def read_lines(spark: SparkSession, path: str, escape: str, split_bytes: int | N
     if split_bytes:
         spark.conf.set(conf, str(split_bytes))
     try:
-        return cut_lineage(lines.select("file", "split", "value", quotes.cast("long").alias("q")).mapInArrow(_number, _LINES))
+        return cut_lineage(lines.select("file", "split", "value", quotes.cast("long").alias("q")).coalesce(_tasks(spark, path)).mapInArrow(_number, _LINES))
     finally:
         spark.conf.set(conf, before)
 
@@ -92,10 +128,10 @@ def read_records(spark: SparkSession, path: str, escape: str = '"', split_bytes:
     placed = lines.join(sums, ["file", "split"]).select(
         "file", "split", "nth", "value", (F.col("inside") != F.col("enters")).alias("inside"), "odd",
         (F.col("records") + F.when(F.col("enters"), F.col("starts_inside")).otherwise(F.col("starts_outside")) - 1).alias("position"))
-    alone = ~F.col("inside") & ~F.col("odd")
-    parts = placed.where(~alone).groupBy("file", "position").agg(F.array_sort(F.collect_list(F.struct("split", "nth", "value"))).alias("p"))
-    both = placed.where(alone).select("file", "position", "value").unionByName(
-        parts.select("file", "position", F.array_join(F.transform("p", lambda x: x["value"]), "\n").alias("value")))
+    joined = placed.mapInArrow(_records, "file string, split bigint, nth bigint, value string, position bigint, whole boolean")
+    cut = joined.where("not whole").groupBy("file", "position").agg(F.array_sort(F.collect_list(F.struct("split", "nth", "value"))).alias("p"))
+    both = joined.where("whole").select("file", "position", "value").unionByName(
+        cut.select("file", "position", F.array_join(F.transform("p", lambda x: x["value"]), "\n").alias("value")))
     return both.select(F.col("file").alias("file_name"), "position", F.regexp_replace("value", "\r$", "").alias("record"))
 
 

@@ -143,3 +143,33 @@ def test_ledger_in_splits(spark, tmp):
     open(f"{tmp}/l.csv", "w").write('"Promotion","URL","Search Folder Name","Duration (Seconds)","Host"\n' + lines + '"short"\n')
     for size in (1 << 20, 50):
         assert sorted(tuple(r) for r in read_ledger(spark, f"{tmp}/l.csv", split_bytes=size).collect()) == sorted(rows)
+
+
+def test_small_splits_make_few_tasks(spark, tmp):
+    """Splits are still taken one by one, but a task reads many of them; records that lie in one
+    split are joined there, so none is left over for the shuffle."""
+    from curata.sources.records import read_lines, read_records
+    rows = [f'"text {i}\nwith ""lines""\nof its own","u{i}"' for i in range(2000)]
+    open(f"{tmp}/a.csv", "w").write("p,u\n" + "\n".join(rows) + "\n")
+    lines = read_lines(spark, f"{tmp}/a.csv", '"', 256)
+    assert lines.select("split").distinct().count() > 200
+    assert len(lines.inputFiles()) <= spark.sparkContext.defaultParallelism
+    assert [r.record for r in read_records(spark, f"{tmp}/a.csv", split_bytes=256).orderBy("position").collect()] == ["p,u", *rows]
+
+
+def test_lines_of_a_record_are_joined_where_they_lie():
+    import pyarrow as pa
+    from curata.sources.records import _records
+    at = {"inside": [False, True, False, False, True], "odd": [True, True, False, True, False]}
+    b = pa.RecordBatch.from_pydict({"file": ["f"] * 5, "split": [0] * 5, "nth": [*range(5)], "value": ['"a', 'b"', "c", '"d', "e"], **at,
+                                    "position": [0, 0, 1, 2, 2]})
+    (got,) = _records([b])
+    assert [(r["value"], r["position"], r["whole"]) for r in got.to_pylist()] == [('"a\nb"', 0, True), ("c", 1, True), ('"d\ne', 2, False)]
+
+
+def test_files_in_order_grow_in_number(spark, monkeypatch):
+    """A table twice as large gives more files in order, not larger ones."""
+    from curata.plans import roundtrips
+    monkeypatch.setattr(roundtrips, "FILE_BYTES", 1000)
+    rows = spark.createDataFrame([(i, "é" * 50) for i in range(100)], "doc_id long, promotion string")
+    assert roundtrips._files(rows, 4) == 10 and roundtrips._files(rows.limit(1), 4) == 4 and roundtrips._files(rows.limit(0), 3) == 3
