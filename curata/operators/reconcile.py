@@ -134,16 +134,19 @@ class NoUsableRowError(ValueError):
     pass
 
 
-def _checked(df: DataFrame, keys: Sequence[str], partition: str, header_only: bool) -> tuple[DataFrame, int]:
-    """The rows of a load, written once (what is checked is what is loaded), and their number."""
-    staged = cut_lineage(df.select("promotion", "url", partition).where(F.col("url").isNotNull()))
-    stats = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
+def _check(rows: DataFrame, keys: Sequence[str], header_only: bool) -> int:
+    """The number of a load's rows, if it may take place."""
+    stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("dups")).first()
     if stats["dups"]:
         raise DuplicateKeyError(f"{stats['dups']} duplicate {tuple(keys)} keys; nothing loaded")
     if not stats["rows"] and not header_only:
         raise NoUsableRowError("no usable row; nothing loaded")
-    return staged, int(stats["rows"])
+    return int(stats["rows"])
+
+
+def _usable(df: DataFrame, partition: str) -> DataFrame:
+    return df.select("promotion", "url", partition).where(F.col("url").isNotNull())
 
 
 def replace_folders(df: DataFrame, path: str, keys: Sequence[str] = ("url", "folder_name"),
@@ -155,7 +158,8 @@ def replace_folders(df: DataFrame, path: str, keys: Sequence[str] = ("url", "fol
     A duplicate ``(url, folder_name)`` fails the whole load before anything is written, and so does
     an input without a usable row unless the caller knows that it is ``header_only``.
     Returns the number of rows loaded."""
-    staged, rows = _checked(df, keys, partition, header_only)
+    staged = cut_lineage(_usable(df, partition))  # written once: what is checked is what is loaded
+    rows = _check(staged, keys, header_only)
     if rows:
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
         drop_staged(staged)
@@ -188,10 +192,22 @@ class Loads:
     def _data(self, version: int, partition: str) -> DataFrame:
         return self.spark.read.schema(f"promotion string, url string, {partition} string").parquet(f"{self.path}/data/v={version}")
 
+    def aside(self, version: int, partition: str) -> DataFrame:
+        """A load's rows to be checked: its folders as they came, where a path tells neither null from
+        empty nor from its own word for them."""
+        null, raw = F.col(partition).isNull(), F.col("_folder")
+        return (self.spark.read.schema(f"promotion string, url string, _folder string, {partition} string")
+                .parquet(f"{self.path}/data/v={version}").withColumn(partition, F.when(null, raw).otherwise(F.col(partition))))
+
+    def drop(self, version: int) -> None:
+        """A load that isn't published goes."""
+        self._fs.delete(self._hadoop(f"{self.path}/data/v={version}"), True)
+
     def write_aside(self, rows: DataFrame, partition: str) -> int:
         """The number of a new load whose data are written but not published."""
         version = max([0, *self._versions("data/v=*"), *self._versions("manifest/v=*")]) + 1
-        rows.write.partitionBy(partition).parquet(f"{self.path}/data/v={version}")
+        odd = F.col(partition).isin("", "__HIVE_DEFAULT_PARTITION__")
+        rows.withColumn("_folder", F.when(odd, F.col(partition))).write.partitionBy(partition).parquet(f"{self.path}/data/v={version}")
         return version
 
     def publish(self, version: int, partition: str) -> None:
@@ -234,13 +250,17 @@ def load_folders(df: DataFrame, path: str, keys: Sequence[str] = ("url", "folder
     """S9. Keyed replace load in one step: the folders present in ``df`` are replaced in the table
     of loads at ``path``; other folders stay.  The checks are those of ``replace_folders``.
 
-    The rows are written aside, then all folders are published by one manifest; a load that
+    The rows are written aside once, checked there, then all folders are published by one manifest; a load that
     fails anywhere before leaves the table as it was.  Returns the number of rows loaded."""
-    staged, rows = _checked(df, keys, partition, header_only)
+    loads = Loads(df.sparkSession, path)
+    version, rows = loads.write_aside(_usable(df, partition), partition), 0
+    try:
+        rows = _check(loads.aside(version, partition), keys, header_only)
+    finally:
+        if not rows:
+            loads.drop(version)
     if rows:
-        loads = Loads(df.sparkSession, path)
-        loads.publish(loads.write_aside(staged, partition), partition)
-        drop_staged(staged)
+        loads.publish(version, partition)
     return rows
 
 

@@ -106,3 +106,18 @@ def test_replace_folders(spark, tmp):
     assert spark.read.parquet(path).count() == 2  # nothing changed
     assert replace_folders(dup.limit(0), path, header_only=True) == 0
     assert duplicate_keys(dup).first().n == 2
+
+
+def test_load_writes_its_rows_once(spark, tmp, monkeypatch):
+    """A load is checked where it lies aside, its odd folder names as they came; a failed one leaves nothing."""
+    import os
+    from curata.operators import reconcile as R
+    monkeypatch.setattr(R, "cut_lineage", lambda df: pytest.fail("a second copy of the rows"))
+    schema = "promotion string, url string, folder_name string"
+    rows = [("a", "u", ""), ("b", "u", None), ("c", "u", "__HIVE_DEFAULT_PARTITION__"), ("d", "u", "A")]
+    assert load_folders(spark.createDataFrame(rows, schema), f"{tmp}/t") == 4  # four keys, though three share a path
+    for bad in (rows[:1] * 2, rows[1:2] * 2, rows[2:3] * 2):
+        with pytest.raises(DuplicateKeyError):
+            load_folders(spark.createDataFrame(bad, schema), f"{tmp}/t")
+    assert os.listdir(f"{tmp}/t/data") == ["v=1"]
+    assert [tuple(r) for r in loaded_folders(spark, f"{tmp}/t").collect()] == [("d", "u", "A")]
