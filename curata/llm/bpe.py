@@ -27,6 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
+from curata.llm.common import KEPT
 from curata.llm.words import span_hashes
 
 U = np.uint64
@@ -340,18 +341,27 @@ class BpeAutomaton:
 
 
 class BatchEncoder:
-    """Encodes whole batches of texts; known words come from a bounded table."""
+    """Encodes whole batches of texts; known words come from a bounded table.
+
+    A full table keeps the half of its words that stood in most batches, halving their
+    counts: words that come up again and again are walked once, rare ones make room."""
 
     def __init__(self, automaton: BpeAutomaton, special_id: int | None, most_words: int = 2_000_000):
         self.automaton, self.special_id, self.most = automaton, special_id, most_words
-        self._forget()
-
-    def _forget(self):
         self.hash = np.zeros(0, U)             # sorted
         self.first = np.zeros(0, np.int64)     # where the word's ids start in the pool
         self.size = np.zeros(0, np.int32)
+        self.hits = np.zeros(0, np.int32)      # batches that the word stood in
         self.pool = np.zeros(0, np.int32)
 
+    def _forget(self):
+        """Leave at most half of the table: the words with most hits."""
+        keep = np.flatnonzero(self.hits > np.partition(self.hits, -(self.most // 2 + 1))[-(self.most // 2 + 1)])
+        size = self.size[keep]
+        first = np.cumsum(size, dtype=np.int64) - size
+        self.pool = self.pool[np.repeat(self.first[keep] - first, size) + np.arange(int(size.sum()))]
+        self.hash, self.first, self.size, self.hits = self.hash[keep], first, size, self.hits[keep] >> 1
+
     def _learn(self, hashes, words):
         ids, size = self.automaton.encode_words(words)
         first = len(self.pool) + np.cumsum(size) - size
@@ -361,6 +371,7 @@ class BatchEncoder:
         self.hash = h[order]
         self.first = np.concatenate([self.first, first])[order]
         self.size = np.concatenate([self.size, size.astype(np.int32)])[order]
+        self.hits = np.concatenate([self.hits, np.zeros(len(size), np.int32)])[order]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in order, ids a text)."""
@@ -387,10 +398,12 @@ class BatchEncoder:
                 self.hash = np.insert(self.hash, k, U(1))
                 self.first = np.insert(self.first, k, len(self.pool) - 1)
                 self.size = np.insert(self.size, k, 1)
+                self.hits = np.insert(self.hits, k, 0)
                 new = new[~special[where[new]]]
             if words:
                 self._learn(distinct[new], words)
             at = np.searchsorted(self.hash, distinct)
+        self.hits[at] += 1
         row = at[inverse]
         size = self.size[row]
         total = np.concatenate([[0], np.cumsum(size)])
@@ -421,6 +434,14 @@ def emitted(path: str) -> list[bytes]:
     return labels
 
 
+def _release():
+    encoder.cache_clear()
+    emitted.cache_clear()
+
+
+KEPT["bpe"] = _release
+
+
 def decode(ids: list[int], labels: list[bytes]) -> str:
     """The text of a sequence of ids; broken UTF-8 becomes U+FFFD."""
     return b"".join(map(labels.__getitem__, ids)).decode("utf-8", "replace")

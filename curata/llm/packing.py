@@ -32,9 +32,9 @@ from curata.llm.common import arrow_map, stage, trimmed
 SEQUENCE_LENGTH = 1024
 END_ID = 0
 #: Code points of text encoded at once: the splitter takes about 40 bytes for each.
-SLICE = 500_000
-#: Words whose ids an encoder keeps: 40 bytes each, and three times that while it learns.
-KNOWN_WORDS = 200_000
+SLICE = 1_000_000
+#: Words whose ids an encoder keeps: 44 bytes each, and three times that while it learns.
+KNOWN_WORDS = 400_000
 #: Above this many partitions the offsets are joined by a shuffle, not sent to all.
 MOST_SENT = 1_000_000
 
@@ -60,7 +60,7 @@ def encode_stream(docs: DataFrame, vocabulary: str, key: str, text: str, end_id:
                     [pa.array(np.full(len(texts), part, np.int64)), pa.array(starts.astype(np.int64)), pa.array(n.astype(np.int64)),
                      b.column(0).slice(first, len(texts)), data.cast(pa.binary())], ["part", "start", "n", "k", "ids"])
 
-    return stage(arrow_map(docs.select(docs[key], docs[text]), trimmed(run),
+    return stage(arrow_map(docs.select(docs[key], docs[text]), trimmed(run, keeps="bpe"),
                            f"part bigint, start bigint, n bigint, k {kind}, ids binary"))
 
 

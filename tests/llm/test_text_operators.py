@@ -308,3 +308,21 @@ def test_whole_notices(spark):
         assert label in out[i].labels.split(",") and out[i].score == 1.0
         if [x for x, _, _ in licences.TEMPLATES].count(label) == 1:
             assert label not in out[100 + i].labels.split(",")
+
+
+def test_a_full_word_table_keeps_what_comes_up_again():
+    import public_tokenizers
+    from curata.llm import bpe
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    automaton = bpe.encoder(path).automaton
+    small, large = bpe.BatchEncoder(automaton, 0, 60), bpe.BatchEncoder(automaton, 0)
+    walked, walk = [], automaton.encode_words
+    automaton.encode_words = lambda words: walked.extend(words) or walk(words)
+    try:
+        for i in range(40):
+            text = ["frequentword again <|endoftext|>", *(f" rare{i}x{k}" for k in range(12))]
+            assert [x.tolist() for x in small.encode(text)] == [x.tolist() for x in large.encode(text)]
+            assert len(small.hash) <= 150
+    finally:
+        del automaton.encode_words
+    assert walked.count(b"frequentword") == 2  # once a table
