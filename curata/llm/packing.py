@@ -34,7 +34,7 @@ END_ID = 0
 #: Code points of text encoded at once: the splitter takes about 40 bytes for each.
 SLICE = 1_000_000
 #: Words whose ids an encoder keeps: 44 bytes each, and three times that while it learns.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
 #: Above this many partitions the offsets are joined by a shuffle, not sent to all.
 MOST_SENT = 1_000_000
 
