@@ -49,7 +49,7 @@ _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
 _LETTERS = LOWER.copy()
 _LETTERS[:128][~np.isin(LOWER[:128], np.arange(97, 123))] = 32
 #: Bytes of texts taken at once (a longer one alone; about 60 bytes each), and bytes scored at once.
-SLICE, SLAB = 1 << 19, 1 << 19
+SLICE, SLAB = 1 << 17, 1 << 17
 
 
 def family_of(lang: str) -> str:

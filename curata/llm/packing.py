@@ -76,8 +76,10 @@ def pack(docs: DataFrame, vocabulary: str, length: int = SEQUENCE_LENGTH, end_id
     parts = totals.count()
     if parts <= MOST_SENT:  # one row a partition: its size is known here
         rows = sorted((r.part, r.total) for r in totals.collect())
-        base = np.cumsum([0] + [t for _, t in rows]).tolist()
-        offsets = F.broadcast(spark.createDataFrame([(p, b) for (p, _), b in zip(rows, base)], "part bigint, base bigint"))
+        base = np.cumsum([0] + [t for _, t in rows])[:-1]
+        # from Arrow: rows of Python objects would pass Python workers of another kind, which stay
+        known = pa.table({"part": pa.array([p for p, _ in rows], pa.int64()), "base": pa.array(base, pa.int64())})
+        offsets = F.broadcast(spark.createDataFrame(known))
     else:
         before = totals.alias("a").groupBy(F.floor(F.col("part") / 1000).alias("block")).agg(F.sum("total").alias("t"))
         from pyspark.sql import Window

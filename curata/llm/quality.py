@@ -44,8 +44,8 @@ BLOOM_BITS = 1 << 25
 QUANTILE = 0.998
 MARGIN = 1.02
 START, END = 2, 3
-#: Bytes counted or scored at once.
-SLICE = 500_000
+#: Bytes counted at once, and bytes scored at once (about 120 bytes each).
+SLICE, SCORED = 500_000, 125_000
 #: Ids up to which the trusted ones go to all executors; beyond, Spark joins by shuffle.
 MOST_SENT = 5_000_000
 _TAG = 48
@@ -69,12 +69,12 @@ def codes(x: np.ndarray) -> np.ndarray:
     return v
 
 
-def slices(column: pa.Array):
-    """(from, to, bytes, starts) of consecutive texts of about SLICE bytes."""
+def slices(column: pa.Array, size: int):
+    """(from, to, bytes, starts) of consecutive texts of about ``size`` bytes."""
     raw, offsets = buffers(column)
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE, side="right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
         yield lo, hi, *stream(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
         lo = hi
 
@@ -83,7 +83,7 @@ def counts(texts: DataFrame) -> DataFrame:
     """(g, c): every run of ORDER bytes of the texts and how often it stands."""
     def run(batches):
         for b in batches:
-            for _, _, x, starts in slices(b.column(0)):
+            for _, _, x, starts in slices(b.column(0), SLICE):
                 v = codes(x)
                 scored = np.ones(len(x), bool)
                 for k in range(ORDER - 1):
@@ -253,13 +253,16 @@ def _lookup(table: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(id, lang, n, perplexity) of every row: perplexity a byte, the end counted as one."""
-    hot, bloom, unseen = model.hot, model.bloom, model.unseen
+    spark, unseen, size = docs.sparkSession, model.unseen, SCORED
+    # a worker loads the tables once, not with every task
+    tables = spark.sparkContext.broadcast((model.hot, model.bloom))
     d = docs.select(docs[key].cast("long").alias("id"), docs[text], docs[lang].cast("string").alias("lang"))
 
     def run(batches):
         part, row = TaskContext.get().partitionId() << 40, 0
+        hot, bloom = tables.value
         for b in batches:
-            for lo, hi, x, starts in slices(b.column(1)):
+            for lo, hi, x, starts in slices(b.column(1), size):
                 n = hi - lo
                 v = codes(x)
                 ends = np.append(starts[1:], len(x))
@@ -305,6 +308,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                         ["uid", "id", "lang", "n", "s", "key"])
 
     both = stage(arrow_map(d, trimmed(run), "uid bigint, id bigint, lang string, n bigint, s double, key bigint"))
+    tables.destroy()  # what is written needs them no more
     base = both.where("key is null").select("uid", "id", "lang", "n", "s")
     # an unknown byte that the filter let pass still needs its weight
     joined = both.where("key is not null").select("uid", "key", "n").join(model.weights.select("key", "w"), "key", "left")

@@ -141,3 +141,38 @@ def test_empty_documents(spark, tmp):
     docs = edge_folder(spark, tmp, [(1, "x", "en", "s")], [1]).where("doc_id > 1")
     out = through(spark, docs, tmp)
     assert all(df.count() == 0 for df in out.values())
+
+
+def test_scoring_sends_its_tables_once(spark, monkeypatch):
+    """The tables go to a worker as a broadcast, not inside the function that each task loads."""
+    from pyspark import cloudpickle
+    from curata.llm import quality
+    sizes, real = [], quality.arrow_map
+
+    def seen(df, fn, schema):
+        if "key bigint" in schema:
+            sizes.append(len(cloudpickle.dumps(fn)))
+        return real(df, fn, schema)
+
+    monkeypatch.setattr(quality, "arrow_map", seen)
+    df = spark.createDataFrame([(i, f"the text {i} " * 9, "en") for i in range(40)], "doc_id long, text string, lang string")
+    whole = {r.doc_id: r.perplexity for r in quality.judge(df, df.select("doc_id")).collect()}
+    assert len(whole) == 40 and len(sizes) == 1 and sizes[0] < 1 << 20
+    monkeypatch.setattr(quality, "SCORED", 50)  # a text or less at once
+    assert {r.doc_id: r.perplexity for r in quality.judge(df, df.select("doc_id")).collect()} == pytest.approx(whole, rel=1e-9)
+
+
+def test_packing_places_partitions_without_python_rows(spark, capsys):
+    """The partitions' offsets come from Arrow: an RDD of Python rows leaves workers of a second kind."""
+    from curata.llm import catalog
+    df = spark.createDataFrame([(i, "a b c " * i) for i in range(20)], "doc_id long, text string")
+    catalog.pieces(df).explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+
+
+def test_batches_of_the_stages_are_small(spark):
+    """What a stage leaves set: at most 2 MB of text an Arrow batch and 512 rows a scan."""
+    corpus_pipeline.moderate_batches(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 250
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) <= 2 << 20
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
