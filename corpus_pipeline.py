@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curata.llm import catalog, language, neardup, personal, quality
-from curata.llm.common import moderate_batches, read, stage
+from curata.llm.common import lighten, moderate_batches, read, stage
 
 #: A document whose language is told with a lower score goes; one without any letter scores 0.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -28,23 +28,28 @@ NEAR_PERCENT = 80
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told stay."""
     moderate_batches(spark)
-    return language.keep_identified(docs, language.fit(docs), LEAST_LANGUAGE_SCORE)
+    machines = language.fit(docs)
+    lighten(spark)  # of the sample
+    return language.keep_identified(docs, machines, LEAST_LANGUAGE_SCORE)
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as predictable as trusted text of their language stay."""
     moderate_batches(spark)
+    lighten(spark)
     return quality.keep_good(docs, catalog.trusted_ids(spark, sf_dir))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least id stays."""
     moderate_batches(spark)
+    lighten(spark)
     return neardup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; personal data in its text is replaced."""
+    lighten(spark)
     done = personal.redact(docs, personal.fit(docs))
     if "n_chars" not in docs.columns:
         return done
@@ -54,6 +59,7 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences with their ids."""
     moderate_batches(spark)
+    lighten(spark)
     return catalog.pieces(docs)
 
 

@@ -176,3 +176,12 @@ def test_batches_of_the_stages_are_small(spark):
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 250
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) <= 2 << 20
     assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
+
+
+def test_stages_return_the_drivers_memory(spark, monkeypatch):
+    """Every stage has the driver's Python and JVM give back what earlier work has freed, the first after its learning."""
+    calls, real = [], corpus_pipeline.lighten
+    monkeypatch.setattr(corpus_pipeline, "lighten", lambda s: (calls.append(s), real(s)))
+    docs = spark.createDataFrame([(i, f"the little text number {i} " * 5, "en") for i in range(20)], "doc_id long, text string, lang string")
+    for k, (name, apply) in enumerate(corpus_pipeline.STAGES, 1):
+        assert name and set(apply(spark, docs, SF).columns) and len(calls) == k

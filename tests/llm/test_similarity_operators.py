@@ -28,6 +28,26 @@ def test_components(spark, monkeypatch, hub):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_take_few_tasks(spark, tmp):
+    """The driver keeps every task: where partitions aren't put together, a star step is an aggregate and a join."""
+    spark.range(3000).selectExpr("id * 3 + 1 as u", "id * 3 as v").write.parquet(f"{tmp}/edges")
+    edges, tracker, keys = spark.read.parquet(f"{tmp}/edges"), spark.sparkContext.statusTracker(), {
+        "spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        spark.sparkContext.setJobGroup("few-tasks", "")
+        assert components.components(edges).count() == 3000
+        stages = {s for j in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(j).stageIds}
+        tasks = sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 40 < tasks <= 220, tasks
+
+
 # ------------------------------------------------------------------ MinHash (8)
 def word_sets(rows):
     out = {}
